@@ -11,15 +11,16 @@ from platewise.functions.numbers import exact_mean, exact_sum, ratio, round_half
 MIN_SUPPORT = 5
 
 
-def rank_within_values(df: DataFrame, value: str) -> DataFrame:
-    """For each distinct value its competition rank, highest first and nulls on top.
+def rank_by_rating(df: DataFrame, rating: str) -> DataFrame:
+    """For each rating value its competition rank, highest first and nulls on top.
 
-    Meant for a column with a bounded domain, such as DECIMAL(3,2): the counts are
-    aggregated in parallel and only one row per distinct value enters the running sum.
+    As DECIMAL(3,2) a rating has fewer than 2,000 values: the counts per value are
+    aggregated in parallel, and only those few rows enter the running sum.
     """
+    value = F.col(rating).cast("decimal(3,2)").alias("_value")
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    above = Window.orderBy(F.col(value).desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(value, (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias("_rank"))
+    above = Window.orderBy(F.desc_nulls_first("_value")).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("_value", (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias("_rank"))
 
 
 def top_restaurants_by_nlp(summary: DataFrame, min_reviews: int = MIN_SUPPORT, n: int = 50) -> DataFrame:
@@ -32,8 +33,9 @@ def top_restaurants_by_nlp(summary: DataFrame, min_reviews: int = MIN_SUPPORT, n
     """
     eligible = summary.filter(F.col("nlp_review_count") >= min_reviews)
     top = eligible.orderBy(F.desc_nulls_first("avg_nlp_score"), "place_id").limit(n)
-    rating_ranks = rank_within_values(eligible, "google_rating").withColumnRenamed("google_rating", "_value")
-    listed = top.join(F.broadcast(rating_ranks), F.col("google_rating").eqNullSafe(F.col("_value")), "left")
+    rating_ranks = rank_by_rating(eligible, "google_rating")
+    same = F.col("google_rating").cast("decimal(3,2)").eqNullSafe(F.col("_value"))
+    listed = top.join(F.broadcast(rating_ranks), same, "left")
     return listed.select(
         "place_id",
         "name",

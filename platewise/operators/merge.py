@@ -38,6 +38,7 @@ def merge_by_key(
     order_by: Sequence[Column] | None = None,
     keep_if_null: bool = False,
     op_col: str | None = None,
+    small_updates: bool = False,
 ) -> DataFrame:
     """Insert rows with a new key, change ``update_cols`` of rows with a known key.
 
@@ -45,6 +46,11 @@ def merge_by_key(
     left out only for updates with unique keys. ``keep_if_null`` treats a null in an
     update as "field not sent". ``op_col`` adds what happened to each row: inserted,
     modified, unchanged (matched without a new value) or kept (no update).
+
+    The default is one full outer join. ``small_updates`` suits a batch far smaller than
+    the target: the target is only ever the outer side of joins with the batch, so where
+    Spark finds the batch below its broadcast threshold the target is not shuffled, at
+    the price of a second scan of its key column. Both give the same rows.
     """
     if order_by is not None:
         updates = top_per_key(updates, [key], order_by)
@@ -52,11 +58,17 @@ def merge_by_key(
     sent = updates.select(
         key, F.lit(True).alias("_sent"), *[F.col(c).alias(f"_new_{c}") for c in updates.columns if c != key]
     )
-    joined = target.withColumn("_known", F.lit(True)).join(sent, key, "full_outer")
+    marked = target.withColumn("_known", F.lit(True))
+    if small_updates:
+        matched_keys = target.select(key).join(sent.select(key), key, "left_semi")
+        new_rows = sent.join(matched_keys, key, "left_anti")
+        joined = marked.join(sent, key, "left").unionByName(new_rows, allowMissingColumns=True)
+    else:
+        joined = marked.join(sent, key, "full_outer")
     known, matched = F.col("_known").isNotNull(), F.col("_known") & F.col("_sent")
 
     columns: dict[str, Column] = {}
-    changes: list[Column] = []
+    changed = F.lit(False)
     for name in [*target.columns, *[c for c in updates.columns if c not in target.columns]]:
         if name == key:
             columns[name] = F.col(key)
@@ -70,14 +82,12 @@ def merge_by_key(
             new = new.cast(target.schema[name].dataType)
         if name in update_cols:
             value = F.coalesce(new, old) if keep_if_null else new
-            changes.append(~value.eqNullSafe(old))
+            if op_col:
+                changed = changed | ~value.eqNullSafe(old)
             columns[name] = F.when(matched, value).when(known, old).otherwise(new)
         else:
             columns[name] = F.when(known, old).otherwise(new)
     if op_col:
-        changed = F.lit(False)
-        for change in changes:
-            changed = changed | change
         columns[op_col] = (
             F.when(~known, "inserted")
             .when(F.col("_sent").isNull(), "kept")
@@ -126,6 +136,11 @@ def upsert_preferences(target: DataFrame, submitted: DataFrame, order_by=None) -
     return merge_by_key(target, filled, "user_id", None, order_by)
 
 
+def upsert_recommendations(target: DataFrame, docs: DataFrame) -> DataFrame:
+    """Stored lists per user; a new list replaces the old one as a whole."""
+    return merge_by_key(target, docs, "user_id")
+
+
 def merge_dim_restaurants(target, updates, order_by=None, op_col=None) -> DataFrame:
     """Known places keep their coordinates."""
     return merge_by_key(target, updates, "place_id", DIM_RESTAURANT_UPDATES, order_by, op_col=op_col)

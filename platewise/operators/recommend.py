@@ -19,6 +19,15 @@ RECOMMENDATION_COLUMNS = [
 ]
 
 
+# a side is broadcast by hint only when a limit keeps it below this many rows
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_limited(df: DataFrame, limit: int) -> DataFrame:
+    """Hint a broadcast of rows that were cut to ``limit``; a large limit leaves it to Spark."""
+    return F.broadcast(df) if limit <= BROADCAST_ROWS else df
+
+
 def numbered(df: DataFrame, order_by: list[Column], n: int, name: str = "rank") -> DataFrame:
     """The first ``n`` rows with their position.
 
@@ -101,7 +110,7 @@ def recommend_for_users(
     users = preferences.select(
         "user_id", "min_rating", F.explode(F.array_distinct(wanted)).alias("type")
     )
-    hits = users.join(F.broadcast(by_type), "type").filter(
+    hits = users.join(broadcast_limited(by_type, params.top_n), "type").filter(
         F.col("min_rating").isNull() | (F.col("avg_predicted_score") >= F.col("min_rating"))
     )
     return hits.drop("type", "min_rating").dropDuplicates(["user_id", "rank"])

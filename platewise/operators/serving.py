@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from platewise.functions.numbers import exact_mean, ratio, round_half_up
 from platewise.functions.sentiment import NEGATIVE, POSITIVE, label_count
 from platewise.operators.dedup import top_per_key
-from platewise.operators.recommend import numbered
+from platewise.operators.recommend import broadcast_limited, numbered
 
 PAGE_SIZE = 20
 
@@ -79,8 +79,7 @@ def search_restaurants(
         pattern = f"(?i){cuisine.strip().lower()}"
         found = found.filter(F.exists("types", lambda t: t.rlike(pattern)))
     listed = found.orderBy(F.desc("rating"), "place_id").limit(limit)
-    # the listed side has at most ``limit`` rows
-    relevant = processed.join(F.broadcast(listed.select("place_id")), "place_id", "left_semi")
+    relevant = processed.join(broadcast_limited(listed.select("place_id"), limit), "place_id", "left_semi")
     out = listed.join(_live_stats(relevant), "place_id", "left").select(
         *[listed[c] for c in restaurants.columns],
         F.coalesce(round_half_up(F.col("mean_score"), 2), F.lit(0.0)).alias("avg_nlp_score"),

@@ -97,7 +97,7 @@ def sentiment_summary(restaurants: DataFrame, predictions: DataFrame) -> DataFra
         "place_id",
         "name",
         "address",
-        F.col("rating").alias("google_rating"),
+        F.col("rating").cast("decimal(3,2)").alias("google_rating"),
         "total_ratings",
         "price_level",
         zero("n").alias("nlp_review_count"),

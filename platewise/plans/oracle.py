@@ -452,6 +452,13 @@ oracle(
 SELECT coalesce(k.review_id, u.review_id) AS review_id, coalesce(k.place_id, u.place_id) AS place_id, {MERGED_PREDICTION}
 FROM m_predictions k FULL JOIN (SELECT * FROM m_new_predictions WHERE rating >= 3) u ON k.review_id = u.review_id""",
 )
+oracle(
+    "merge_small_batch",
+    f"""
+SELECT coalesce(k.review_id, u.review_id) AS review_id, coalesce(k.place_id, u.place_id) AS place_id, {MERGED_PREDICTION},
+       CASE WHEN k.review_id IS NULL THEN 'inserted' WHEN u.review_id IS NULL THEN 'kept' ELSE 'modified' END AS op
+FROM m_predictions k FULL JOIN m_new_predictions u ON k.review_id = u.review_id""",
+)
 oracle("fk_rejects", f"SELECT {PREDICTION} FROM m_new_predictions WHERE rating < 3")
 oracle(
     "upsert_preferences",
@@ -713,6 +720,12 @@ SELECT s.review_id, s.place_id, coalesce(k.rating, s.predicted_score) AS predict
        CASE WHEN k.rating IS NULL THEN s.model_version END AS model_version
 FROM b_text_scores s LEFT JOIN b_ratings k USING (doc_id)""",
 )
+oracle(
+    "prediction_rows",
+    f"""
+SELECT review_id, place_id, {rnd('predicted_score', 2)} AS predicted_score, sentiment_label, confidence, model_version, predicted_at
+FROM b_text_scores""",
+)
 oracle(
     "batch_summary",
     f"""
@@ -780,6 +793,16 @@ oracle(
 SELECT user_id, string_agg(concat(rank, ':', place_id), ',' ORDER BY rank) AS recommendations, '2024-01-01' AS generated_at
 FROM b_user_recs GROUP BY user_id""",
 )
+oracle(
+    "upsert_recommendations",
+    """
+SELECT coalesce(n.user_id, o.user_id) AS user_id, coalesce(n.list, o.list) AS recommendations,
+       CASE WHEN n.user_id IS NULL THEN '2023-12-31' ELSE '2024-01-01' END AS generated_at
+FROM (SELECT user_id, string_agg(concat(rank, ':', place_id), ',' ORDER BY rank) AS list
+      FROM b_user_recs WHERE rank <= 10 GROUP BY user_id) o
+FULL JOIN (SELECT user_id, string_agg(concat(rank, ':', place_id), ',' ORDER BY rank) AS list
+      FROM b_user_recs WHERE recommendation_score >= 2.9 GROUP BY user_id) n ON o.user_id = n.user_id""",
+)
 oracle(
     "served_recommendations",
     f"""

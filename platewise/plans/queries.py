@@ -317,6 +317,20 @@ def merge_fact_predictions(spark, sf_dir):
     return merge.merge_fact_predictions(known, batch.drop("rating"), _loaded(all_reviews))
 
 
+@query
+def merge_small_batch(spark, sf_dir):
+    """The same merge in the shape for batches far smaller than the target."""
+    _, known, batch = _known_and_new_predictions(spark, sf_dir)
+    return merge.merge_by_key(
+        known,
+        batch.drop("rating"),
+        "review_id",
+        merge.FACT_PREDICTION_UPDATES,
+        op_col="op",
+        small_updates=True,
+    )
+
+
 @query
 def fk_rejects(spark, sf_dir):
     all_reviews, _, batch = _known_and_new_predictions(spark, sf_dir)
@@ -682,6 +696,13 @@ def score_backlog(spark, sf_dir):
     return merged.select("review_id", "place_id", "predicted_score", "sentiment_label", "model_version")
 
 
+@query
+def prediction_rows(spark, sf_dir):
+    """Scored texts as rows of the predictions table, with its two digits of score."""
+    scored = scoring.score_reviews(b.texts(spark, sf_dir), _stored_model(spark, sf_dir), "team/five-class", _at())
+    return star.prediction_rows(scored)
+
+
 @query
 def batch_summary(spark, sf_dir):
     return scoring.batch_summary(score_reviews(spark, sf_dir))
@@ -771,6 +792,17 @@ def recommendation_docs(spark, sf_dir):
     return docs.select("user_id", entry.alias("recommendations"), "generated_at")
 
 
+@query
+def upsert_recommendations(spark, sf_dir):
+    """New lists of the users a rerun covers replace their stored lists."""
+    recs = recommend.recommend_for_users(_analyses(spark, sf_dir), b.user_preferences(spark, sf_dir), PARAMS)
+    stored = recommend.recommendation_docs(recs.filter(F.col("rank") <= 10), F.lit("2023-12-31"))
+    new = recommend.recommendation_docs(recs.filter(F.col("recommendation_score") >= 2.9), _at())
+    docs = merge.upsert_recommendations(stored, new)
+    entry = F.transform("recommendations", lambda r: F.concat_ws(":", r["rank"], r["place_id"]))
+    return docs.select("user_id", entry.alias("recommendations"), "generated_at")
+
+
 def _docs(spark, sf_dir):
     return ingestion.build_recommendations(
         _aged(spark, sf_dir), b.restaurants(spark, sf_dir), RankingParams(min_reviews=MIN_REVIEWS, top_n=200), _at()

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+# fixed prefixes of the two areas
+RAW_PREFIX = "raw/reviews"
+PROCESSED_PREFIX = "processed/reviews"
 PARTITIONS = ["year", "month", "day"]
 MAX_ROWS_PER_FILE = 2_000_000
 
@@ -45,11 +48,15 @@ def read_lake(
     year: int | None = None,
     month: int | None = None,
     day: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Rows of the lake; a given year, month or day prunes the folders that are read."""
+    """Rows of the lake; a given year, month or day prunes the folders that are read.
+
+    ``multi_line`` is for files that hold one JSON array each; such files are not split.
+    """
     fields = [*schema.fields, StructField("location", StringType())]
     fields += [StructField(p, IntegerType()) for p in PARTITIONS]
-    df = spark.read.schema(StructType(fields)).json(path)
+    df = spark.read.schema(StructType(fields)).option("multiLine", multi_line).json(path)
     for name, value in zip(PARTITIONS, (year, month, day)):
         if value is not None:
             df = df.filter(F.col(name) == value)
