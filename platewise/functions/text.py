@@ -103,10 +103,19 @@ def nfkd(text: Column) -> Column:
 
 
 def expand_contractions(text: Column) -> Column:
-    expanded = text
-    for short, full in CONTRACTIONS:
-        expanded = F.replace(expanded, F.lit(short), F.lit(full))
-    return F.when(F.contains(text, F.lit("'")), expanded).otherwise(text)
+    """Replace contractions in their fixed order; texts without an apostrophe skip it.
+
+    The one-element transform evaluates ``text`` once although the branches name it
+    several times.
+    """
+
+    def expand(t: Column) -> Column:
+        expanded = t
+        for short, full in CONTRACTIONS:
+            expanded = F.replace(expanded, F.lit(short), F.lit(full))
+        return F.when(F.contains(t, F.lit("'")), expanded).otherwise(t)
+
+    return F.transform(F.array(text), expand)[0]
 
 
 def truncate_words(text: Column, max_words: int = MAX_WORDS) -> Column:
@@ -129,10 +138,13 @@ def normalize_text(text: Column, max_words: int | None = MAX_WORDS) -> Column:
 
 
 def key_phrases(normalized: Column) -> Column:
-    """Distinct key words of an already normalised text, sorted."""
-    words = "|".join(w for group in KEY_WORDS.values() for w in group)
-    found = F.regexp_extract_all(F.lower(normalized), F.lit(rf"\b(?:{words})\b"), F.lit(0))
-    return F.array_sort(F.array_distinct(found))
+    """Distinct key words of an already normalised text, sorted.
+
+    A key word counts where it stands as a whole word, so the words of the text are
+    intersected with the list instead of searching the text for each of them.
+    """
+    words = [F.lit(w) for group in KEY_WORDS.values() for w in group]
+    return F.array_sort(F.array_intersect(F.split(F.lower(normalized), r"[^a-z0-9]+"), F.array(*words)))
 
 
 def display_types(types: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise.operators.dedup import top_per_key
+from platewise.session import spread_small
 
 # two days that part the reviews into what is stored already and what arrives
 STORED_BEFORE = "2000-01-01"
@@ -38,7 +39,7 @@ def restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reviews_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as reviews; a review id occurs more than once."""
-    return table(spark, sf_dir, "lineitem").select(
+    copies = table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("review_id"),
         F.concat(F.lit("P"), F.col("l_partkey")).alias("place_id"),
         F.concat(F.lit("S"), F.col("l_suppkey")).alias("author_name"),
@@ -49,6 +50,7 @@ def reviews_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("ep"),
         F.col("l_quantity").alias("q"),
     )
+    return spread_small(copies, "review_id")
 
 
 COPY_ORDER = ["place_id", "author_name", "ep", "q", "d", "t"]
@@ -120,7 +122,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = F.datediff(F.to_date("l_shipdate"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
     epoch = seconds + F.col("l_linenumber") * 3600
     author = F.concat(F.lit("S"), F.col("l_suppkey"))
-    return table(spark, sf_dir, "lineitem").select(
+    raw = table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("review_id"),
         F.concat(F.lit("P"), F.col("l_partkey")).alias("place_id"),
         F.concat(F.lit("Place "), F.col("l_partkey")).alias("restaurant_name"),
@@ -138,12 +140,14 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("").alias("profile_photo_url"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("ingested_at"),
     )
+    return spread_small(raw, "review_id")
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as review texts, with markup, links, contractions and key words."""
     body, kind = F.col("text"), F.col("doc_id") % 5
-    return table(spark, sf_dir, "documents").select(
+    documents = spread_small(table(spark, sf_dir, "documents"), "doc_id")
+    return documents.select(
         "doc_id",
         F.concat(F.lit("D"), F.col("doc_id")).alias("review_id"),
         F.col("source").alias("place_id"),

@@ -804,9 +804,11 @@ def upsert_recommendations(spark, sf_dir):
 
 
 def _docs(spark, sf_dir):
-    return ingestion.build_recommendations(
+    """The global list, stored as the recommendation job leaves it."""
+    docs = ingestion.build_recommendations(
         _aged(spark, sf_dir), b.restaurants(spark, sf_dir), RankingParams(min_reviews=MIN_REVIEWS, top_n=200), _at()
     )
+    return snapshots.write_version(docs, new_work_path(spark, "recommendations"))
 
 
 @query
