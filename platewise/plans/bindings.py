@@ -37,13 +37,12 @@ def restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reviews_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as reviews; a review id occurs more than once."""
+def _copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What tells the copies of a review apart; the rating follows from ``q``."""
     copies = table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("review_id"),
         F.concat(F.lit("P"), F.col("l_partkey")).alias("place_id"),
         F.concat(F.lit("S"), F.col("l_suppkey")).alias("author_name"),
-        (1 + F.col("l_quantity").cast("int") % 5).alias("rating"),
         F.col("l_shipdate").alias("review_date"),
         F.round(F.col("l_discount") * 100).cast("int").alias("d"),
         F.round(F.col("l_tax") * 100).cast("int").alias("t"),
@@ -53,6 +52,15 @@ def reviews_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_small(copies, "review_id")
 
 
+def _with_rating(df: DataFrame) -> DataFrame:
+    return df.withColumn("rating", 1 + F.col("q").cast("int") % 5)
+
+
+def reviews_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as reviews; a review id occurs more than once."""
+    return _with_rating(_copies(spark, sf_dir))
+
+
 COPY_ORDER = ["place_id", "author_name", "ep", "q", "d", "t"]
 
 
@@ -64,12 +72,13 @@ def reviews(spark: SparkSession, sf_dir: str, since: date | None = None) -> Data
     """One row per review: the latest copy.
 
     ``since`` may filter before the dedupe, down at the scan, because the copy that is
-    kept is the latest one: it passes whenever any copy passes.
+    kept is the latest one: it passes whenever any copy passes. Derived columns come
+    after the dedupe, so a query that uses reviews and predictions shuffles once.
     """
-    copies = reviews_with_copies(spark, sf_dir)
+    copies = _copies(spark, sf_dir)
     if since is not None:
         copies = copies.filter(F.col("review_date") >= F.lit(since))
-    return top_per_key(copies, ["review_id"], latest_first()).drop("ep", "q")
+    return _with_rating(top_per_key(copies, ["review_id"], latest_first())).drop("ep", "q")
 
 
 def as_of(spark: SparkSession, sf_dir: str) -> date:
