@@ -6,17 +6,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
+
+
+# Spark's default bound of the group limit, and the parts a group is split into beyond it
+GROUP_LIMIT = 1000
+SALTS = 64
+
+
+def _first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int) -> DataFrame:
+    ordered = Window.partitionBy(*keys).orderBy(*order_by)
+    ranked = df.withColumn("_position", F.row_number().over(ordered))
+    return ranked.filter(F.col("_position") <= n).drop("_position")
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key.
 
     Spark turns the rank filter into a group limit that runs before the shuffle, so a
-    key holding a large part of all rows sends at most ``n`` rows per task.
+    key holding a large part of all rows sends at most ``n`` rows per task. It does so
+    for small ``n`` only; a larger one first takes ``n`` rows of each of many parts of
+    a key, which hold the first ``n`` of the whole key.
     """
-    ordered = Window.partitionBy(*keys).orderBy(*order_by)
-    ranked = df.withColumn("_position", F.row_number().over(ordered))
-    return ranked.filter(F.col("_position") <= n).drop("_position")
+    if n > GROUP_LIMIT:
+        hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(SALTS)))
+        df = _first(salted, [*keys, "_salt"], order_by, n).drop("_salt")
+    return _first(df, keys, order_by, n)
 
 
 def dedup_reviews(df: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:

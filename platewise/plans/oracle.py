@@ -143,6 +143,25 @@ DECOMPOSED = {
 }
 
 
+# fixed values, in their order
+SHORT_FORMS = [
+    ("won't", "will not"),
+    ("can't", "cannot"),
+    ("n't", " not"),
+    ("it's", "it is"),
+    ("that's", "that is"),
+    ("what's", "what is"),
+    ("there's", "there is"),
+    ("he's", "he is"),
+    ("she's", "she is"),
+    ("'re", " are"),
+    ("'d", " would"),
+    ("'ll", " will"),
+    ("'ve", " have"),
+    ("'m", " am"),
+]
+
+
 def normalized(text: str) -> str:
     """The normalisation as nested SQL calls."""
     out = f"coalesce({text}, '')"
@@ -152,11 +171,7 @@ def normalized(text: str) -> str:
             out = f"replace({out}, '{letter}', '{base}~')"
     out = f"regexp_replace({out}, '<[^>]+>', ' ', 'g')"
     out = rf"regexp_replace({out}, 'https?://\S+|www\.\S+', ' ', 'g')"
-    for short, full in (
-        ("won't", "will not"), ("can't", "cannot"), ("n't", " not"), ("it's", "it is"), ("that's", "that is"),
-        ("what's", "what is"), ("there's", "there is"), ("he's", "he is"), ("she's", "she is"), ("'re", " are"),
-        ("'d", " would"), ("'ll", " will"), ("'ve", " have"), ("'m", " am"),
-    ):
+    for short, full in SHORT_FORMS:
         out = "replace({}, '{}', '{}')".format(out, short.replace("'", "''"), full)
     out = rf"regexp_replace({out}, '[^a-zA-Z0-9\s.,!?''-]', ' ', 'g')"
     return rf"trim(regexp_replace({out}, '\s+', ' ', 'g'))"
@@ -168,6 +183,7 @@ def first_words(text: str, n: int) -> str:
 
 VIEWS["b_normal"] = f"SELECT *, {first_words(normalized('text'), 512)} AS text_cleaned FROM b_texts"
 
+# fixed values
 KEY_WORDS = (
     "food|pizza|burger|sushi|pasta|steak|chicken|fish|salad|soup|dessert|appetizer|cocktail|wine|beer|coffee|tea|"
     "service|staff|waiter|waitress|server|manager|chef|"

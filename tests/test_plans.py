@@ -115,3 +115,7 @@ def test_hot_keys_give_whole_results(spark):
     assert scores["P"].sentiment_distribution == {"neutral": n // 3}
     top = dedup.top_per_key(rows, ["place_id"], [F.desc("predicted_score"), F.col("ingested_at")], 50)
     assert top.filter("place_id = 'P'").count() == 50
+    order = [F.desc("predicted_score"), F.col("ingested_at")]
+    many = dedup.top_per_key(rows, ["place_id"], order, 1500).filter("place_id = 'P'")
+    expected = rows.filter("place_id = 'P'").orderBy(*order).limit(1500)
+    assert many.count() == 1500 and many.exceptAll(expected).count() == 0
