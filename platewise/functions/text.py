@@ -13,6 +13,13 @@ TAG = r"<[^>]+>"
 # Unicode white space plus the four separators U+001C..U+001F
 URL = r"(?U)https?://[^\s\x1c-\x1f]+|www\.[^\s\x1c-\x1f]+"
 
+# Classes list what they match: measured on eight cores, the negated form of the first one
+# ran no faster than on one core. DROPPED is all but letters, digits and . , ! ? ' -
+DROPPED = r"[\x00-\x20\x22-\x26\x28-\x2B\x2F\x3A-\x3E\x40\x5B-\x60\x7B-\x{10FFFF}]+"
+BEYOND_ASCII = r"[\x{80}-\x{10FFFF}]"
+# between the words of a normalised text
+WORD_BREAK = r"[ .,!?'-]+"
+
 # Contractions and their expansions, applied in this order.
 CONTRACTIONS = [
     ("won't", "will not"),
@@ -98,7 +105,7 @@ def nfkd(text: Column) -> Column:
     def decompose(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: unicodedata.normalize("NFKD", t), na_action="ignore")
 
-    beyond_ascii = F.when(text.rlike(r"[^\x00-\x7F]"), text)
+    beyond_ascii = F.when(text.rlike(BEYOND_ASCII), text)
     return F.coalesce(decompose(beyond_ascii), text)
 
 
@@ -133,7 +140,7 @@ def normalize_text(text: Column, max_words: int | None = MAX_WORDS) -> Column:
     out = F.regexp_replace(out, TAG, " ")
     out = F.regexp_replace(out, URL, " ")
     out = expand_contractions(out)
-    out = F.trim(F.regexp_replace(out, r"[^a-zA-Z0-9.,!?'-]+", " "))
+    out = F.trim(F.regexp_replace(out, DROPPED, " "))
     return out if max_words is None else truncate_words(out, max_words)
 
 
@@ -144,7 +151,7 @@ def key_phrases(normalized: Column) -> Column:
     intersected with the list instead of searching the text for each of them.
     """
     words = [F.lit(w) for group in KEY_WORDS.values() for w in group]
-    return F.array_sort(F.array_intersect(F.split(F.lower(normalized), r"[^a-z0-9]+"), F.array(*words)))
+    return F.array_sort(F.array_intersect(F.split(F.lower(normalized), WORD_BREAK), F.array(*words)))
 
 
 def display_types(types: Column) -> Column:
