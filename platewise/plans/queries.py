@@ -18,6 +18,7 @@ from platewise.operators import (
     analysis,
     bi,
     cleaning,
+    collaborative,
     dedup,
     merge,
     recommend,
@@ -775,6 +776,33 @@ def recommend_for_users(spark, sf_dir):
     return out.drop("sentiment_summary")
 
 
+@query
+def als_recommendations(spark, sf_dir):
+    """Each customer's list, ordered by what customers with similar orders rate well."""
+    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("int").alias("user_key"))
+    # lines are summed per order and place before the join, so a huge order stays small
+    lines = (
+        b.table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").cast("int").alias("place_key"))
+        .agg(F.sum(1 + F.col("l_quantity").cast("int") % 5).alias("total"), F.count(F.lit(1)).alias("n"))
+    )
+    rated = (
+        lines.join(orders, "o_orderkey")
+        .groupBy("user_key", "place_key")
+        .agg((F.sum("total") / F.sum("n")).alias("rating"))
+    )
+    model = collaborative.train_factors(rated, "user_key", "place_key", "rating")
+    lists = recommend.recommend_for_users(_analyses(spark, sf_dir), b.user_preferences(spark, sf_dir), PARAMS)
+    candidates = lists.withColumns(
+        {
+            "user_key": F.substring("user_id", 2, 20).cast("int"),
+            "place_key": F.substring("place_id", 2, 20).cast("int"),
+        }
+    )
+    ordered = collaborative.order_candidates(model, candidates, "user_key")
+    return ordered.select("user_id", "place_id", "rank", "predicted_rating", "position")
+
+
 @query
 def recommend_price_location(spark, sf_dir):
     params = RankingParams(min_reviews=MIN_REVIEWS, top_n=200)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from platewise.config import Preferences, RankingParams
 from platewise.functions import sentiment
-from platewise.operators import analysis, bi, cleaning, dedup, merge, recommend, scoring, serving, star, stats
+from platewise.operators import analysis, bi, cleaning, collaborative, dedup, merge, recommend, scoring, serving, star, stats
 
 
 def rows(df, *order):
@@ -365,3 +365,13 @@ def test_reviews_of_places(spark, processed):
     assert rows(got.select("place_id", "review_id", "source")) == [("a", "r1", "processed"), ("b", "r2", "processed"), ("c", "x2", "raw")]
     assert rows(serving.unprocessed_reviews(raw_reviews, processed, 2).select("review_id")) == [("x1",), ("x2",)]
     assert serving.lookup(raw_reviews, "review_id", "nope").count() == 0
+
+
+def test_collaborative_prefers_what_similar_users_like(spark):
+    data = [(u, p, 5.0 if (u % 2) == (p % 2) else 1.0) for u in range(10) for p in range(10) if (u, p) not in [(0, 2), (0, 3)]]
+    ratings = spark.createDataFrame(data, "u int, p int, rating double")
+    model = collaborative.train_factors(ratings, "u", "p", "rating", rank=2, max_iter=8)
+    candidates = spark.createDataFrame([(0, 3, 1), (0, 2, 2), (99, 3, 1), (99, 2, 2)], "u int, p int, rank int")
+    got = collaborative.order_candidates(model, candidates, "u").orderBy("u", "position").collect()
+    assert [(r.u, r.p, r.position) for r in got] == [(0, 2, 1), (0, 3, 2), (99, 3, 1), (99, 2, 2)]
+    assert got[0].predicted_rating > 4 and got[2].predicted_rating is None

@@ -43,7 +43,10 @@ def _sorted_rows(rows, names):
 
 def test_every_sql_belongs_to_a_query():
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) <= {"score_reviews_trained"}
+    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) <= {
+        "score_reviews_trained",
+        "als_recommendations",
+    }
 
 
 @pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
@@ -69,5 +72,18 @@ def test_trained_scores_are_whole(spark):
     }
 
 
+def test_collaborative_order_keeps_every_candidate(spark):
+    lists = entry_point.queries()["recommend_for_users"](spark, SF_DIR).select("user_id", "place_id", "rank")
+    rows = entry_point.queries()["als_recommendations"](spark, SF_DIR).collect()
+    assert sorted((r.user_id, r.place_id, r.rank) for r in rows) == sorted(tuple(r) for r in lists.collect())
+    by_user: dict = {}
+    for r in sorted(rows, key=lambda r: (r.user_id, r.position)):
+        by_user.setdefault(r.user_id, []).append(r)
+    for found in by_user.values():
+        assert [r.position for r in found] == list(range(1, len(found) + 1))
+        scores = [r.predicted_rating for r in found if r.predicted_rating is not None]
+        assert scores == sorted(scores, reverse=True)
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0

@@ -39,7 +39,7 @@ WITH_PYTHON = {
     "batch_summary",
     "clean_batch_counts",
 }
-RUNS_AT_ONCE = {"score_reviews_trained"}
+RUNS_AT_ONCE = {"score_reviews_trained", "als_recommendations"}
 
 
 @pytest.mark.parametrize("name", sorted(set(q.REGISTRY) - RUNS_AT_ONCE))
