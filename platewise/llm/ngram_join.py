@@ -135,7 +135,11 @@ def frequent_slots(documents: DataFrame, params: JoinParams) -> bytes:
         yield record(sums, {"block": [block], "bits": [np.packbits(total >= limit).tobytes()]})
 
     rows = documents.select("text").mapInArrow(send, schema).groupBy("block").applyInArrow(add, sums).collect()
-    bits = np.zeros((blocks, (1 << params.block_bits) // 8), np.uint8)
+    return _joined_bits(rows, params)
+
+
+def _joined_bits(rows: list, params: JoinParams) -> bytes:
+    bits = np.zeros((1 << (params.slot_bits - params.block_bits), (1 << params.block_bits) // 8), np.uint8)
     for r in rows:
         bits[r["block"]] = np.frombuffer(r["bits"], np.uint8)
     return bits.tobytes()
@@ -199,10 +203,10 @@ def link(documents: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
     bits = frequent_slots(documents, params)
     sets = saved(_signed(documents, bits, params), "signatures")
     nodes = sets.filter("n_shingles > 0").groupBy("node").agg(
-        F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n")
+        F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n"), F.first("parities").alias("parities")
     )
     nodes = saved(nodes, "nodes")
-    groups = saved(_candidates(sets), "candidates")
+    groups = saved(_possible(nodes, _candidates(sets), params), "candidates")
     linked = components(_verified(documents, nodes, groups, params))
     named = nodes.join(linked, nodes["class_id"] == linked["node"], "left").select(
         nodes["node"], "class_id", F.coalesce("component", "class_id").alias("component_id")
@@ -226,11 +230,12 @@ def _signed(documents: DataFrame, bits: bytes, params: JoinParams) -> DataFrame:
     def work(part: pa.RecordBatch) -> dict[str, object]:
         table = np.frombuffer(shared.value, np.uint8)
         seen: set[int] = set()
-        nodes, sizes, found = [], [], []
+        nodes, sizes, found, maps = [], [], [], []
         for own in shingles(*raw_text(part.column("text")), params.shingle):
             node = fingerprint(own)
             nodes.append(node)
             sizes.append(len(own))
+            maps.append(parities(own))
             # one or two tokens can only be similar to an equal set
             if len(own) < 3 or node in seen:
                 found.append(np.zeros(0, np.int64))
@@ -243,13 +248,14 @@ def _signed(documents: DataFrame, bits: bytes, params: JoinParams) -> DataFrame:
             "doc_id": part.column("doc_id"),
             "node": nodes,
             "n_shingles": sizes,
+            "parities": maps,
             "signatures": pa.ListArray.from_arrays(
                 np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32),
                 pa.array(np.concatenate(found)),
             ),
         }
 
-    schema = "doc_id bigint, node bigint, n_shingles bigint, signatures array<bigint>"
+    schema = "doc_id bigint, node bigint, n_shingles bigint, parities binary, signatures array<bigint>"
     return map_text(documents, ["doc_id"], work, schema)
 
 
@@ -265,57 +271,160 @@ def _candidates(sets: DataFrame) -> DataFrame:
     return rows.filter("head < top").select("head", "node").distinct()
 
 
-def _verified(documents: DataFrame, nodes: DataFrame, groups: DataFrame, params: JoinParams) -> DataFrame:
-    """Links ``a``, ``b`` (class ids) that join what is similar among the sets of each group.
+def _dealt(groups: DataFrame, nodes: DataFrame, tokens: int) -> DataFrame:
+    """Tasks (``head``, ``i``, ``j``) with their nodes.
 
-    A group is verified in one task if its sets have up to ``task_tokens`` tokens. A larger
-    one is dealt to blocks, and every two blocks are verified together.
+    A group is one task if its sets have up to ``tokens`` tokens. A larger one is dealt to
+    blocks, and every two blocks make a task.
     """
-    members = groups.join(nodes, "node")
-    blocks = members.groupBy("head").agg(
-        F.ceil(F.sum("n") / F.lit(float(params.task_tokens))).cast("int").alias("blocks")
-    )
+    members = groups.join(nodes.select("node", "n"), "node")
+    blocks = members.groupBy("head").agg(F.ceil(F.sum("n") / F.lit(float(tokens))).cast("int").alias("blocks"))
     dealt = members.join(blocks, "head").select(
         "head",
         "node",
-        "class_id",
-        "blocks",
         F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     )
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tasks = dealt.select(
+    return dealt.select(
         "head", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node"
     )
-    wanted = members.select("class_id", "node").distinct()
-    texts = documents.withColumnRenamed("doc_id", "class_id").join(wanted, "class_id")
+
+
+def _possible(nodes: DataFrame, groups: DataFrame, params: JoinParams) -> DataFrame:
+    """The groups without what the parities rule out: (``head``, ``node``), parts of groups that can hang together.
+
+    Bits of parity are a sixty-fourth of a set, so this moves little; after it few sets
+    have to be moved that aren't similar to any.
+    """
+    schema = "head bigint, node bigint"
+
+    def sift(table: pa.Table) -> pa.Table:
+        ids = np.array(table.column("node").to_pylist(), np.int64)
+        heads = hang_together(ids, table.column("n").to_numpy(), table.column("parities").to_pylist(), params.percent)
+        keep = np.flatnonzero(np.isin(heads, heads[heads != ids]))
+        return pa.Table.from_batches([record(schema, {"head": heads[keep], "node": ids[keep]})])
+
+    # parities are small: larger groups fit in a task
+    tasks = _dealt(groups, nodes, 16 * params.task_tokens)
+    rows = tasks.join(nodes.select("node", "n", "parities"), "node")
+    return rows.groupBy("head", "i", "j").applyInArrow(sift, schema).distinct()
+
+
+def parities(tokens: np.ndarray) -> bytes:
+    """One bit for each slot: whether an odd number of tokens falls into it. There are about as many slots as tokens."""
+    size = max(256, 1 << max(len(tokens) - 1, 1).bit_length())
+    place = (mixed(tokens) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=size) & 1).astype(bool), bitorder="little").tobytes()
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Parities for fewer slots, by joining the slots that become one."""
+    while bits.shape[-1] > width:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def hang_together(ids: np.ndarray, sizes: np.ndarray, maps: list[bytes], percent: int) -> np.ndarray:
+    """For each set the smallest id that it can be joined to by links, as far as parities tell.
+
+    Sets whose parities differ in d slots differ in d tokens at least, so they share at
+    most half of what their sizes together have beyond d.
+    """
+    bits = [np.frombuffer(m, np.uint64) for m in maps]
+    widths = np.array([len(b) for b in bits])
+    by_width = {w: (np.flatnonzero(widths == w), np.stack([b for b in bits if len(b) == w])) for w in set(widths.tolist())}
+    row = np.zeros(len(ids), np.int64)
+    for at, _ in by_width.values():
+        row[at] = np.arange(len(at))
+    heads = ids.copy()
+    left = np.ones(len(ids), bool)
+    for start in np.argsort(ids, kind="stable"):
+        if not left[start]:
+            continue
+        left[start] = False
+        todo = [start]
+        while todo:
+            at = todo.pop()
+            for w, (members, stack) in by_width.items():
+                # similar sizes are at most one doubling apart
+                if not (widths[at] <= 2 * w and w <= 2 * widths[at]):
+                    continue
+                near = members[left[members]]
+                near = near[(100 * sizes[near] >= percent * sizes[at]) & (100 * sizes[at] >= percent * sizes[near])]
+                if not len(near):
+                    continue
+                both = min(w, int(widths[at]))
+                apart = np.bitwise_count(_folded(stack[row[near]], both) ^ _folded(bits[at], both)).sum(axis=1, dtype=np.int64)
+                total = sizes[near] + sizes[at]
+                shared = (total - apart) // 2
+                found = near[100 * shared >= percent * (total - shared)]
+                heads[found] = ids[start]
+                left[found] = False
+                todo += found.tolist()
+    return heads
+
+
+def _wanted(ids: DataFrame, params: JoinParams) -> bytes:
+    """One bit per slot of an id's hash: whether an id falls into it. Of a fixed size, like the bits of frequent tokens."""
+    schema = "block int, bits binary"
+
+    def mark(table: pa.Table) -> pa.Table:
+        here = np.zeros(1 << params.block_bits, bool)
+        here[table.column("place").to_numpy()] = True
+        block = table.column("block")[0].as_py()
+        return pa.Table.from_batches([record(schema, {"block": [block], "bits": [np.packbits(here).tobytes()]})])
+
+    slots = ids.select(_id_slot("class_id", params).alias("slot")).select(
+        F.shiftright("slot", params.block_bits).cast("int").alias("block"),
+        F.col("slot").bitwiseAND((1 << params.block_bits) - 1).alias("place"),
+    )
+    return _joined_bits(slots.distinct().groupBy("block").applyInArrow(mark, schema).collect(), params)
+
+
+def _id_slot(column: str, params: JoinParams):
+    return F.shiftrightunsigned(F.xxhash64(column), 64 - params.slot_bits)
+
+
+def _verified(documents: DataFrame, nodes: DataFrame, groups: DataFrame, params: JoinParams) -> DataFrame:
+    """Links ``a``, ``b`` (class ids) that join what is similar among the sets of each group.
+
+    The sets are made again from the texts, of the documents whose ids are in a group; the
+    bits that say so let a few others through, which find no task in the join.
+    """
+    wanted = groups.select("node").distinct().join(nodes, "node").select("class_id")
+    shared = documents.sparkSession.sparkContext.broadcast(_wanted(wanted, params))
     schema = "node bigint, class_id bigint, tokens binary"
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            for part in slices(batch):
+            slot = batch.column("slot").to_numpy()
+            hit = (table[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 > 0
+            for part in slices(batch.filter(pa.array(hit))):
                 found = shingles(*raw_text(part.column("text")), params.shingle)
-                # rows of the same id with another text aren't this set
-                ok = [k for k, (own, node) in enumerate(zip(found, part.column("node").to_pylist(), strict=True)) if fingerprint(own) == node]
-                at = pa.array(ok, pa.int64())
                 yield record(
                     schema,
                     {
-                        "node": part.column("node").take(at),
-                        "class_id": part.column("class_id").take(at),
-                        "tokens": [found[k].tobytes() for k in ok],
+                        "node": [fingerprint(own) for own in found],
+                        "class_id": part.column("doc_id"),
+                        "tokens": [own.tobytes() for own in found],
                     },
                 )
 
-    sets = texts.select("node", "class_id", "text").mapInArrow(tokens, schema).dropDuplicates(["node"])
+    texts = documents.select("doc_id", "text", _id_slot("doc_id", params).alias("slot"))
+    sets = texts.mapInArrow(tokens, schema)
     links = "a bigint, b bigint"
 
     def verify(table: pa.Table) -> pa.Table:
-        ids = table.column("class_id").to_pylist()
-        own = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
-        a, b = similar(ids, own, params.percent)
+        # a row that is repeated in the documents is the same set again
+        ids, at = np.unique(table.column("class_id").to_numpy(), return_index=True)
+        own = [np.frombuffer(t, np.uint64) for t in table.column("tokens").take(pa.array(at)).to_pylist()]
+        a, b = similar(ids.tolist(), own, params.percent)
         return pa.Table.from_batches([record(links, {"a": a, "b": b})])
 
-    return tasks.join(sets, "node").groupBy("head", "i", "j").applyInArrow(verify, links)
+    named = _dealt(groups, nodes, params.task_tokens).join(nodes.select("node", "class_id"), "node")
+    return named.join(sets, ["node", "class_id"]).groupBy("head", "i", "j").applyInArrow(verify, links)
 
 
 def similar(ids: list[int], sets: list[np.ndarray], percent: int) -> tuple[list[int], list[int]]:
