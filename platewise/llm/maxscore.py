@@ -28,8 +28,9 @@ class SearchParams:
     #: candidates of a shard, queries of a block (about: both are dealt by hash)
     shard_rows: int = 4096
     block_rows: int = 4096
-    #: candidates traversed before the k-th best score is renewed
-    stride: int = 1024
+    #: candidates traversed before there is a k-th best score, and before it is renewed
+    first: int = 256
+    stride: int = 2048
     #: terms probed between two checks of what is still competitive
     probe: int = 4
 
@@ -44,28 +45,40 @@ def quantized(vector: Column) -> Column:
 class Shard:
     """Candidates in order of their ids, with a list of postings (row, value) per term."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: int = 1 << 31) -> None:
+        """``largest``: no component of a query is larger. Floats are faster, and exact as long as they hold all sums."""
         order = np.argsort(ids, kind="stable")
+        reach = int(np.abs(vectors).max(initial=0)) * largest * max(vectors.shape[1], 1)
+        vectors = vectors.astype(np.float32 if reach < 1 << 24 else float) if reach < 1 << 53 else vectors
         self.ids, self.vectors = ids[order], vectors[order]
         self.rows = [np.flatnonzero(column) for column in self.vectors.T]
         self.values = [column[rows] for column, rows in zip(self.vectors.T, self.rows, strict=True)]
+        #: terms that every candidate has: their postings are columns
+        self.dense = np.array([len(rows) == len(ids) for rows in self.rows], bool)
+        self.columns = np.ascontiguousarray(self.vectors.T)
         self.most = self.vectors.max(axis=0, initial=0)
         self.least = self.vectors.min(axis=0, initial=0)
 
 
 def search(shard: Shard, query: np.ndarray, own: int, params: SearchParams) -> tuple[np.ndarray, np.ndarray]:
     """Ids and scores of the k best candidates other than ``own``, best first, ties to the smaller id."""
+    query = query.astype(shard.columns.dtype)
     bounds = np.maximum(query * shard.most, query * shard.least)
     order = np.argsort(bounds, kind="stable")
     sums = np.cumsum(bounds[order])
-    best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    limit: int | None = None
-    for start in range(0, len(shard.ids), params.stride):
-        stop = min(start + params.stride, len(shard.ids))
+    best_ids, best = np.zeros(0, np.int64), np.zeros(0, shard.columns.dtype)
+    limit = None
+    starts = [0, *range(params.first, len(shard.ids), params.stride)]
+    for start, stop in zip(starts, [*starts[1:], len(shard.ids)], strict=True):
         spare = 0 if limit is None else int(np.searchsorted(sums, limit))
-        score = np.zeros(stop - start, np.int64)
+        score = np.zeros(stop - start, shard.columns.dtype)
         met = np.zeros(stop - start, bool) if spare else np.ones(stop - start, bool)
-        for term in order[spare:]:
+        here = shard.columns[:, start:stop]
+        essential = order[spare:]
+        for term in essential[shard.dense[essential]].tolist():
+            score += query[term] * here[term]
+            met[:] = True
+        for term in essential[~shard.dense[essential]]:
             if query[term]:
                 rows = shard.rows[term]
                 a, b = np.searchsorted(rows, (start, stop))
@@ -74,12 +87,16 @@ def search(shard: Shard, query: np.ndarray, own: int, params: SearchParams) -> t
                 met[at] = True
         met[shard.ids[start:stop] == own] = False
         alive = np.flatnonzero(met)
-        for last in range(spare, 0, -params.probe):
-            alive = alive[score[alive] + sums[last - 1] >= limit]
-            if not len(alive):
-                break
-            terms = order[max(0, last - params.probe) : last]
-            score[alive] += shard.vectors[start + alive[:, None], terms] @ query[terms]
+        for last in range(spare, 0, -1):
+            if (spare - last) % params.probe == 0:
+                alive = alive[score[alive] + sums[last - 1] >= limit]
+                if not len(alive):
+                    break
+            term = order[last - 1]
+            if 4 * len(alive) > len(score):
+                score += query[term] * here[term]
+            else:
+                score[alive] += query[term] * here[term][alive]
         if limit is not None:
             alive = alive[score[alive] >= limit]
         if len(alive):
@@ -88,8 +105,8 @@ def search(shard: Shard, query: np.ndarray, own: int, params: SearchParams) -> t
             top = np.lexsort((ids, -found))[: params.k]
             best, best_ids = found[top], ids[top]
             if len(best) == params.k:
-                limit = int(best[-1])
-    return best_ids, best
+                limit = best[-1]
+    return best_ids, best.astype(np.int64)
 
 
 def top_k(embeddings: DataFrame, params: SearchParams = SearchParams()) -> DataFrame:
@@ -127,7 +144,7 @@ def top_k(embeddings: DataFrame, params: SearchParams = SearchParams()) -> DataF
         query_ids, asked = _matrix(left)
         ids, found = _matrix(right)
         width = max(asked.shape[1], found.shape[1])
-        shard = Shard(ids, _wide(found, width))
+        shard = Shard(ids, _wide(found, width), int(np.abs(asked).max(initial=1)))
         out: list[tuple] = []
         for at, (own, query) in enumerate(zip(query_ids.tolist(), _wide(asked, width), strict=True)):
             near, score = search(shard, query, own, params)

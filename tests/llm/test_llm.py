@@ -86,7 +86,7 @@ def test_search_skips_bad_vectors_and_breaks_ties(spark):
 def test_search_kernel(density):
     rng = np.random.default_rng(1)
     vectors = rng.integers(-9, 10, (500, 12)) * (rng.random((500, 12)) < density)
-    params = maxscore.SearchParams(stride=64)
+    params = maxscore.SearchParams(first=32, stride=64)
     for largest in (9, 1 << 60):
         shard = maxscore.Shard(np.arange(500), vectors, largest)
         for own in range(40):
