@@ -6,12 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType
-
-
-# Spark's default bound of the group limit, and the parts a group is split into beyond it
-GROUP_LIMIT = 1000
-SALTS = 64
 
 
 def _first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int) -> DataFrame:
@@ -28,9 +22,11 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
     for small ``n`` only; a larger one first takes ``n`` rows of each of many parts of
     a key, which hold the first ``n`` of the whole key.
     """
-    if n > GROUP_LIMIT:
-        hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(SALTS)))
+    conf = df.sparkSession.conf
+    if n > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        # by input partition: equal rows of a hot key are split as well
+        parts = int(conf.get("spark.sql.shuffle.partitions"))
+        salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(parts)))
         df = _first(salted, [*keys, "_salt"], order_by, n).drop("_salt")
     return _first(df, keys, order_by, n)
 

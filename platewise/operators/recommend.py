@@ -98,7 +98,7 @@ def recommend_for_users(
 
     ``preferences`` holds user_id, cuisine_types and min_rating. A null list accepts any
     type (matched through one extra type every place has); an empty list accepts none.
-    Only the ``top_n`` ranked places are broadcast.
+    Whether the ranked places are broadcast is left to Spark's check of their size.
     """
     ranked = rank_restaurants(analyses, params)
     lowered = F.transform(F.coalesce("types", F.array().cast("array<string>")), F.lower)
@@ -110,7 +110,7 @@ def recommend_for_users(
     users = preferences.select(
         "user_id", "min_rating", F.explode(F.array_distinct(wanted)).alias("type")
     )
-    hits = users.join(broadcast_limited(by_type, params.top_n), "type").filter(
+    hits = users.join(by_type, "type").filter(
         F.col("min_rating").isNull() | (F.col("avg_predicted_score") >= F.col("min_rating"))
     )
     return hits.drop("type", "min_rating").dropDuplicates(["user_id", "rank"])

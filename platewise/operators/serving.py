@@ -133,14 +133,14 @@ def live_recommendations(processed: DataFrame, restaurants: DataFrame, limit: in
 def rating_fallback(restaurants: DataFrame, limit: int = PAGE_SIZE) -> DataFrame:
     """Best rated places, for the time before any review was scored."""
     best = numbered(restaurants, [F.desc("rating"), F.col("place_id")], limit)
-    rating: Column = F.col("rating").cast("double")
+    rating: Column = F.coalesce(F.col("rating").cast("double"), F.lit(0.0))
     return best.select(
         "rank",
         "place_id",
         F.col("name").alias("restaurant_name"),
         rating.alias("avg_predicted_score"),
         rating.alias("recommendation_score"),
-        F.col("total_ratings").cast("bigint").alias("review_count"),
+        F.coalesce(F.col("total_ratings").cast("bigint"), F.lit(0)).cast("bigint").alias("review_count"),
         F.lit(0.0).alias("positive_ratio"),
         F.lit("google_rating_fallback").alias("source"),
     )

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise.operators.dedup import top_per_key
-from platewise.session import spread_small
 
 # two days that part the reviews into what is stored already and what arrives
 STORED_BEFORE = "2000-01-01"
@@ -49,7 +48,7 @@ def _copies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("ep"),
         F.col("l_quantity").alias("q"),
     )
-    return spread_small(copies, "review_id")
+    return copies
 
 
 def _with_rating(df: DataFrame) -> DataFrame:
@@ -149,13 +148,13 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("").alias("profile_photo_url"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("ingested_at"),
     )
-    return spread_small(raw, "review_id")
+    return raw
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as review texts, with markup, links, contractions and key words."""
     body, kind = F.col("text"), F.col("doc_id") % 5
-    documents = spread_small(table(spark, sf_dir, "documents"), "doc_id")
+    documents = table(spark, sf_dir, "documents")
     return documents.select(
         "doc_id",
         F.concat(F.lit("D"), F.col("doc_id")).alias("review_id"),

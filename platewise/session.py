@@ -51,19 +51,3 @@ def work_root(spark: SparkSession) -> str:
 def new_work_path(spark: SparkSession, name: str) -> str:
     """A path below the work folder that no earlier run has used."""
     return f"{work_root(spark)}/platewise/{name}-{uuid.uuid4().hex}"
-
-
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread rows over all cores where the input has fewer splits than that.
-
-    For work that is heavy per row. The size is the optimizer's estimate, so nothing
-    runs; an input that fills every core with scan splits is returned as it is, without
-    a shuffle.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    return df.repartition(cores, *keys) if size < cores * split else df

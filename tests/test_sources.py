@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from platewise import schemas
 from platewise.plans import ingestion
-from platewise.session import new_work_path, spread_small, work_root
+from platewise.session import new_work_path, work_root
 from platewise.sources import documents, lake, snapshots
 from platewise.streaming import ingest as streaming
 
@@ -113,13 +113,6 @@ def test_work_folder_comes_from_the_session(spark):
     assert new_work_path(spark, "a") != new_work_path(spark, "a")
 
 
-def test_spread_small(spark):
-    small = spread_small(spark.createDataFrame([(1,)], "a int"), "a")
-    assert small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    large = spark.range(1 << 40)
-    assert spread_small(large) is large
-
-
 def test_ingest_and_batch_job_agree(spark):
     places = documents.from_rows(spark, [PLACE, PLACE], schemas.PLACE_DETAILS)
     out = ingestion.ingest(places, "2023-12-01", F.lit("2023-11-20"))
