@@ -372,3 +372,16 @@ def test_pipeline_keeps_what_stages_decide(spark):
     assert len(bad) < 0.05 * len(kept) and len(kept & set(clean)) > 0.85 * len(clean)
     linked = {r.doc_id: r.component_id for r in ngram_join.link(table(spark, SF_DIR, "documents")).collect()}
     assert len({linked[d] for d in kept}) > 0.97 * len(kept)
+
+
+def test_what_reaches_the_driver_is_bounded():
+    """Sums of a fixed size, classes of a label, and samples bounded by a parameter; nothing else is collected."""
+    from pathlib import Path
+
+    found = {}
+    for path in Path(bpe.__file__).parent.glob("*.py"):
+        n = len(re.findall(r"\.(?:collect|toPandas|toLocalIterator)\(", path.read_text()))
+        if n:
+            found[path.name] = n
+        assert not re.search(r"\.(localCheckpoint|crossJoin)\(", path.read_text())
+    assert found == {"language.py": 1, "ngram_join.py": 2, "quality.py": 1, "toxicity.py": 1}
