@@ -43,7 +43,8 @@ def _sorted_rows(rows, names):
 
 def test_every_sql_belongs_to_a_query():
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) <= {
+    own = set(entry_point.queries()) - set(entry_point.LLM_QUERIES)
+    assert own - set(entry_point.oracle_sql()) <= {
         "score_reviews_trained",
         "als_recommendations",
     }
