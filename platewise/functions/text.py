@@ -40,11 +40,11 @@ CONTRACTIONS = [
 
 # Key words by subject.
 KEY_WORDS = {
-    "food": "food pizza burger sushi pasta steak chicken fish salad soup dessert appetizer "
-    "cocktail wine beer coffee tea".split(),
-    "service": "service staff waiter waitress server manager chef".split(),
-    "atmosphere": "atmosphere ambiance decor music view location parking".split(),
-    "value": "price value portion quality taste flavor fresh".split(),
+    "food": ["food", "pizza", "burger", "sushi", "pasta", "steak", "chicken", "fish", "salad", "soup", "dessert",
+             "appetizer", "cocktail", "wine", "beer", "coffee", "tea"],
+    "service": ["service", "staff", "waiter", "waitress", "server", "manager", "chef"],
+    "atmosphere": ["atmosphere", "ambiance", "decor", "music", "view", "location", "parking"],
+    "value": ["price", "value", "portion", "quality", "taste", "flavor", "fresh"],
 }
 
 # Tags that say nothing about a place, and the labels shown for known tags.
@@ -73,7 +73,8 @@ TAG_LABELS = {
     "grocery_or_supermarket": "Grocery",
 }
 
-MAX_WORDS = 512
+# where a word starts or ends
+WORD_EDGE = r"(?<=\w)(?=\W)|(?<=\W)(?=\w)"
 
 
 def strip_markup(text: Column, mode: str = "pipeline") -> Column:
@@ -125,23 +126,23 @@ def expand_contractions(text: Column) -> Column:
     return F.transform(F.array(text), expand)[0]
 
 
-def truncate_words(text: Column, max_words: int = MAX_WORDS) -> Column:
+def truncate_words(text: Column, max_words: int = 512) -> Column:
     """The first words of a text whose words are parted by single blanks."""
     return F.substring_index(text, " ", max_words)
 
 
-def normalize_text(text: Column, max_words: int | None = MAX_WORDS) -> Column:
+def normalize_text(text: Column) -> Column:
     """Model input: decomposed, without markup and links, expanded, basic characters only.
 
     Null and empty give ``''``. White space is among the characters outside the kept
-    set, so one replacement both drops characters and collapses blanks.
+    set, so one replacement both drops characters and collapses blanks. The whole text is
+    kept; a model that reads only so many words cuts its input itself.
     """
     out = nfkd(F.coalesce(text, F.lit("")))
     out = F.regexp_replace(out, TAG, " ")
     out = F.regexp_replace(out, URL, " ")
     out = expand_contractions(out)
-    out = F.trim(F.regexp_replace(out, DROPPED, " "))
-    return out if max_words is None else truncate_words(out, max_words)
+    return F.trim(F.regexp_replace(out, DROPPED, " "))
 
 
 def key_phrases(normalized: Column) -> Column:
@@ -154,12 +155,18 @@ def key_phrases(normalized: Column) -> Column:
     return F.array_sort(F.array_intersect(F.split(F.lower(normalized), WORD_BREAK), F.array(*words)))
 
 
+def capital_words(text: Column) -> Column:
+    """Every word starts with a capital; the rest of it stays as it is. Hyphens part words."""
+    parts = F.split(text, WORD_EDGE)
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.left(p, F.lit(1))), F.substring(p, 2, 1 << 30))), "")
+
+
 def display_types(types: Column) -> Column:
     """Up to three labels for a place's tags; ``Restaurant`` when nothing specific is left."""
     labels = F.create_map(*[F.lit(x) for pair in TAG_LABELS.items() for x in pair])
     specific = F.filter(F.coalesce(types, F.array().cast("array<string>")), lambda t: ~t.isin(GENERIC_TAGS))
     shown = F.transform(
         F.slice(specific, 1, 3),
-        lambda t: F.coalesce(F.try_element_at(labels, t), F.initcap(F.replace(t, F.lit("_"), F.lit(" ")))),
+        lambda t: F.coalesce(F.try_element_at(labels, t), capital_words(F.replace(t, F.lit("_"), F.lit(" ")))),
     )
     return F.when(F.size(specific) == 0, F.array(F.lit("Restaurant"))).otherwise(shown)

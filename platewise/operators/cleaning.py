@@ -80,7 +80,7 @@ def clean_counts(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
 
 def batch_text_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """How many texts of a batch have any content after normalisation."""
-    normalized = text.normalize_text(F.col(text_col), max_words=None)
+    normalized = text.normalize_text(F.col(text_col))
     return df.select(normalized.alias("t")).agg(
         F.count(F.lit(1)).alias("input_texts"), F.count_if(F.col("t") != "").alias("valid_texts")
     )

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise.operators.dedup import top_per_key
@@ -152,24 +152,36 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as review texts, with markup, links, contractions and key words."""
+    """Documents as review texts, with markup, links, contractions and key words.
+
+    Every fifth document has a second review, with an id of its own, that is blank.
+    """
     body, kind = F.col("text"), F.col("doc_id") % 5
     documents = table(spark, sf_dir, "documents")
-    return documents.select(
-        "doc_id",
-        F.concat(F.lit("D"), F.col("doc_id")).alias("review_id"),
-        F.col("source").alias("place_id"),
-        F.col("lang").alias("language"),
+    written = F.concat(F.lit("D"), F.col("doc_id"))
+    review = (
         F.when(kind == 0, F.concat(F.lit("<p>The pizza</p> isn't bad & the staff's great! "), body))
         .when(kind == 1, F.concat(F.lit("  see https://ex.example/a?b=1 for the price  "), body))
         .when(kind == 2, F.concat(F.lit("We won't return, it's slow<br>service "), body))
-        .when(kind == 3, body)
-        .otherwise(F.lit("  <i></i> "))
-        .alias("text"),
-        F.concat(F.lit("Source "), F.col("source")).alias("restaurant_name"),
-        (F.col("doc_id") % 7).cast("double").alias("rating"),
-        (F.lit(1_600_000_000) + F.col("doc_id") * 7200).alias("time_epoch"),
-        F.lit("2024-01-01").alias("ingested_at"),
+        .otherwise(body)
+    )
+
+    def rows(docs: DataFrame, doc_id: Column, review_id: Column, content: Column) -> DataFrame:
+        return docs.select(
+            doc_id.alias("doc_id"),
+            review_id.alias("review_id"),
+            F.col("source").alias("place_id"),
+            F.col("lang").alias("language"),
+            content.alias("text"),
+            F.concat(F.lit("Source "), F.col("source")).alias("restaurant_name"),
+            (F.col("doc_id") % 7).cast("double").alias("rating"),
+            (F.lit(1_600_000_000) + F.col("doc_id") * 7200).alias("time_epoch"),
+            F.lit("2024-01-01").alias("ingested_at"),
+        )
+
+    blank = F.concat(F.lit("E"), F.col("doc_id"))
+    return rows(documents, F.col("doc_id"), written, review).unionByName(
+        rows(documents.filter(kind == 4), -1 - F.col("doc_id"), blank, F.lit("  <i></i> "))
     )
 
 
@@ -181,9 +193,15 @@ def text_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first five numbers of each vector as class logits of a document."""
+    """Each vector folded to five class logits of a document: number i counts for class i modulo 5."""
+    numbers = F.col("embedding").cast("array<double>")
+
+    def folded(k: int) -> Column:
+        return F.aggregate(F.filter(numbers, lambda x, i: i % 5 == k), F.lit(0.0), lambda a, x: a + x)
+
     return table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("doc_id"), F.slice("embedding", 1, 5).cast("array<double>").alias("logits")
+        F.col("vec_id").alias("doc_id"),
+        F.when(numbers.isNotNull(), F.array(*[folded(k) for k in range(5)])).alias("logits"),
     )
 
 

@@ -98,14 +98,18 @@ SELECT doc_id, concat('D', doc_id) AS review_id, source AS place_id, lang AS lan
          WHEN 0 THEN concat('<p>The pizza</p> isn''t bad & the staff''s great! ', text)
          WHEN 1 THEN concat('  see https://ex.example/a?b=1 for the price  ', text)
          WHEN 2 THEN concat('We won''t return, it''s slow<br>service ', text)
-         WHEN 3 THEN text
-         ELSE '  <i></i> ' END AS text,
+         ELSE text END AS text,
        concat('Source ', source) AS restaurant_name, CAST(doc_id % 7 AS DOUBLE) AS rating,
        1600000000 + doc_id * 7200 AS time_epoch, '2024-01-01' AS ingested_at
-FROM documents""",
+FROM documents UNION ALL
+SELECT -1 - doc_id, concat('E', doc_id), source, lang, '  <i></i> ', concat('Source ', source),
+       CAST(doc_id % 7 AS DOUBLE), 1600000000 + doc_id * 7200, '2024-01-01'
+FROM documents WHERE doc_id % 5 = 4""",
     "b_ratings": "SELECT doc_id, CAST(3 + 2 * quality - 2 * toxic AS DOUBLE) AS rating FROM labels",
     "b_logits": """
-SELECT vec_id AS doc_id, list_transform(embedding[1:5], lambda x: CAST(x AS DOUBLE)) AS logits FROM embeddings""",
+SELECT vec_id AS doc_id, CASE WHEN embedding IS NOT NULL THEN list_transform([0, 1, 2, 3, 4], lambda k:
+         list_sum(list_filter(list_transform(embedding, lambda x: CAST(x AS DOUBLE)), lambda x, i: (i - 1) % 5 = k))) END AS logits
+FROM embeddings""",
     "b_users": """
 SELECT concat('U', c_custkey) AS user_id,
        CASE c_mktsegment WHEN 'MACHINERY' THEN ['gear', 'BOLT'] WHEN 'BUILDING' THEN ['Plate', 'small']
@@ -181,7 +185,7 @@ def first_words(text: str, n: int) -> str:
     return f"array_to_string(string_split({text}, ' ')[1:{n}], ' ')"
 
 
-VIEWS["b_normal"] = f"SELECT *, {first_words(normalized('text'), 512)} AS text_cleaned FROM b_texts"
+VIEWS["b_normal"] = f"SELECT *, {normalized('text')} AS text_cleaned FROM b_texts"
 
 # fixed values
 KEY_WORDS = (
@@ -760,17 +764,15 @@ SCORES = [
     "recommendation_score",
     "positive_ratio",
 ]
-VIEWS["b_other_authors"] = "SELECT * FROM b_scored WHERE author_name <> 'S0'"
-VIEWS["b_other_analyses"] = analyses("b_other_authors")
-VIEWS["b_other_distribution"] = """
-SELECT place_id, string_agg(concat(sentiment_label, ':', n), ',' ORDER BY sentiment_label) AS sentiment_distribution
-FROM (SELECT place_id, sentiment_label, COUNT(*) AS n FROM b_other_authors GROUP BY ALL) GROUP BY place_id"""
+VIEWS["b_places_and_empty"] = """
+SELECT place_id, name, array_to_string(types, ',') AS types FROM b_restaurants
+UNION ALL SELECT concat('N', s_suppkey), 'Unknown', '' FROM supplier"""
 oracle(
     "analyze_restaurants",
     f"""
-SELECT r.place_id, r.name AS restaurant_name, array_to_string(r.types, ',') AS types,
+SELECT r.place_id, r.name AS restaurant_name, r.types,
        {", ".join(f"coalesce(a.{c}, 0) AS {c}" for c in SCORES)}, coalesce(s.sentiment_distribution, '') AS sentiment_distribution
-FROM b_restaurants r LEFT JOIN b_other_analyses a USING (place_id) LEFT JOIN b_other_distribution s USING (place_id)""",
+FROM b_places_and_empty r LEFT JOIN b_analyses a USING (place_id) LEFT JOIN b_distribution s USING (place_id)""",
 )
 oracle("sentiment_distribution", "SELECT place_id, sentiment_distribution FROM b_distribution")
 oracle("bayesian_score", "SELECT place_id, review_count, bayesian_score FROM b_analyses")

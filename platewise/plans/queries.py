@@ -568,7 +568,7 @@ def normalize_text(spark, sf_dir):
 
 @query
 def truncate_words(spark, sf_dir):
-    whole = text.normalize_text(F.col("text"), max_words=None)
+    whole = text.normalize_text(F.col("text"))
     return b.texts(spark, sf_dir).select("review_id", text.truncate_words(whole, 10).alias("first_words"))
 
 
@@ -722,12 +722,14 @@ def _analyses(spark, sf_dir):
 
 @query
 def analyze_restaurants(spark, sf_dir):
-    return analysis.analyze_restaurants(
-        _aged(spark, sf_dir).filter(F.col("author_name") != "S0"),
-        b.restaurants(spark, sf_dir),
-        PARAMS,
-        keep_empty=True,
+    """All places, with one for each supplier, which nobody has reviewed."""
+    places = b.restaurants(spark, sf_dir).select("place_id", "name", "types")
+    empty = b.table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("N"), "s_suppkey").alias("place_id"),
+        F.lit(None).cast("string").alias("name"),
+        F.lit(None).cast("array<string>").alias("types"),
     )
+    return analysis.analyze_restaurants(_aged(spark, sf_dir), places.unionByName(empty), PARAMS, keep_empty=True)
 
 
 @query
