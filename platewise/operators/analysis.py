@@ -66,14 +66,17 @@ def sentiment_distribution(scored: DataFrame) -> DataFrame:
 
 
 def place_scores(scored: DataFrame, params: RankingParams = RankingParams()) -> DataFrame:
-    """All scores of each place that has reviews.
+    """All scores of each place that has scored reviews.
+
+    A review without a score counts nowhere, neither in means nor in weights; score it
+    first (``scoring.ensure_scored``) to have it count.
 
     Two levels of aggregation: per place and label, then per place. The first combines
     rows inside each task before any shuffle, so a place with very many reviews sends a
     handful of rows per task.
     """
     totals = (
-        _per_label(scored, params)
+        _per_label(scored.filter(F.col("predicted_score").isNotNull()), params)
         .groupBy("place_id")
         .agg(
             F.sum("n").alias("n"),
@@ -107,14 +110,15 @@ def analyze_restaurants(
     params: RankingParams = RankingParams(),
     keep_empty: bool = False,
 ) -> DataFrame:
-    """Scores per place with its name and tags.
+    """Scores per place with its name and tags, and price level and coordinates where they are known.
 
     ``keep_empty`` also returns places without reviews, with zeros and an empty map.
     """
     scores = place_scores(scored, params)
     if restaurants is None:
         return scores
-    places = restaurants.select("place_id", F.col("name").alias("restaurant_name"), "types")
+    known = [c for c in ("price_level", "latitude", "longitude") if c in restaurants.columns]
+    places = restaurants.select("place_id", F.col("name").alias("restaurant_name"), "types", *known)
     joined = places.join(scores, "place_id", "left" if keep_empty else "inner")
     zeros = {
         c: F.coalesce(F.col(c), F.lit(0.0))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType
+from pyspark.sql.types import AtomicType, StructField
 
 from platewise.operators.dedup import top_per_key
 
@@ -30,6 +30,15 @@ FACT_PREDICTION_UPDATES = [
 ]
 
 
+def row_order(df: DataFrame, key: str) -> list[Column]:
+    """An order of rows by all columns but the key; values that can't be compared, as maps, by their JSON text."""
+
+    def comparable(field: StructField) -> Column:
+        return F.col(field.name) if isinstance(field.dataType, AtomicType) else F.to_json(F.struct(field.name))
+
+    return [comparable(f) for f in df.schema if f.name != key] or [F.col(key)]
+
+
 def merge_by_key(
     target: DataFrame,
     updates: DataFrame,
@@ -42,8 +51,9 @@ def merge_by_key(
 ) -> DataFrame:
     """Insert rows with a new key, change ``update_cols`` of rows with a known key.
 
-    ``order_by`` picks the winner among updates of one key (first row wins); it may be
-    left out only for updates with unique keys. ``keep_if_null`` treats a null in an
+    ``order_by`` picks the winner among updates of one key (first row wins); without it
+    the smallest row by the other columns wins, so copies in a batch never multiply a
+    key, whatever their order. ``keep_if_null`` treats a null in an
     update as "field not sent". ``op_col`` adds what happened to each row: inserted,
     modified, unchanged (matched without a new value) or kept (no update).
 
@@ -52,8 +62,8 @@ def merge_by_key(
     Spark finds the batch below its broadcast threshold the target is not shuffled, at
     the price of a second scan of its key column. Both give the same rows.
     """
-    if order_by is not None:
-        updates = top_per_key(updates, [key], order_by)
+    order_by = row_order(updates, key) if order_by is None else order_by
+    updates = top_per_key(updates, [key], order_by)
     update_cols = [c for c in updates.columns if c != key] if update_cols is None else update_cols
     sent = updates.select(
         key, F.lit(True).alias("_sent"), *[F.col(c).alias(f"_new_{c}") for c in updates.columns if c != key]
@@ -107,8 +117,7 @@ def merge_counts(merged: DataFrame, op_col: str) -> DataFrame:
 
 def insert_if_absent(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Add rows whose key is new, one per key; rows already there stay as they are."""
-    order = [F.col(c) for c in updates.columns if c != key]
-    unique = top_per_key(updates, [key], order or [F.col(key)])
+    unique = top_per_key(updates, [key], row_order(updates, key))
     return target.unionByName(unique.join(target.select(key), key, "left_anti"), allowMissingColumns=True)
 
 

@@ -19,15 +19,6 @@ RECOMMENDATION_COLUMNS = [
 ]
 
 
-# a side is broadcast by hint only when a limit keeps it below this many rows
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_limited(df: DataFrame, limit: int) -> DataFrame:
-    """Hint a broadcast of rows that were cut to ``limit``; a large limit leaves it to Spark."""
-    return F.broadcast(df) if limit <= BROADCAST_ROWS else df
-
-
 def numbered(df: DataFrame, order_by: list[Column], n: int, name: str = "rank") -> DataFrame:
     """The first ``n`` rows with their position.
 
@@ -48,13 +39,13 @@ def _any_type_equals(wanted) -> Column:
     return F.arrays_overlap(lowered, F.array(*[F.lit(w.lower()) for w in wanted]).cast("array<string>"))
 
 
-def distance_km(lat: Column, lng: Column, near: tuple[float, float]) -> Column:
+def distance_km(lat: Column, lng: Column, near: tuple[float | Column, float | Column]) -> Column:
     """Great-circle distance to a point."""
-    lat0, lng0 = near
+    lat0, lng0 = (F.lit(x).cast("double") for x in near)
     half_lat = F.sin(F.radians(lat.cast("double") - lat0) / 2)
     half_lng = F.sin(F.radians(lng.cast("double") - lng0) / 2)
     h = half_lat * half_lat + F.cos(F.radians(lat.cast("double"))) * F.cos(
-        F.radians(F.lit(lat0))
+        F.radians(lat0)
     ) * half_lng * half_lng
     return F.asin(F.sqrt(h)) * (2 * 6371.0)
 
@@ -96,24 +87,39 @@ def recommend_for_users(
 ) -> DataFrame:
     """Recommendations of every user with stored preferences, in one equi-join.
 
-    ``preferences`` holds user_id, cuisine_types and min_rating. A null list accepts any
-    type (matched through one extra type every place has); an empty list accepts none.
+    ``preferences`` holds user_id, cuisine_types and min_rating, and may hold price_range
+    (lowest and highest level), near (latitude and longitude) and max_km, which need the
+    places' price and coordinates. A null list accepts any type (matched through one extra
+    type every place has); an empty list accepts none. Other nulls are no filter.
     Whether the ranked places are broadcast is left to Spark's check of their size.
     """
     ranked = rank_restaurants(analyses, params)
     lowered = F.transform(F.coalesce("types", F.array().cast("array<string>")), F.lower)
+    tests = {
+        "price_range": ("price_level",),
+        "near": ("latitude", "longitude"),
+    }
+    facts = [c for wish, needed in tests.items() if wish in preferences.columns for c in needed]
     by_type = ranked.select(
         *RECOMMENDATION_COLUMNS,
+        *facts,
         F.explode(F.array_distinct(F.concat(lowered, F.array(F.lit(ANY_TYPE))))).alias("type"),
     ).withColumnRenamed("sentiment_distribution", "sentiment_summary")
     wanted = F.coalesce(F.transform("cuisine_types", F.lower), F.array(F.lit(ANY_TYPE)))
+    wishes = [c for c in ("price_range", "near", "max_km") if c in preferences.columns]
     users = preferences.select(
-        "user_id", "min_rating", F.explode(F.array_distinct(wanted)).alias("type")
+        "user_id", "min_rating", *wishes, F.explode(F.array_distinct(wanted)).alias("type")
     )
     hits = users.join(by_type, "type").filter(
         F.col("min_rating").isNull() | (F.col("avg_predicted_score") >= F.col("min_rating"))
     )
-    return hits.drop("type", "min_rating").dropDuplicates(["user_id", "rank"])
+    if "price_range" in wishes:
+        low, high = F.col("price_range")[0], F.col("price_range")[1]
+        hits = hits.filter(F.col("price_range").isNull() | F.col("price_level").between(low, high))
+    if "near" in wishes:
+        away = distance_km(F.col("latitude"), F.col("longitude"), (F.col("near")[0], F.col("near")[1]))
+        hits = hits.filter(F.col("near").isNull() | F.col("max_km").isNull() | (away <= F.col("max_km")))
+    return hits.drop("type", "min_rating", *wishes, *facts).dropDuplicates(["user_id", "rank"])
 
 
 def recommendation_docs(recommendations: DataFrame, generated_at: Column | None = None) -> DataFrame:

@@ -115,14 +115,13 @@ def batch_model(load: Callable[[], Callable[[list[str]], np.ndarray]], batch_siz
     def logits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = load()
         for texts in batches:
-            out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
             filled = texts[texts.fillna("") != ""]
+            judged = []
             for start in range(0, len(filled), batch_size):
                 part = filled.iloc[start : start + batch_size]
-                values = np.asarray(predict(part.tolist()), dtype=float)
-                for index, row in zip(part.index, values):
-                    out.at[index] = row
-            yield out
+                judged.extend(np.asarray(predict(part.tolist()), dtype=float))
+            answers = iter(judged)
+            yield pd.Series([next(answers) if t else None for t in texts.fillna("")], index=texts.index, dtype=object)
 
     return lambda df, text_col: df.withColumn("logits", logits(F.col(text_col)))
 

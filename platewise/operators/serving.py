@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platewise.functions.numbers import exact_mean, ratio, round_half_up
 from platewise.functions.sentiment import NEGATIVE, POSITIVE, label_count
 from platewise.operators.dedup import top_per_key
-from platewise.operators.recommend import broadcast_limited, numbered
+from platewise.operators.recommend import numbered
 
 PAGE_SIZE = 20
 
@@ -79,7 +79,7 @@ def search_restaurants(
         pattern = f"(?i){cuisine.strip().lower()}"
         found = found.filter(F.exists("types", lambda t: t.rlike(pattern)))
     listed = found.orderBy(F.desc("rating"), "place_id").limit(limit)
-    relevant = processed.join(broadcast_limited(listed.select("place_id"), limit), "place_id", "left_semi")
+    relevant = processed.join(listed.select("place_id"), "place_id", "left_semi")
     out = listed.join(_live_stats(relevant), "place_id", "left").select(
         *[listed[c] for c in restaurants.columns],
         F.coalesce(round_half_up(F.col("mean_score"), 2), F.lit(0.0)).alias("avg_nlp_score"),
@@ -91,6 +91,33 @@ def search_restaurants(
     return out.filter(F.col("avg_nlp_score") >= min_nlp) if min_nlp else out
 
 
+def _of_listed(restaurants: DataFrame, listed: DataFrame) -> DataFrame:
+    """The places on a short list. A left join keeps the list's side; cutting the places first spares them a shuffle."""
+    return restaurants.join(listed.select("place_id"), "place_id", "left_semi")
+
+
+def _reply(rows: DataFrame, source: str, generated_at: Column | None = None) -> DataFrame:
+    """The columns of every recommendation list, whatever it was made from; nothing is null but unknown names' tags."""
+    at = F.current_timestamp() if generated_at is None else generated_at
+    summary = F.col("sentiment_summary") if "sentiment_summary" in rows.columns else F.lit(None)
+    return rows.select(
+        "rank",
+        "place_id",
+        F.coalesce("restaurant_name", F.lit("Unknown")).alias("restaurant_name"),
+        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("recommendation_score", "avg_predicted_score")],
+        F.coalesce(F.col("review_count").cast("bigint"), F.lit(0).cast("bigint")).alias("review_count"),
+        F.coalesce("positive_ratio", F.lit(0.0)).alias("positive_ratio"),
+        F.coalesce(summary.cast("map<string,bigint>"), F.create_map().cast("map<string,bigint>")).alias("sentiment_summary"),
+        _tags().alias("types"),
+        at.cast("string").alias("generated_at"),
+        F.lit(source).alias("source"),
+    )
+
+
+def _tags() -> Column:
+    return F.coalesce("types", F.array().cast("array<string>"))
+
+
 def precomputed_recommendations(
     docs: DataFrame,
     restaurants: DataFrame,
@@ -100,50 +127,44 @@ def precomputed_recommendations(
     limit: int = PAGE_SIZE,
 ) -> DataFrame:
     """A stored list with current tags; ``cuisine`` is matched as part of a tag."""
-    recs = docs.filter(F.col("user_id") == user_id).select(F.inline("recommendations"))
+    recs = docs.filter(F.col("user_id") == user_id).select(F.inline("recommendations"), "generated_at")
     if min_rating:
         recs = recs.filter(F.coalesce("avg_predicted_score", F.lit(0.0)) >= min_rating)
-    tags = restaurants.select("place_id", "types")
-    out = recs.join(tags, "place_id", "left").withColumn(
-        "types", F.coalesce("types", F.array().cast("array<string>"))
-    )
+    out = recs.join(_of_listed(restaurants, recs).select("place_id", "types"), "place_id", "left")
+    out = out.withColumn("types", _tags())
     if cuisine.strip():
         part = cuisine.strip().lower()
         out = out.filter(F.exists("types", lambda t: F.lower(t).contains(part)))
-    return out.orderBy("rank", "place_id").limit(limit).withColumn("source", F.lit("precomputed"))
+    return _reply(out.orderBy("rank", "place_id").limit(limit), "precomputed", F.col("generated_at"))
 
 
-def live_recommendations(processed: DataFrame, restaurants: DataFrame, limit: int = PAGE_SIZE) -> DataFrame:
+def live_recommendations(
+    processed: DataFrame, restaurants: DataFrame, limit: int = PAGE_SIZE, generated_at: Column | None = None
+) -> DataFrame:
     """Best places by the mean score of their processed reviews."""
     best = numbered(_live_stats(processed), [F.desc("mean_score"), F.col("place_id")], limit)
-    named = best.join(restaurants.select("place_id", "name"), "place_id", "left")
-    score = F.coalesce(round_half_up(F.col("mean_score"), 2), F.lit(0.0))
-    return named.select(
-        "rank",
-        "place_id",
-        F.coalesce("name", F.lit("Unknown")).alias("restaurant_name"),
-        score.alias("avg_predicted_score"),
-        score.alias("recommendation_score"),
-        "review_count",
-        round_half_up(ratio(F.col("positive_count"), F.col("review_count")), 3).alias("positive_ratio"),
-        F.lit("live_nlp").alias("source"),
+    places = _of_listed(restaurants, best).select("place_id", F.col("name").alias("restaurant_name"), "types")
+    score = round_half_up(F.col("mean_score"), 2)
+    scored = best.join(places, "place_id", "left").withColumns(
+        {
+            "avg_predicted_score": score,
+            "recommendation_score": score,
+            "positive_ratio": round_half_up(ratio(F.col("positive_count"), F.col("review_count")), 3),
+        }
     )
+    return _reply(scored, "live_nlp", generated_at)
 
 
-def rating_fallback(restaurants: DataFrame, limit: int = PAGE_SIZE) -> DataFrame:
-    """Best rated places, for the time before any review was scored."""
+def rating_fallback(
+    restaurants: DataFrame, limit: int = PAGE_SIZE, generated_at: Column | None = None
+) -> DataFrame:
+    """Best rated places, for the time before any review was scored; a missing rating is 0 and comes last."""
     best = numbered(restaurants, [F.desc("rating"), F.col("place_id")], limit)
-    rating: Column = F.coalesce(F.col("rating").cast("double"), F.lit(0.0))
-    return best.select(
-        "rank",
-        "place_id",
-        F.col("name").alias("restaurant_name"),
-        rating.alias("avg_predicted_score"),
-        rating.alias("recommendation_score"),
-        F.coalesce(F.col("total_ratings").cast("bigint"), F.lit(0)).cast("bigint").alias("review_count"),
-        F.lit(0.0).alias("positive_ratio"),
-        F.lit("google_rating_fallback").alias("source"),
+    rating = F.col("rating").cast("double")
+    listed = best.withColumnsRenamed({"name": "restaurant_name", "total_ratings": "review_count"}).withColumns(
+        {"avg_predicted_score": rating, "recommendation_score": rating, "positive_ratio": F.lit(0.0)}
     )
+    return _reply(listed, "google_rating_fallback", generated_at)
 
 
 def served_recommendations(
@@ -153,16 +174,19 @@ def served_recommendations(
     min_rating: float | None = None,
     cuisine: str = "",
     limit: int = PAGE_SIZE,
+    generated_at: Column | None = None,
 ) -> DataFrame:
-    """The stored global list, else live statistics, else source ratings.
+    """The stored global list, else live statistics, else source ratings; the same columns from each.
 
-    The two emptiness checks stop at the first row they find.
+    Whether the list is stored is asked of the short table of lists at once. Of the two
+    others the plan keeps the first that has rows, out of at most ``2 * limit``.
     """
     if not docs.filter(F.col("user_id") == "global").isEmpty():
         return precomputed_recommendations(docs, restaurants, "global", min_rating, cuisine, limit)
-    if not processed.isEmpty():
-        return live_recommendations(processed, restaurants, limit)
-    return rating_fallback(restaurants, limit)
+    live = live_recommendations(processed, restaurants, limit, generated_at).withColumn("_choice", F.lit(0))
+    rated = rating_fallback(restaurants, limit, generated_at).withColumn("_choice", F.lit(1))
+    both = live.unionByName(rated).withColumn("_first", F.min("_choice").over(Window.partitionBy(F.lit(0))))
+    return both.filter(F.col("_choice") == F.col("_first")).drop("_choice", "_first")
 
 
 def display_strip(analytics: DataFrame, n: int = 12) -> DataFrame:

@@ -824,7 +824,7 @@ FULL JOIN (SELECT user_id, string_agg(concat(rank, ':', place_id), ',' ORDER BY
 oracle(
     "served_recommendations",
     f"""
-SELECT {RECOMMENDATION}, array_to_string(types, ',') AS types, 'precomputed' AS source FROM b_ranked_200
+SELECT {RECOMMENDATION}, array_to_string(types, ',') AS types, '2024-01-01' AS generated_at, 'precomputed' AS source FROM b_ranked_200
 WHERE avg_predicted_score >= 2.9 AND len(list_filter(types, lambda t: contains(lower(t), 'mall'))) > 0
 ORDER BY rank LIMIT 40""",
 )
@@ -833,16 +833,19 @@ oracle(
     f"""
 SELECT CAST(row_number() OVER (ORDER BY m DESC, place_id) AS INT) AS rank, place_id, coalesce(name, 'Unknown') AS restaurant_name,
        {rnd('m', 2)} AS avg_predicted_score, {rnd('m', 2)} AS recommendation_score, n AS review_count,
-       {rnd('CAST(pos AS DOUBLE) / n', 3)} AS positive_ratio, 'live_nlp' AS source
-FROM b_live LEFT JOIN (SELECT place_id, name FROM b_restaurants) USING (place_id) ORDER BY m DESC, place_id LIMIT 20""",
+       {rnd('CAST(pos AS DOUBLE) / n', 3)} AS positive_ratio, array_to_string(types, ',') AS types,
+       '2024-01-01' AS generated_at, 'live_nlp' AS source
+FROM b_live LEFT JOIN (SELECT place_id, name, types FROM b_restaurants) USING (place_id) ORDER BY m DESC, place_id LIMIT 20""",
 )
 oracle(
     "rating_fallback",
     """
-SELECT CAST(row_number() OVER (ORDER BY rating DESC, place_id) AS INT) AS rank, place_id, name AS restaurant_name,
-       CAST(rating AS DOUBLE) AS avg_predicted_score, CAST(rating AS DOUBLE) AS recommendation_score,
-       CAST(total_ratings AS BIGINT) AS review_count, CAST(0 AS DOUBLE) AS positive_ratio, 'google_rating_fallback' AS source
-FROM b_restaurants ORDER BY rating DESC, place_id LIMIT 20""",
+SELECT CAST(row_number() OVER (ORDER BY rating DESC NULLS LAST, place_id) AS INT) AS rank, place_id, name AS restaurant_name,
+       CAST(coalesce(rating, 0) AS DOUBLE) AS avg_predicted_score, CAST(coalesce(rating, 0) AS DOUBLE) AS recommendation_score,
+       CAST(total_ratings AS BIGINT) AS review_count, CAST(0 AS DOUBLE) AS positive_ratio,
+       array_to_string(types, ',') AS types, '2024-01-01' AS generated_at, 'google_rating_fallback' AS source
+FROM (SELECT * REPLACE (CASE WHEN rating * 100 % 10 <> 0 THEN rating END AS rating) FROM b_restaurants)
+ORDER BY rating DESC NULLS LAST, place_id LIMIT 20""",
 )
 
 # --- serving

@@ -158,7 +158,7 @@ def read_lake_partition(spark, sf_dir):
 
 @query
 def lake_files(spark, sf_dir):
-    files = lake.lake_files(lake.read_lake(spark, _lake(spark, sf_dir), schemas.RAW_REVIEW))
+    files = lake.lake_files(spark, _lake(spark, sf_dir))
     folder = F.regexp_extract("file_path", r"year=\d+/month=\d+/day=\d+", 0)
     return files.select(folder.alias("folder")).distinct()
 
@@ -809,8 +809,7 @@ def als_recommendations(spark, sf_dir):
 def recommend_price_location(spark, sf_dir):
     params = RankingParams(min_reviews=MIN_REVIEWS, top_n=200)
     prefs = Preferences(price_range=(2, 4), near=(33.4255, -111.94), max_km=60.0)
-    places = b.restaurants(spark, sf_dir).select("place_id", "price_level", "latitude", "longitude")
-    ranked = recommend.rank_restaurants(_analyses(spark, sf_dir), params).join(places, "place_id")
+    ranked = recommend.rank_restaurants(_analyses(spark, sf_dir), params)
     return recommend.apply_preferences(ranked, prefs).select("rank", "place_id", "recommendation_score", "price_level")
 
 
@@ -841,6 +840,10 @@ def _docs(spark, sf_dir):
     return snapshots.write_version(docs, new_work_path(spark, "recommendations"))
 
 
+def _no_docs(spark):
+    return spark.createDataFrame([], "user_id string, recommendations array<struct<rank: int>>, generated_at string")
+
+
 @query
 def served_recommendations(spark, sf_dir):
     served = serving.served_recommendations(
@@ -856,15 +859,20 @@ def served_recommendations(spark, sf_dir):
 
 @query
 def live_recommendations(spark, sf_dir):
-    docs = _docs(spark, sf_dir).filter(F.col("user_id") != "global")
-    return serving.served_recommendations(docs, b.processed(spark, sf_dir), b.restaurants(spark, sf_dir))
+    served = serving.served_recommendations(
+        _no_docs(spark), b.processed(spark, sf_dir), b.restaurants(spark, sf_dir), generated_at=_at()
+    )
+    return served.drop("sentiment_summary")
 
 
 @query
 def rating_fallback(spark, sf_dir):
+    """Nothing is scored; the places whose rating ends in 0 have none."""
     scored = b.processed(spark, sf_dir).filter(F.col("predicted_score").isNull())
-    docs = _docs(spark, sf_dir).filter(F.col("user_id") != "global")
-    return serving.served_recommendations(docs, scored, b.restaurants(spark, sf_dir))
+    rating = F.when(F.col("rating") * 100 % 10 != 0, F.col("rating"))
+    places = b.restaurants(spark, sf_dir).withColumn("rating", rating)
+    served = serving.served_recommendations(_no_docs(spark), scored, places, generated_at=_at())
+    return served.drop("sentiment_summary")
 
 
 # --- serving ---------------------------------------------------------------------------
@@ -924,7 +932,7 @@ def stream_ingest(spark, sf_dir):
     streaming.ingest_reviews(
         _event_stream(spark, sf_dir), path, checkpoint, as_of=F.lit(AS_OF).cast("date")
     ).awaitTermination()
-    return spark.read.parquet(path).select(
+    return streaming.read_stream_table(spark, path).select(
         "review_id", "place_id", "author_name", "rating", "text_cleaned", "review_length", "word_count", "review_age_days"
     )
 
@@ -934,5 +942,5 @@ def stream_counts(spark, sf_dir):
     table, checkpoint = new_work_path(spark, "stream-counts"), new_work_path(spark, "stream-state")
     counts = streaming.windowed_counts(_event_stream(spark, sf_dir), "place_id")
     streaming.upsert_stream(counts, table, checkpoint, "window_key", [F.desc("review_count")]).awaitTermination()
-    out = snapshots.read_latest(spark, table)
+    out = streaming.read_stream_table(spark, table)
     return out.select(day("window_start").alias("window_day"), "place_id", "review_count")

@@ -57,12 +57,19 @@ def read_lake(
     fields = [*schema.fields, StructField("location", StringType())]
     fields += [StructField(p, IntegerType()) for p in PARTITIONS]
     df = spark.read.schema(StructType(fields)).option("multiLine", multi_line).json(path)
-    for name, value in zip(PARTITIONS, (year, month, day)):
+    return _pruned(df, year, month, day)
+
+
+def _pruned(df: DataFrame, *values: int | None) -> DataFrame:
+    for name, value in zip(PARTITIONS, values):
         if value is not None:
             df = df.filter(F.col(name) == value)
     return df
 
 
-def lake_files(df: DataFrame) -> DataFrame:
-    """The files a lake DataFrame reads."""
-    return df.select(F.col("_metadata.file_path").alias("file_path")).distinct()
+def lake_files(
+    spark: SparkSession, path: str, year: int | None = None, month: int | None = None, day: int | None = None
+) -> DataFrame:
+    """The files of a lake, or of a year, month or day of it, by name; their content is not read."""
+    files = _pruned(spark.read.format("binaryFile").load(path), year, month, day)
+    return files.select(F.col("path").alias("file_path"))

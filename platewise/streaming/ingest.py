@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from platewise.operators.cleaning import clean_rows, engineer_features
-from platewise.operators.merge import merge_by_key
+from platewise.operators.dedup import top_per_key
 from platewise.sources import snapshots
 
 
@@ -22,41 +22,31 @@ def file_stream(
     return reader.load(folder)
 
 
-def ingest_reviews(
-    reviews: DataFrame, path: str, checkpoint: str, event_time: str = "event_time", delay: str = "1 day", as_of=None
-) -> StreamingQuery:
-    """Dedupe by review id within the watermark, clean, add features, append to a table.
-
-    The file sink commits each batch once, so a restarted query repeats nothing. The
-    watermark bounds the ids that are remembered.
-    """
-    unique = reviews.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["review_id"])
-    rows = engineer_features(clean_rows(unique), as_of)
-    return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
 def upsert_stream(
-    updates: DataFrame, table: str, checkpoint: str, key: str, order_by: list[Column]
+    updates: DataFrame, table: str, checkpoint: str, key: str, order_by: list[Column], buckets: int = 64
 ) -> StreamingQuery:
-    """Merge every micro-batch into a versioned table.
+    """Keep the first row of each key by ``order_by``, over all batches, in a table of key buckets.
 
-    The version is named after the batch, so a batch that is repeated after a failure
-    replaces its own version and starts from the one before.
+    The winner is chosen among stored and new rows alike, so an older copy that arrives
+    late doesn't replace a newer one, and no row is too late. Of rows that are equal in
+    the order the later batch wins. A batch rewrites only the buckets of its keys; it is
+    written as a version with its own name, so a repeat after a failure replaces itself
+    and starts from the versions before. ``buckets`` must stay the same for a table: take
+    more for larger ones, as a batch with many keys touches them all.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         name = f"{batch_id:020d}"
-        earlier = [v for v in snapshots.versions(spark, table) if not v.endswith(name)]
-        target = spark.read.parquet(earlier[-1]) if earlier else batch.limit(0)
-        snapshots.write_version(merge_by_key(target, batch, key, order_by=order_by), table, name)
+        place = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        rows = batch.withColumns({snapshots.BUCKET: place, "_age": F.lit(0)})
+        stored = snapshots.read_buckets(spark, table, before=name)
+        if stored is not None:
+            touched = rows.select(snapshots.BUCKET).distinct()
+            same = stored.join(touched, snapshots.BUCKET, "left_semi").withColumn("_age", F.lit(1))
+            rows = rows.unionByName(same, allowMissingColumns=True)
+        best = top_per_key(rows, [key], [*order_by, F.col("_age")])
+        snapshots.write_buckets(best.drop("_age"), table, name)
 
     return (
         updates.writeStream.foreachBatch(merge)
@@ -67,13 +57,39 @@ def upsert_stream(
     )
 
 
+def read_stream_table(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a table that ``upsert_stream`` keeps."""
+    found = snapshots.read_buckets(spark, table)
+    if found is None:
+        raise FileNotFoundError(f"no finished version below {table}")
+    return found.drop(snapshots.BUCKET)
+
+
+def ingest_reviews(
+    reviews: DataFrame, table: str, checkpoint: str, event_time: str = "event_time", as_of=None, buckets: int = 64
+) -> StreamingQuery:
+    """Clean, add features, and keep the latest copy of each review.
+
+    Reviews carry any age, so there is no watermark: a review of an earlier year counts
+    as any other, and an edited copy replaces the one it edits.
+    """
+    rows = engineer_features(clean_rows(reviews), as_of)
+    return upsert_stream(rows, table, checkpoint, "review_id", [F.col(event_time).desc_nulls_last()], buckets)
+
+
 def windowed_counts(
-    events: DataFrame, group: str, event_time: str = "event_time", width: str = "1 day", delay: str = "1 day"
+    events: DataFrame, group: str, event_time: str = "event_time", width: str = "1 day", delay: str | None = None
 ) -> DataFrame:
-    """Rows per tumbling window and group; the watermark closes old windows."""
+    """Events per tumbling window and group, of any age.
+
+    Every arriving row is an event; for counts of reviews, each once, group the table
+    that ``ingest_reviews`` keeps. The state is a number per window and group. Only where
+    these grow without end, ``delay`` closes windows by a watermark, and later rows are
+    then not counted.
+    """
+    timed = events if delay is None else events.withWatermark(event_time, delay)
     return (
-        events.withWatermark(event_time, delay)
-        .groupBy(F.window(event_time, width).alias("w"), group)
+        timed.groupBy(F.window(event_time, width).alias("w"), group)
         .agg(F.count(F.lit(1)).alias("review_count"))
         .select(
             F.concat_ws("|", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss"), group).alias("window_key"),

@@ -201,6 +201,21 @@ def test_ensure_scored(spark):
     assert rows(got) == [("a", 2.0, "negative", 0.0), ("b", 4.999, "very_positive", 0.9995)]
 
 
+def test_unscored_reviews_count_nowhere(spark):
+    df = spark.createDataFrame([("p", 4.0, "positive", 0.5, 0), ("p", None, None, None, 0)], SCORED)
+    got = analysis.place_scores(df).first()
+    assert (got.review_count, got.avg_predicted_score, got.recency_weighted_score) == (1, 4.0, 4.0)
+    assert got.bayesian_score == round(34 / 11, 3)
+
+
+def test_copies_in_a_batch_do_not_multiply(spark):
+    target = spark.createDataFrame([("a", 1.0)], "review_id string, predicted_score double")
+    batch = spark.createDataFrame([("a", 2.0), ("a", 2.0), ("b", 3.0), ("b", 3.5)], target.schema)
+    once = merge.upsert_processed(target, batch)
+    assert rows(once) == [("a", 2.0), ("b", 3.0)]
+    assert rows(merge.upsert_processed(once, batch)) == [("a", 2.0), ("b", 3.0)]
+
+
 def test_batch_summary_of_nothing(spark):
     empty = spark.createDataFrame([], "predicted_score double, confidence double")
     assert rows(scoring.batch_summary(empty)) == [(0, None, None)]
@@ -264,6 +279,25 @@ def test_preferences_keep_global_ranks(analyses):
     assert got(min_rating=3.0) == [(1, "b"), (2, "c")]
 
 
+def test_price_and_place_preferences(spark, analyses):
+    facts = [("a", 1, 33.0, -112.0), ("b", 1, 33.0, -112.0), ("c", 3, 33.1, -112.0), ("d", None, None, None)]
+    where = spark.createDataFrame(facts, "place_id string, price_level int, latitude double, longitude double")
+    known = analyses.join(where, "place_id")
+    for wish, places in (
+        ({"price_range": (2, 4)}, ["c"]),
+        ({"near": (33.0, -112.0), "max_km": 5.0}, ["b"]),
+        ({"near": (33.0, -112.0), "max_km": 50.0}, ["b", "c"]),
+    ):
+        assert [r.place_id for r in recommend.recommend(known, Preferences(**wish)).orderBy("rank").collect()] == places
+        row = ("u", None, None, wish.get("price_range"), wish.get("near"), wish.get("max_km"))
+        prefs = spark.createDataFrame(
+            [row],
+            "user_id string, cuisine_types array<string>, min_rating double, price_range array<int>, "
+            "near array<double>, max_km double",
+        )
+        assert [r.place_id for r in recommend.recommend_for_users(known, prefs).orderBy("rank").collect()] == places
+
+
 def test_recommend_for_users_equals_one_user_at_a_time(spark, analyses):
     cases = {"all": (None, None), "none": ([], None), "bars": (["Bar", "SPA"], 3.5), "high": (None, 4.5), "twice": (["bar", "BAR"], None)}
     prefs = spark.createDataFrame(

@@ -85,7 +85,7 @@ def test_lake(spark):
     ]
     plan = march._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
-    files = [r.file_path for r in lake.lake_files(march).collect()]
+    files = [r.file_path for r in lake.lake_files(spark, path, 2024, 3, 5).collect()]
     assert files and all("year=2024/month=03/day=05" in f for f in files)
     assert lake.read_lake(spark, path, schemas.RAW_REVIEW).count() == 3
 
@@ -129,7 +129,7 @@ def test_ingest_and_batch_job_agree(spark):
     assert spark.read.parquet(f"{target}/restaurant_stats").count() == 1
 
 
-def test_stream_keeps_first_of_each_id_and_resumes(spark, tmp_path):
+def test_stream_keeps_latest_of_each_id_and_resumes(spark, tmp_path):
     folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     schema = "review_id string, place_id string, author_name string, rating double, text string, time_epoch bigint, event_time timestamp"
 
@@ -139,7 +139,7 @@ def test_stream_keeps_first_of_each_id_and_resumes(spark, tmp_path):
     def run():
         source = streaming.file_stream(spark, str(folder / "*"), spark.createDataFrame([], schema).schema)
         streaming.ingest_reviews(source, out, state, as_of="2024-01-03").awaitTermination()
-        return sorted((r.review_id, r.text_cleaned, r.rating) for r in spark.read.parquet(out).collect())
+        return sorted((r.review_id, r.text_cleaned, r.rating) for r in streaming.read_stream_table(spark, out).collect())
 
     at = dt.datetime(2024, 1, 1, 12)
     a = ("a", "p", "x", 9.0, "<b>Great</b> place", 1704110400, at)
@@ -148,6 +148,18 @@ def test_stream_keeps_first_of_each_id_and_resumes(spark, tmp_path):
     put("2", [a, ("c", "p", "x", 2.0, "Quite bad", 1704110400, at)])
     assert run() == [("a", "Great place", 5.0), ("c", "Quite bad", 2.0)]
     assert run() == [("a", "Great place", 5.0), ("c", "Quite bad", 2.0)]
+    # an edited copy, an older copy of another, and a review of an earlier year
+    edited = ("a", "p", "x", 1.0, "Went downhill", 1704200000, at + dt.timedelta(days=1))
+    older = ("c", "p", "x", 4.0, "Was good then", 1600000000, at - dt.timedelta(days=900))
+    early = ("d", "p", "x", 3.0, "Opened lately", 1500000000, at - dt.timedelta(days=2000))
+    put("3", [edited, older, early])
+    expected = [("a", "Went downhill", 1.0), ("c", "Quite bad", 2.0), ("d", "Opened lately", 3.0)]
+    assert run() == expected
+    for n in range(4):
+        put(f"again{n}", [edited])
+        assert run() == expected
+    # states that no reader needs are gone
+    assert max(len(f) for f in snapshots.bucket_folders(spark, out).values()) == 2
 
 
 def test_stream_counts_equal_batch(spark, tmp_path):
@@ -161,10 +173,10 @@ def test_stream_counts_equal_batch(spark, tmp_path):
         source = streaming.file_stream(spark, str(folder), spark.createDataFrame([], schema).schema)
         counts = streaming.windowed_counts(source, "place_id")
         streaming.upsert_stream(counts, table, state, "window_key", [F.desc("review_count")]).awaitTermination()
-        got = snapshots.read_latest(spark, table).collect()
+        got = streaming.read_stream_table(spark, table).collect()
         return sorted((r.window_start.day, r.place_id, r.review_count) for r in got)
 
     put([("p", dt.datetime(2024, 1, 1, 1)), ("p", dt.datetime(2024, 1, 1, 2)), ("q", dt.datetime(2024, 1, 2, 1))])
     assert run() == [(1, "p", 2), (2, "q", 1)]
-    put([("p", dt.datetime(2024, 1, 1, 5)), ("q", dt.datetime(2024, 1, 3))])
-    assert run() == [(1, "p", 3), (2, "q", 1), (3, "q", 1)]
+    put([("p", dt.datetime(2024, 1, 1, 5)), ("q", dt.datetime(2024, 1, 3)), ("q", dt.datetime(2020, 1, 9))])
+    assert run() == [(1, "p", 3), (2, "q", 1), (3, "q", 1), (9, "q", 1)]
