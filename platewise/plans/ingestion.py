@@ -82,6 +82,58 @@ def build_recommendations(
     return recommend.recommendation_docs(ranked, generated_at)
 
 
+def analyze_unscored(
+    reviews: DataFrame,
+    restaurants: DataFrame | None,
+    model: scoring.Model,
+    model_name: str,
+    params: RankingParams = RankingParams(),
+    analyzed_at: Column | None = None,
+) -> DataFrame:
+    """Score the reviews that have no score yet, then analyse each place over all of its reviews."""
+    scored = scoring.ensure_scored(reviews, model, model_name, analyzed_at)
+    analyses = analysis.analyze_restaurants(scored, restaurants, params)
+    return analyses.withColumn("analyzed_at", F.current_timestamp() if analyzed_at is None else analyzed_at)
+
+
+def _current(like: DataFrame, path: str) -> DataFrame:
+    """The newest version of a table, or one without rows if there is none."""
+    spark = like.sparkSession
+    return snapshots.read_latest(spark, path) if snapshots.versions(spark, path) else like.filter(F.lit(False))
+
+
+def load_warehouse(
+    path: str, places: DataFrame, reviews: DataFrame, predictions: DataFrame
+) -> dict[str, DataFrame]:
+    """Merge a batch into the warehouse below ``path``: dimensions first, then facts.
+
+    Every table gets a new version. Predictions of reviews that are not loaded, by this
+    batch or an earlier one, stay out. Copies in the batch are reduced to one per key.
+    """
+
+    def stored(table: str, merged: DataFrame) -> DataFrame:
+        return snapshots.write_version(merged, f"{path}/{table}")
+
+    place_rows = star.as_warehouse_table(places, "dim_restaurants")
+    days = star.dim_time(reviews)
+    review_rows = star.as_warehouse_table(reviews, "fact_reviews")
+    review_table = review_rows.withColumnRenamed("text_cleaned", "review_text")
+    scores = star.as_warehouse_table(predictions, "fact_predictions")
+    loaded = {
+        "dim_restaurants": stored(
+            "dim_restaurants",
+            merge.merge_dim_restaurants(_current(place_rows, f"{path}/dim_restaurants"), place_rows),
+        ),
+        "dim_time": stored("dim_time", merge.insert_if_absent(_current(days, f"{path}/dim_time"), days, "full_date")),
+        "fact_reviews": stored(
+            "fact_reviews", merge.merge_fact_reviews(_current(review_table, f"{path}/fact_reviews"), review_rows)
+        ),
+    }
+    known = _current(scores, f"{path}/fact_predictions")
+    merged = merge.merge_fact_predictions(known, scores, loaded["fact_reviews"])
+    return loaded | {"fact_predictions": stored("fact_predictions", merged)}
+
+
 def refresh_sentiment_summary(restaurants: DataFrame, predictions: DataFrame, path: str) -> DataFrame:
     """Recompute the summary into a new version and return it."""
     return snapshots.write_version(star.sentiment_summary(restaurants, predictions), path)

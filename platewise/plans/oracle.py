@@ -383,6 +383,7 @@ oracle(
     "restaurant_by_id",
     f"SELECT {PLACE} FROM b_restaurants WHERE place_id IN (SELECT place_id FROM b_copies WHERE rating = 5)",
 )
+oracle("lookup_restaurant", f"SELECT {PLACE} FROM b_restaurants WHERE place_id = 'P7'")
 oracle("all_restaurants", f"SELECT {PLACE} FROM b_restaurants")
 
 # --- sinks and merges
@@ -480,6 +481,26 @@ SELECT coalesce(k.review_id, u.review_id) AS review_id, coalesce(k.place_id, u.p
 FROM m_predictions k FULL JOIN m_new_predictions u ON k.review_id = u.review_id""",
 )
 oracle("fk_rejects", f"SELECT {PREDICTION} FROM m_new_predictions WHERE rating < 3")
+oracle(
+    "load_warehouse",
+    """
+SELECT 'dim_restaurants' AS table_name, COUNT(*) AS n, CAST(SUM(coalesce(u.total_ratings, k.total_ratings)) AS BIGINT) AS total
+FROM m_places k FULL JOIN m_new_places u ON k.place_id = u.place_id
+UNION ALL
+SELECT 'dim_time', COUNT(*), CAST(SUM(dayofweek(full_date) + 1) AS BIGINT) FROM (
+  SELECT CAST(review_date AS DATE) AS full_date FROM m_known
+  UNION SELECT CAST(review_date AS DATE) FROM m_batch WHERE rating >= 3)
+UNION ALL
+SELECT 'fact_reviews', COUNT(*), CAST(SUM(100 * coalesce(u.rating, k.rating)) AS BIGINT)
+FROM m_known k FULL JOIN (SELECT * FROM m_batch WHERE rating >= 3) u ON k.review_id = u.review_id
+UNION ALL
+SELECT 'fact_predictions', COUNT(*), CAST(SUM(100 * coalesce(u.predicted_score, k.predicted_score)) AS BIGINT)
+FROM (SELECT * FROM m_predictions WHERE review_id IN (SELECT review_id FROM m_known)) k
+FULL JOIN (
+  SELECT * FROM m_new_predictions
+  WHERE review_id IN (SELECT review_id FROM m_known UNION SELECT review_id FROM m_batch WHERE rating >= 3)) u
+ON k.review_id = u.review_id""",
+)
 oracle(
     "upsert_preferences",
     """
@@ -732,6 +753,33 @@ SELECT s.review_id, coalesce(k.rating, s.predicted_score) AS predicted_score,
        CASE WHEN k.rating IS NULL THEN s.model_version END AS model_version
 FROM b_text_scores s LEFT JOIN b_ratings k USING (doc_id)""",
 )
+oracle(
+    "score_reviews_trained",
+    """
+SELECT review_id, CASE WHEN text_cleaned = '' THEN 3.0::DOUBLE END AS predicted_score,
+       CASE WHEN text_cleaned = '' THEN 'neutral' END AS sentiment_label,
+       CASE WHEN text_cleaned = '' THEN 0.0::DOUBLE END AS confidence,
+       true AS score_in_range, true AS label_known, true AS confidence_in_range, 'bag-of-words' AS model_version
+FROM b_normal""",
+)
+VIEWS["b_all_scored"] = """
+SELECT s.place_id, CAST(coalesce(k.rating, s.predicted_score) AS DECIMAL(18,3)) AS predicted_score,
+       CASE WHEN k.rating >= 4 THEN 'positive' WHEN k.rating < 3 THEN 'negative' WHEN k.rating IS NOT NULL THEN 'neutral'
+            ELSE s.sentiment_label END AS sentiment_label,
+       CAST(CASE WHEN k.rating > 4 THEN 0.75 WHEN k.rating IS NOT NULL THEN 0.0 ELSE s.confidence END AS DECIMAL(18,4)) AS confidence,
+       abs(s.doc_id) % 200 AS age
+FROM b_text_scores s LEFT JOIN b_ratings k USING (doc_id)"""
+VIEWS["b_all_analyses"] = analyses("b_all_scored")
+VIEWS["b_all_labels"] = "SELECT place_id, sentiment_label, COUNT(*) AS n FROM b_all_scored GROUP BY ALL"
+VIEWS["b_all_distribution"] = """
+SELECT place_id, string_agg(concat(sentiment_label, ':', n), ',' ORDER BY sentiment_label) AS sentiment_distribution
+FROM b_all_labels GROUP BY place_id"""
+oracle(
+    "analyze_partly_scored",
+    """
+SELECT a.*, d.sentiment_distribution, '2024-01-01' AS analyzed_at
+FROM b_all_analyses a JOIN b_all_distribution d USING (place_id)""",
+)
 oracle(
     "score_backlog",
     """
@@ -796,6 +844,15 @@ SELECT {RECOMMENDATION}, sentiment_distribution AS sentiment_summary FROM b_rank
 WHERE avg_predicted_score >= 3.0 AND list_has_any(types, ['small', 'gear'])""",
 )
 oracle("recommend_for_users", f"SELECT user_id, {RECOMMENDATION} FROM b_user_recs")
+oracle(
+    "als_recommendations",
+    """
+SELECT user_id, place_id, rank,
+       user_id IN (SELECT concat('C', o_custkey) FROM orders JOIN lineitem ON l_orderkey = o_orderkey) AS rated,
+       CAST(COUNT(*) OVER (PARTITION BY user_id) AS INT) AS last_position,
+       CAST(COUNT(*) OVER (PARTITION BY user_id) AS INT) AS n_positions
+FROM b_user_recs""",
+)
 oracle(
     "recommend_price_location",
     """

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import timedelta
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DecimalType, MapType, TimestampType
 
@@ -175,6 +175,12 @@ def restaurant_by_id(spark, sf_dir):
     return serving.lookup_many(b.restaurants(spark, sf_dir), asked, "place_id")
 
 
+@query
+def lookup_restaurant(spark, sf_dir):
+    """One place by its key."""
+    return serving.lookup(b.restaurants(spark, sf_dir), "place_id", "P7")
+
+
 @query
 def all_restaurants(spark, sf_dir):
     return b.restaurants(spark, sf_dir)
@@ -339,6 +345,33 @@ def fk_rejects(spark, sf_dir):
     return rejected
 
 
+@query
+def load_warehouse(spark, sf_dir):
+    """Two loads, of which the second knows the well rated reviews only; rows and sums of each table."""
+    path = new_work_path(spark, "warehouse")
+    known_places, new_places = _known_and_new_places(spark, sf_dir)
+    known, batch = _stored_and_arrived(spark, sf_dir)
+    _, scored, new_scored = _known_and_new_predictions(spark, sf_dir)
+    when = {"updated_at": F.lit("2024-01-01")}
+    ingestion.load_warehouse(path, known_places.withColumns(when), _fact_rows(known, "2024-01-01"), scored)
+    arrived = dedup.top_per_key(batch, ["review_id"], b.latest_first()).filter("rating >= 3")
+    when = {"updated_at": F.lit("2024-02-01")}
+    tables = ingestion.load_warehouse(
+        path, new_places.withColumns(when), _fact_rows(arrived, "2024-02-01"), new_scored.drop("rating")
+    )
+    measures = {
+        "dim_restaurants": F.sum("total_ratings"),
+        "dim_time": F.sum("day_of_week"),
+        "fact_reviews": F.sum(F.col("rating") * 100),
+        "fact_predictions": F.sum(F.col("predicted_score") * 100),
+    }
+    counted = [
+        tables[name].agg(F.count(F.lit(1)).alias("n"), total.cast("bigint").alias("total")).withColumn("table_name", F.lit(name))
+        for name, total in measures.items()
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2]).unionByName(counted[3])
+
+
 @query
 def upsert_preferences(spark, sf_dir):
     users = b.user_preferences(spark, sf_dir)
@@ -657,14 +690,28 @@ def score_reviews_batched(spark, sf_dir):
     return out.select("review_id", "predicted_score", "sentiment_label", "confidence", "model_version")
 
 
-@query
-def score_reviews_trained(spark, sf_dir):
+def trained_scores(spark, sf_dir):
     """The default model, trained on the labelled texts and applied to all texts."""
     all_texts = b.texts(spark, sf_dir).drop("rating")
     rated = all_texts.join(b.text_ratings(spark, sf_dir), "doc_id")
     model = scoring.train_bag_of_words(rated)
     out = scoring.score_reviews(all_texts, model, "local/bag-of-words", _at())
-    return out.select("review_id", "predicted_score", "sentiment_label", "confidence", "model_version")
+    return out.select("review_id", "text_cleaned", "predicted_score", "sentiment_label", "confidence", "model_version")
+
+
+@query
+def score_reviews_trained(spark, sf_dir):
+    """What any trained model has to give: neutral scores of blank texts, and scores, labels and shares in their ranges."""
+    blank = F.col("text_cleaned") == ""
+    own = {c: F.when(blank, F.col(c)).alias(c) for c in ("predicted_score", "sentiment_label", "confidence")}
+    return trained_scores(spark, sf_dir).select(
+        "review_id",
+        *own.values(),
+        F.col("predicted_score").between(1, 5).alias("score_in_range"),
+        F.col("sentiment_label").isin(sentiment.LABELS).alias("label_known"),
+        (blank | F.col("confidence").between(0.2, 1)).alias("confidence_in_range"),
+        "model_version",
+    )
 
 
 def _partly_scored(spark, sf_dir):
@@ -685,6 +732,17 @@ def ensure_scored(spark, sf_dir):
     return out.select("review_id", "predicted_score", "sentiment_label", "confidence", "model_version")
 
 
+@query
+def analyze_partly_scored(spark, sf_dir):
+    """Texts without a score are scored before their places are analysed."""
+    reviews = _partly_scored(spark, sf_dir).withColumn(
+        "review_age_days", (F.abs("doc_id") % 200).cast("int")
+    )
+    return ingestion.analyze_unscored(
+        reviews, None, _stored_model(spark, sf_dir), "team/five-class", PARAMS, _at()
+    )
+
+
 @query
 def score_backlog(spark, sf_dir):
     """Score the texts without a stored result and merge them into the processed ones."""
@@ -778,33 +836,40 @@ def recommend_for_users(spark, sf_dir):
     return out.drop("sentiment_summary")
 
 
-@query
-def als_recommendations(spark, sf_dir):
+def ordered_lists(spark, sf_dir):
     """Each customer's list, ordered by what customers with similar orders rate well."""
-    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("int").alias("user_key"))
+    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("C"), "o_custkey").alias("user_id"))
     # lines are summed per order and place before the join, so a huge order stays small
     lines = (
         b.table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").cast("int").alias("place_key"))
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"), F.concat(F.lit("P"), "l_partkey").alias("place_id"))
         .agg(F.sum(1 + F.col("l_quantity").cast("int") % 5).alias("total"), F.count(F.lit(1)).alias("n"))
     )
     rated = (
         lines.join(orders, "o_orderkey")
-        .groupBy("user_key", "place_key")
+        .groupBy("user_id", "place_id")
         .agg((F.sum("total") / F.sum("n")).alias("rating"))
     )
-    model = collaborative.train_factors(rated, "user_key", "place_key", "rating")
+    factors = collaborative.train_factors(rated, "user_id", "place_id", "rating")
     lists = recommend.recommend_for_users(_analyses(spark, sf_dir), b.user_preferences(spark, sf_dir), PARAMS)
-    candidates = lists.withColumns(
-        {
-            "user_key": F.substring("user_id", 2, 20).cast("int"),
-            "place_key": F.substring("place_id", 2, 20).cast("int"),
-        }
-    )
-    ordered = collaborative.order_candidates(model, candidates, "user_key")
+    ordered = collaborative.order_candidates(factors, lists)
     return ordered.select("user_id", "place_id", "rank", "predicted_rating", "position")
 
 
+@query
+def als_recommendations(spark, sf_dir):
+    """What any factors have to give: all candidates, a rating for known users, and positions from 1 without gaps or ties."""
+    one_list = Window.partitionBy("user_id")
+    return ordered_lists(spark, sf_dir).select(
+        "user_id",
+        "place_id",
+        "rank",
+        F.col("predicted_rating").isNotNull().alias("rated"),
+        F.max("position").over(one_list).alias("last_position"),
+        F.size(F.collect_set("position").over(one_list)).alias("n_positions"),
+    )
+
+
 @query
 def recommend_price_location(spark, sf_dir):
     params = RankingParams(min_reviews=MIN_REVIEWS, top_n=200)

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
 
 def build_session(app_name: str = "platewise", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on: UTC and adaptive plans.
@@ -33,21 +30,20 @@ def build_session(app_name: str = "platewise", master: str | None = None, **conf
 def work_root(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Where it is unset, the warehouse folder takes its place, which a cluster shares as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="platewise-")
-    return _LOCAL_FOLDERS[app]
+    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_work_path(spark: SparkSession, name: str) -> str:
-    """A path below the work folder that no earlier run has used."""
-    return f"{work_root(spark)}/platewise/{name}-{uuid.uuid4().hex}"
+    """A path below the work folder that no earlier run has used; it is removed when the session's JVM ends."""
+    own = f"{work_root(spark)}/platewise/{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(own)
+    file_system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    # only what exists can be booked for removal
+    file_system.mkdirs(folder)
+    file_system.deleteOnExit(folder)
+    return f"{own}/{name}-{uuid.uuid4().hex}"

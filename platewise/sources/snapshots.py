@@ -25,15 +25,19 @@ def versions(spark: SparkSession, path: str) -> list[str]:
     return sorted(done)
 
 
-def write_version(df: DataFrame, path: str, name: str | None = None) -> DataFrame:
+def write_version(df: DataFrame, path: str, name: str | None = None, keep: int = 2) -> DataFrame:
     """Write ``df`` as the next version and return it read back.
 
     ``df`` may read an earlier version of the same table: that one stays untouched. A
-    fixed ``name`` makes a repeated write of the same batch replace itself.
+    fixed ``name`` makes a repeated write of the same batch replace itself. The last
+    ``keep`` finished versions stay, for readers that began before; older ones are removed.
     """
     spark = df.sparkSession
     folder = f"{path.rstrip('/')}/{VERSION}{name or f'{time.time_ns():020d}'}"
     df.write.mode("overwrite").parquet(folder)
+    for old in versions(spark, path)[:-keep]:
+        fs, gone = _file_system(spark, old)
+        fs.delete(gone, True)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -406,6 +406,13 @@ def test_collaborative_prefers_what_similar_users_like(spark):
     ratings = spark.createDataFrame(data, "u int, p int, rating double")
     model = collaborative.train_factors(ratings, "u", "p", "rating", rank=2, max_iter=8)
     candidates = spark.createDataFrame([(0, 3, 1), (0, 2, 2), (99, 3, 1), (99, 2, 2)], "u int, p int, rank int")
-    got = collaborative.order_candidates(model, candidates, "u").orderBy("u", "position").collect()
+    got = collaborative.order_candidates(model, candidates).orderBy("u", "position").collect()
     assert [(r.u, r.p, r.position) for r in got] == [(0, 2, 1), (0, 3, 2), (99, 3, 1), (99, 2, 2)]
     assert got[0].predicted_rating > 4 and got[2].predicted_rating is None
+
+
+def test_ids_are_dense_for_large_and_for_text_keys(spark):
+    keys = spark.range(0, 1000, numPartitions=7).select(((F.col("id") % 300) + (1 << 40)).alias("k"))
+    for found in (keys, keys.select(F.concat(F.lit("u"), "k").alias("k")), keys.filter("k < 0")):
+        ids = collaborative.dense_ids(found.unionByName(found.limit(1).select(F.lit(None).cast(found.dtypes[0][1]).alias("k"))), "k", "n").collect()
+        assert sorted(r.n for r in ids) == list(range(found.distinct().count())) and len({r.k for r in ids}) == len(ids)

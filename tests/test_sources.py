@@ -106,6 +106,9 @@ def test_snapshots(spark):
     snapshots.write_version(spark.range(9), path, "99999999999999999999")
     snapshots.write_version(spark.range(7), path, "99999999999999999999")
     assert snapshots.read_latest(spark, path).count() == 7
+    # the two last finished versions stay
+    assert [v[-20:] for v in snapshots.versions(spark, path)][-1] == "9" * 20
+    assert len(snapshots.versions(spark, path)) == 2 and second.count() == 2
 
 
 def test_work_folder_comes_from_the_session(spark):
