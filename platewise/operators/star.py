@@ -46,10 +46,14 @@ def star_schema(reviews: DataFrame) -> dict[str, DataFrame]:
 
 
 def dim_users(reviews: DataFrame) -> DataFrame:
-    """Reviewers with their first review and their number of reviews."""
-    return reviews.groupBy("author_name").agg(
+    """Reviewers with their first review and their number of reviews.
+
+    ``user_id`` is made from the name, so that it stays the same in every load; null for a null name.
+    """
+    users = reviews.groupBy("author_name").agg(
         F.min("review_date").alias("first_seen"), F.count(F.lit(1)).alias("review_count")
     )
+    return users.withColumn("user_id", F.md5("author_name"))
 
 
 def as_warehouse_table(df: DataFrame, table: str) -> DataFrame:

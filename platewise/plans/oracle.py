@@ -533,7 +533,8 @@ FROM b_featured""",
 oracle(
     "dim_users",
     """
-SELECT author_name, CAST(MIN(review_date) AS DATE) AS first_seen, COUNT(*) AS review_count FROM b_reviews GROUP BY author_name""",
+SELECT md5(author_name) AS user_id, author_name, CAST(MIN(review_date) AS DATE) AS first_seen, COUNT(*) AS review_count
+FROM b_reviews GROUP BY author_name""",
 )
 oracle("mv_restaurant_sentiment", "SELECT * FROM b_summary")
 oracle(
