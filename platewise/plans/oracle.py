@@ -352,6 +352,14 @@ SELECT place_id, name, CASE WHEN price_level IS NULL THEN '' ELSE address END AS
        CASE WHEN rating >= 2 THEN array_to_string(types, ',') ELSE '' END AS types, '2024-01-01' AS extracted_at
 FROM b_restaurants""",
 )
+oracle(
+    "read_lake_month",
+    """
+SELECT review_id, place_id,
+       CASE WHEN rating IS NULL THEN 'new_town' ELSE concat('new_', CAST(rating AS INT)) END AS location,
+       rating, time_epoch, 1995 AS year, 6 AS month, 1 AS day
+FROM b_raw WHERE substr(ingested_at, 1, 7) = '1995-06'""",
+)
 oracle(
     "read_lake_partition",
     """

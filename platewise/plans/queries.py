@@ -145,6 +145,13 @@ def _lake(spark, sf_dir) -> str:
     return path
 
 
+@query
+def read_lake_month(spark, sf_dir):
+    """The reviews taken in during one month; the folders of other months are not read."""
+    rows = lake.read_lake(spark, _lake(spark, sf_dir), schemas.RAW_REVIEW, year=1995, month=6)
+    return rows.select("review_id", "place_id", "location", "rating", "time_epoch", "year", "month", "day")
+
+
 @query
 def read_lake_partition(spark, sf_dir):
     rows = lake.read_lake(spark, _lake(spark, sf_dir), schemas.RAW_REVIEW)

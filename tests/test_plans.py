@@ -52,6 +52,11 @@ def test_python_and_cross_joins(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_a_month_of_the_lake_prunes_folders(spark):
+    text = plan(entry_point.queries()["read_lake_month"](spark, SF_DIR))
+    assert re.search(r"PartitionFilters: \[[^\]]*year#\d+ = 1995[^\]]*month#\d+ = 6", text)
+
+
 def test_no_collecting_in_the_library():
     # the llm package fits models on bounded samples; its own tests list what it brings to the driver
     for path in (p for p in PACKAGE.rglob("*.py") if "llm" not in p.relative_to(PACKAGE).parts):
