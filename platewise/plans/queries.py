@@ -845,7 +845,7 @@ def recommend_for_users(spark, sf_dir):
 
 def ordered_lists(spark, sf_dir):
     """Each customer's list, ordered by what customers with similar orders rate well."""
-    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("C"), "o_custkey").alias("user_id"))
+    orders = b.table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("U"), "o_custkey").alias("user_id"))
     # lines are summed per order and place before the join, so a huge order stays small
     lines = (
         b.table(spark, sf_dir, "lineitem")

@@ -83,5 +83,16 @@ def test_collaborative_order_keeps_every_candidate(spark):
         assert scores == sorted(scores, reverse=True)
 
 
+def test_collaborative_order_uses_the_customers_orders(spark, duck):
+    bought = {r[0] for r in duck.execute("SELECT DISTINCT concat('U', o_custkey) FROM orders JOIN lineitem ON l_orderkey = o_orderkey").fetchall()}
+    rows = queries.ordered_lists(spark, SF_DIR).collect()
+    assert {r.user_id for r in rows} & bought
+    assert {r.user_id for r in rows if r.predicted_rating is not None} == {r.user_id for r in rows} & bought
+    in_order: dict = {}
+    for r in sorted(rows, key=lambda r: (r.user_id, r.rank)):
+        in_order.setdefault(r.user_id, []).append(r.position)
+    assert any(found != sorted(found) for found in in_order.values())
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
