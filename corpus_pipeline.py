@@ -18,45 +18,44 @@ from platewise.llm.queries import vocabulary_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """Rows without an id can't be told apart in decisions; they go at the start."""
-    return docs.filter(F.col("doc_id").isNotNull())
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose most toxic window reaches the threshold go. Null and empty texts stay."""
-    docs = _numbered(docs)
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return _kept(docs, toxicity.score(docs, model).filter("predicted = 0"))
+    """Rows whose most toxic window reaches the threshold go. Null and empty texts stay."""
+    return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules score below the threshold go."""
-    docs = _numbered(docs)
+    """Rows that the rules score below the threshold go."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return _kept(docs, quality.score(docs, model).filter("predicted = 1"))
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    return quality.score(rows, model, "_row").filter("predicted = 1").select("_row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document with the smallest id stays. Documents without words are in no component and stay."""
-    docs = _numbered(docs)
-    linked = ngram_join.link(docs)
-    return _kept(docs, linked.filter("component_id = doc_id"))
+    """Of each component of similar texts one row stays, that with the smallest id; a null id comes last.
+
+    Rows are linked by a number of their own, written with them once, whatever their ids.
+    Rows without words are in no component: one of each id stays, and all without an id.
+    """
+    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    linked = ngram_join.link(rows.select(F.col("_row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "_row")
+    blank = F.col("n_shingles") == 0
+    groups = [
+        F.when(~blank | F.col("doc_id").isNull(), F.col("component_id")).alias("component"),
+        F.when(blank, F.col("doc_id")).alias("blank_id"),
+    ]
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first")
+    stay = linked.join(rows.select("_row", "doc_id"), "_row").groupBy(*groups).agg(first).select("first._row")
+    return rows.join(stay, "_row", "left_semi").select(*docs.columns)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data become the names of their kinds."""
-    return pii.mask_pii(_numbered(docs))
+    return pii.mask_pii(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in sequences of 1024 tokens."""
-    return packing.pack(_numbered(docs), bpe.load(vocabulary_path()))
-
-
-def _kept(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The documents whose ids were chosen, with their own columns only. Rows that share an id stay or go together."""
-    return docs.join(chosen.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    return packing.pack(docs, bpe.load(vocabulary_path()))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -55,9 +55,9 @@ def _count(text: Column, mark: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
 
 
-def statistics(documents: DataFrame) -> DataFrame:
-    """``doc_id`` and the statistics of each text as ``x0``, ``x1``, ...; null texts count as empty."""
-    out = documents.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+def statistics(documents: DataFrame, *keep: str) -> DataFrame:
+    """``doc_id``, the columns ``keep`` and the statistics of each text as ``x0``, ``x1``, ...; null texts count as empty."""
+    out = documents.select("doc_id", *keep, F.coalesce("text", F.lit("")).alias("text"))
     out = out.withColumn("words", F.split("text", r"[\x20\x09-\x0D]+"))
     text = F.col("text")
     chars = F.greatest(F.length(text), F.lit(1)).cast("double")
@@ -74,7 +74,7 @@ def statistics(documents: DataFrame) -> DataFrame:
         _count(text, "|") / words,
         _count(text, "\n") / words,
     ]
-    return out.select("doc_id", *[v.alias(f"x{k}") for k, v in enumerate(values)])
+    return out.select("doc_id", *keep, *[v.alias(f"x{k}") for k, v in enumerate(values)])
 
 
 N_STATISTICS = 10
@@ -142,17 +142,18 @@ def score_column(model: QualityModel) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def score(documents: DataFrame, model: QualityModel) -> DataFrame:
+def score(documents: DataFrame, model: QualityModel, *keep: str) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` in 0 to 1 and ``predicted``; no Python runs on the rows.
 
     Null and empty texts are scored by their statistics, as texts of length 0. Repeated
     rows and ids are scored each by itself; a null id counts as not held out. Columns other
-    than ``doc_id`` and ``text`` are not read.
+    than ``doc_id``, ``text`` and ``keep``, which comes with each row, are not read.
     """
     params = model.params
-    scored = statistics(documents).select("doc_id", score_column(model).alias("score"))
+    scored = statistics(documents, *keep).select("doc_id", *keep, score_column(model).alias("score"))
     return scored.select(
         "doc_id",
+        *keep,
         F.coalesce(fold("doc_id", params.folds) == params.held, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= params.threshold).cast("int").alias("predicted"),

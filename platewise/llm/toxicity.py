@@ -389,6 +389,18 @@ def train(documents: DataFrame, labels: DataFrame, params: ToxicityParams = Toxi
     return ToxicityModel(fit(vocab, at, bag, label, params), params)
 
 
+def _most_toxic(part: pa.RecordBatch, model: ToxicityModel) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text the score of its most toxic window, and the number of its windows."""
+    best = np.zeros(part.num_rows)
+    data, bounds = raw_text(part.column("text"))
+    vocab, which, found = read_words(data, bounds, model.params)
+    text, first = windows_of(found.per_text, model.params)
+    if model.weights is not None and len(text):
+        at = window_words(which, found, text, first, model.params)
+        np.maximum.at(best, text, _sigmoid(all_logits(vocab, at, model.weights).astype(float)))
+    return best, np.bincount(text, minlength=part.num_rows)
+
+
 def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` in 0 to 1, ``predicted`` and ``n_windows``.
 
@@ -400,19 +412,8 @@ def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def work(part: pa.RecordBatch) -> dict[str, object]:
-        weights = shared.value.weights
-        best = np.zeros(part.num_rows)
-        data, bounds = raw_text(part.column("text"))
-        vocab, which, found = read_words(data, bounds, params)
-        text, first = windows_of(found.per_text, params)
-        if weights is not None and len(text):
-            at = window_words(which, found, text, first, params)
-            np.maximum.at(best, text, _sigmoid(all_logits(vocab, at, weights).astype(float)))
-        return {
-            "doc_id": part.column("doc_id"),
-            "score": best,
-            "n_windows": np.bincount(text, minlength=part.num_rows),
-        }
+        best, n = _most_toxic(part, shared.value)
+        return {"doc_id": part.column("doc_id"), "score": best, "n_windows": n}
 
     out = map_text(documents, ["doc_id"], work, "doc_id bigint, score double, n_windows bigint")
     held = F.coalesce(fold("doc_id", params.folds) == params.held, F.lit(False))
@@ -420,3 +421,16 @@ def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     return out.select(
         "doc_id", held.alias("held_out"), "score", predicted.alias("predicted"), "n_windows"
     )
+
+
+def drop_toxic(documents: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows, with all their columns, whose score is below the threshold; each is decided by its own text."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [_most_toxic(part, shared.value)[0] for part in slices(batch)]
+            if scores:
+                yield batch.filter(pa.array(np.concatenate(scores) < shared.value.params.threshold))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -374,6 +374,41 @@ def test_pipeline_keeps_what_stages_decide(spark):
     assert len({linked[d] for d in kept}) > 0.97 * len(kept)
 
 
+def test_stages_decide_row_by_row(spark, docs, monkeypatch):
+    """Rows that share an id, and rows without one, stay or go by their own texts."""
+    import corpus_pipeline
+
+    labels = table(spark, SF_DIR, "labels")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for module, stage, good in ((toxicity, corpus_pipeline.drop_toxic, 0), (quality, corpus_pipeline.keep_quality, 1)):
+        model = module.train(docs, labels)
+        monkeypatch.setattr(module, "train", lambda *_, m=model: m)
+        scored = sorted((r.predicted == good, r.doc_id) for r in module.score(docs, model).collect())
+        goes, stays = texts[scored[0][1]], texts[scored[-1][1]]
+        assert not scored[0][0] and scored[-1][0]
+        frame = [(k, t, "en", None, 1, None, None) for k in (1, None) for t in (goes, stays, goes)]
+        found = stage(spark, spark.createDataFrame(frame, DOCS), SF_DIR)
+        assert found.columns == docs_columns(DOCS)
+        assert sorted((r.doc_id or 0, r.text) for r in found.collect()) == [(0, stays), (1, stays)]
+
+
+def docs_columns(schema):
+    return [x.split(" ")[0] for x in schema.split(", ")]
+
+
+def test_one_row_of_each_equal_set_stays(spark):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    near = a + " more"
+    data = [(5, a), (5, a), (5, b), (None, near), (3, near), (None, c), (None, c), (7, ""), (7, ""), (8, None), (None, ""), (None, None)]
+    for parts in (1, 4):
+        frame = spark.createDataFrame(data, "doc_id bigint, text string").repartition(parts)
+        found = corpus_pipeline.drop_near_duplicates(spark, frame, SF_DIR).collect()
+        expected = [(3, near), (5, b), (None, c), (7, ""), (8, None), (None, ""), (None, None)]
+        assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected))
+
+
 def test_what_reaches_the_driver_is_bounded():
     """Sums of a fixed size, classes of a label, and samples bounded by a parameter; nothing else is collected."""
     from pathlib import Path
