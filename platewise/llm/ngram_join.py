@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewise.llm.common import map_text, raw_text, record, saved, slices
@@ -263,12 +263,14 @@ def _candidates(sets: DataFrame) -> DataFrame:
     """(``head``, ``node``): all sets that share a combination, under the smallest of them, itself included.
 
     Every two sets that share a combination meet under its head. A combination's sets are
-    never brought together as a list, only compared with their smallest.
+    never brought together, as a list or in one task: smallest and largest are found by a
+    partial aggregate, and what they say of shared combinations is written, so that both
+    sides of the join are plain shuffles, which adaptive execution splits where a group is large.
     """
     rows = sets.select(F.explode("signatures").alias("signature"), "node")
-    own = Window.partitionBy("signature")
-    rows = rows.select("node", F.min("node").over(own).alias("head"), F.max("node").over(own).alias("top"))
-    return rows.filter("head < top").select("head", "node").distinct()
+    ends = rows.groupBy("signature").agg(F.min("node").alias("head"), F.max("node").alias("top"))
+    heads = saved(ends.filter("head < top").select("signature", "head"), "heads")
+    return rows.join(heads, "signature").select("head", "node").distinct()
 
 
 def _dealt(groups: DataFrame, nodes: DataFrame, tokens: int) -> DataFrame:

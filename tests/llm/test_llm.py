@@ -147,6 +147,21 @@ def test_join_of_chains_and_frequent_tokens(spark):
     assert found == brute_links(data)
 
 
+def test_candidates_of_a_large_group_need_no_window(spark):
+    random.seed(6)
+    data = [([1, 2, k], k % 9) for k in range(10, 400)] + [([random.randrange(1000, 1200)], 100 + k) for k in range(300)] + [([5000], 7), ([], 8)]
+    sets = spark.createDataFrame(data, "signatures array<bigint>, node bigint").repartition(6)
+    found = ngram_join._candidates(sets)
+    holders = defaultdict(set)
+    for own, node in data:
+        for signature in own:
+            holders[signature].add(node)
+    expected = {(min(nodes), node) for nodes in holders.values() if len(nodes) > 1 for node in nodes}
+    assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
+    # a window would bring all rows of a signature to one task
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(50)] + [(100, 90), (90, 95), (7, 7)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
