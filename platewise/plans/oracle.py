@@ -857,7 +857,8 @@ oracle(
     "als_recommendations",
     """
 SELECT user_id, place_id, rank,
-       user_id IN (SELECT concat('C', o_custkey) FROM orders JOIN lineitem ON l_orderkey = o_orderkey) AS rated,
+       user_id IN (SELECT concat('U', o_custkey) FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
+         AND place_id IN (SELECT concat('P', l_partkey) FROM orders JOIN lineitem ON l_orderkey = o_orderkey) AS rated,
        CAST(COUNT(*) OVER (PARTITION BY user_id) AS INT) AS last_position,
        CAST(COUNT(*) OVER (PARTITION BY user_id) AS INT) AS n_positions
 FROM b_user_recs""",
