@@ -24,10 +24,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the rules score below the threshold go."""
+    """Rows that the rules score below the threshold go. Null and empty texts are scored as texts of length 0."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
-    return quality.score(rows, model, "_row").filter("predicted = 1").select("_row.*")
+    return docs.filter(quality.score_column(model) >= model.params.threshold)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,16 +35,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows are linked by a number of their own, written with them once, whatever their ids.
     Rows without words are in no component: one of each id stays, and all without an id.
     """
-    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    linked = ngram_join.link(rows.select(F.col("_row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "_row")
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    rows = saved(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    linked = ngram_join.link(rows.select(F.col(row).alias("doc_id"), "text")).withColumnRenamed("doc_id", row)
     blank = F.col("n_shingles") == 0
     groups = [
         F.when(~blank | F.col("doc_id").isNull(), F.col("component_id")).alias("component"),
         F.when(blank, F.col("doc_id")).alias("blank_id"),
     ]
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first")
-    stay = linked.join(rows.select("_row", "doc_id"), "_row").groupBy(*groups).agg(first).select("first._row")
-    return rows.join(stay, "_row", "left_semi").select(*docs.columns)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("first")
+    stay = linked.join(rows.select(row, "doc_id"), row).groupBy(*groups).agg(first).select(f"first.{row}")
+    return rows.join(stay, row, "left_semi").select(*docs.columns)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
