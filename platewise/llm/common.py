@@ -29,6 +29,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, wherever filters and projections are moved.
+
+    A name bound by a lambda can't be replaced by what it stands for, as a column of a
+    projection is when a filter above it is pushed below.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def fold(doc_id: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null for a null id."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(parts))

@@ -1,8 +1,9 @@
 """Personal data by anchors: an Aho-Corasick automaton finds cues, local parsers find the bounds.
 
-At-signs, digits, plus signs, URL schemes and identifier words are the anchors. Around an
-anchor the run of characters that a match could consist of is expanded; the parsers see
-that run only. As no match can leave its run, the result equals a scan of the whole text.
+At-signs, digits, URL schemes and identifier words are the anchors; words and schemes are
+found in any case. From an anchor a parser expands to the bounds of a match and validates
+what lies between. As no match of the base kinds can do without its anchor, the result
+equals a scan of the whole text. Work is proportional to the text's length.
 """
 
 from __future__ import annotations
@@ -22,13 +23,11 @@ from platewise.llm.common import map_text
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "account", "login")
 
-# Fixed patterns of the base kinds.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# Fixed patterns of two base kinds, which end at the first character that can't belong to them.
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: words after which an identifier may follow, and schemes before which an authority stands
+#: words after which an identifier may follow
 CUES = (
     "account",
     "acct",
@@ -36,23 +35,32 @@ CUES = (
     "ssn",
     "passport",
     "customer id",
+    "customer_id",
     "user id",
+    "user_id",
     "token",
+    "api key",
     "api_key",
     "apikey",
     "password",
     "secret",
 )
+#: schemes before which an authority stands
 SCHEMES = ("http://", "https://", "ftp://", "ssh://")
 
-_EMAIL_RUN = re.compile(r"[A-Za-z0-9._%+@-]+")
+_LOCAL_CHARS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-"
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_NUMBER_CHARS = "0123456789 .()+-"
 _NUMBER_RUN = re.compile(r"[0-9\x20.()+-]+")
-_EMAIL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+@-")
-_NUMBER_CHARS = frozenset("0123456789 .()+-")
-_IDENTIFIER = re.compile(
-    r"(?:[ \t_]?(?:number|no\.?|id|key))?[ \t]{0,2}[:=#]?[ \t]{0,2}[\"']?([A-Za-z0-9][A-Za-z0-9_-]{5,63})(?![A-Za-z0-9_-])"
-)
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+_PART = re.compile(r"[0-9]+")
+_BEFORE_IDENTIFIER = re.compile(r"(?:[ \t_]?(?:number|no\.?|id|key))?[ \t]{0,2}[:=#]?[ \t]{0,2}[\"']?", re.IGNORECASE)
+#: an identifier may have parts joined by dots, as signed tokens do, or numbers parted by single blanks
+_IDENTIFIER = re.compile(r"[A-Za-z0-9][A-Za-z0-9_-]*(?:[.+/=~][A-Za-z0-9_-]+)*")
+_NUMBER_BLOCKS = re.compile(r"[0-9]+(?:[ -][0-9]+)+")
+_BANK_BLOCKS = re.compile(r"[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]{1,4}(?![A-Za-z0-9])| ?[A-Za-z0-9]{4}){2,8}")
 _LOGIN = re.compile(r"[A-Za-z0-9._%+-]+:[^\s@/:]+@[A-Za-z0-9.-]+")
+LEAST_IDENTIFIER = 6
 
 Span = tuple[str, int, int]
 
@@ -66,25 +74,46 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def bank_number(blocks: str) -> bool:
+    """Whether country, check digits and the rest agree: 1 modulo 97, letters counting from 10."""
+    chars = blocks.replace(" ", "").upper()
+    return 15 <= len(chars) <= 34 and int("".join(str(int(c, 36)) for c in chars[4:] + chars[:4])) % 97 == 1
+
+
 @cache
 def automaton() -> ahocorasick.Automaton:
-    """The anchors, each with what follows it."""
+    """The anchors, each with its kind and length."""
     found = ahocorasick.Automaton()
     found.add_word("@", ("email", 1))
     for c in "0123456789":
         found.add_word(c, ("number", 1))
     for word in CUES:
-        for form in {word, word.capitalize(), word.upper()}:
-            found.add_word(form, ("account", len(form)))
+        found.add_word(word, ("account", len(word)))
     for scheme in SCHEMES:
         found.add_word(scheme, ("login", len(scheme)))
     found.make_automaton()
     return found
 
 
-def _left(text: str, at: int, chars: frozenset, least: int) -> int:
-    while at > least and text[at - 1] in chars:
-        at -= 1
+_ASCII_LOW = {c: c + 32 for c in range(65, 91)}
+
+
+def lowered(text: str) -> str:
+    """The text in lower case, code point for code point."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.translate(_ASCII_LOW)
+
+
+def _left(text: str, at: int, chars: str, least: int) -> int:
+    """Where the run of ``chars`` that ends before ``at`` begins, not before ``least``."""
+    size = 32
+    while at > least:
+        part = text[max(least, at - size) : at]
+        rest = len(part.rstrip(chars))
+        at -= len(part) - rest
+        if rest:
+            break
+        size *= 2
     return at
 
 
@@ -92,12 +121,30 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
-def _numbers(run: str, at: int) -> list[Span]:
+def _email(text: str, sign: int, least: int) -> Span | None:
+    """The address around an at-sign: the local part back to ``least`` at most, then a domain of two labels or more."""
+    domain = _DOMAIN.match(text, sign + 1)
+    if domain is None:
+        return None
+    start = _left(text, sign, _LOCAL_CHARS, least)
+    return ("email", start, domain.end()) if start < sign else None
+
+
+def _addresses(run: str, at: int) -> list[Span]:
+    """Every four successive numbers of a dotted row, none above 255."""
     found = []
-    for m in IP.finditer(run):
-        parts = (x.lstrip("0") for x in m[0].split("."))
-        if all(len(x) <= 3 and int(x or "0") <= 255 for x in parts):
-            found.append(("ip", at + m.start(), at + m.end()))
+    for row in _DOTTED.finditer(run):
+        parts = list(_PART.finditer(run, *row.span()))
+        for k in range(0, len(parts) - 3, 4):
+            four = parts[k : k + 4]
+            values = [m[0].lstrip("0") for m in four]
+            if all(len(v) <= 3 and int(v or "0") <= 255 for v in values):
+                found.append(("ip", at + four[0].start(), at + four[3].end()))
+    return found
+
+
+def _numbers(run: str, at: int) -> list[Span]:
+    found = _addresses(run, at)
     for m in CARD.finditer(run):
         digits = _digits(m[0])
         if 13 <= len(digits) <= 19 and luhn(digits):
@@ -108,31 +155,43 @@ def _numbers(run: str, at: int) -> list[Span]:
     return found
 
 
+def _account(text: str, after: int) -> Span | None:
+    """The identifier that follows a cue: a valid bank number, blocks of digits, or a word with a digit, of any length."""
+    at = _BEFORE_IDENTIFIER.match(text, after).end()
+    blocks = _BANK_BLOCKS.match(text, at)
+    if blocks:
+        # what follows in the sentence may look like blocks: the longest valid number counts
+        cuts = [blocks.end(), *[k for k in range(blocks.end() - 1, at, -1) if text[k] == " "]]
+        end = next((k for k in cuts if bank_number(text[at:k])), None)
+        if end:
+            return ("account", at, end)
+    found = [m for m in (_NUMBER_BLOCKS.match(text, at), _IDENTIFIER.match(text, at)) if m]
+    best = max(found, key=lambda m: m.end(), default=None)
+    if best is None or best.end() - at < LEAST_IDENTIFIER or not any("0" <= c <= "9" for c in best[0]):
+        return None
+    return ("account", at, best.end())
+
+
 def spans(text: str) -> list[Span]:
     """All spans as (kind, start, end) in code points, ordered by kind as listed, then start."""
     found: list[Span] = []
     email_to = number_to = account_to = login_to = 0
-    for last, (kind, size) in automaton().iter(text):
+    for last, (kind, size) in automaton().iter(lowered(text)):
         if kind == "number":
             if last >= number_to:
                 start = _left(text, last, _NUMBER_CHARS, number_to)
                 number_to = _NUMBER_RUN.match(text, last).end()
                 found += _numbers(text[start:number_to], start)
         elif kind == "email":
-            if last >= email_to:
-                start = _left(text, last, _EMAIL_CHARS, email_to)
-                email_to = _EMAIL_RUN.match(text, last).end()
-                found += [
-                    ("email", start + m.start(), start + m.end())
-                    for m in EMAIL.finditer(text[start:email_to])
-                ]
+            if last >= email_to and (one := _email(text, last, email_to)):
+                found.append(one)
+                email_to = one[2]
         elif kind == "account":
             before = last - size
             if last >= account_to and not (before >= 0 and text[before].isalnum()):
-                m = _IDENTIFIER.match(text, last + 1)
-                if m and any("0" <= c <= "9" for c in m[1]):
-                    found.append(("account", *m.span(1)))
-                    account_to = m.end()
+                if one := _account(text, last + 1):
+                    found.append(one)
+                    account_to = one[2]
         elif last >= login_to:
             m = _LOGIN.match(text, last + 1)
             if m:

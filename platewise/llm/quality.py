@@ -7,6 +7,7 @@ regression with an L1 penalty weighs them, which leaves few; these become one co
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.column import Column
 
-from platewise.llm.common import fold, labelled_sample, saved
+from platewise.llm.common import fold, labelled_sample, once, saved
 
 #: (statistic, whether above the threshold, threshold)
 Condition = tuple[int, bool, float]
@@ -55,26 +56,38 @@ def _count(text: Column, mark: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
 
 
-def statistics(documents: DataFrame, *keep: str) -> DataFrame:
-    """``doc_id``, the columns ``keep`` and the statistics of each text as ``x0``, ``x1``, ...; null texts count as empty."""
-    out = documents.select("doc_id", *keep, F.coalesce("text", F.lit("")).alias("text"))
-    out = out.withColumn("words", F.split("text", r"[\x20\x09-\x0D]+"))
-    text = F.col("text")
+def _measures(text: Column, words: Column) -> list[Column]:
     chars = F.greatest(F.length(text), F.lit(1)).cast("double")
-    words = F.size("words").cast("double")
-    values = [
+    n = F.size(words).cast("double")
+    return [
         F.log1p(F.length(text).cast("double")),
-        F.length(text) / words,
-        F.size(F.array_distinct("words")) / words,
+        F.length(text) / n,
+        F.size(F.array_distinct(words)) / n,
         (F.length(text) - _without(text, r"[#*$%&|<>]+")) / chars,
         _without(text, r"[^\p{Lu}]+") / chars,
         _without(text, r"[^0-9]+") / chars,
-        _without(text, r"[^.,;:?]+") / words,
-        _count(text, "!") / words,
-        _count(text, "|") / words,
-        _count(text, "\n") / words,
+        _without(text, r"[^.,;:?]+") / n,
+        _count(text, "!") / n,
+        _count(text, "|") / n,
+        _count(text, "\n") / n,
     ]
-    return out.select("doc_id", *keep, *[v.alias(f"x{k}") for k, v in enumerate(values)])
+
+
+def measured(text: str, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a struct with the statistics ``x0``, ``x1``, ... of a text; a null text counts as empty."""
+
+    def of_text(own: Column) -> Column:
+        words = F.split(own, r"[\x20\x09-\x0D]+")
+        fields = lambda w: F.struct(*[v.alias(f"x{k}") for k, v in enumerate(_measures(own, w))])
+        return once(words, lambda w: once(fields(w), use))
+
+    return once(F.coalesce(text, F.lit("")), of_text)
+
+
+def statistics(documents: DataFrame, *keep: str) -> DataFrame:
+    """``doc_id``, the columns ``keep`` and the statistics of each text as ``x0``, ``x1``, ...; null texts count as empty."""
+    rows = documents.select("doc_id", *keep, measured("text", lambda s: s).alias("_statistics"))
+    return rows.select("doc_id", *keep, "_statistics.*")
 
 
 N_STATISTICS = 10
@@ -97,9 +110,10 @@ def tree_rules(forest_text: str) -> list[Rule]:
     return list(found)
 
 
-def holds(rule: Rule) -> Column:
-    """Whether a row of statistics meets all conditions, as 0 or 1."""
-    tests = [F.col(f"x{k}") > limit if above else F.col(f"x{k}") <= limit for k, above, limit in rule]
+def holds(rule: Rule, row: Column | None = None) -> Column:
+    """Whether the statistics, columns or fields of the struct ``row``, meet all conditions, as 0 or 1."""
+    value = {k: F.col(f"x{k}") if row is None else row[f"x{k}"] for k, _, _ in rule}
+    tests = [value[k] > limit if above else value[k] <= limit for k, above, limit in rule]
     return F.when(reduce(lambda a, b: a & b, tests), F.lit(1.0)).otherwise(F.lit(0.0))
 
 
@@ -115,7 +129,8 @@ def train(documents: DataFrame, labels: DataFrame, params: QualityParams = Quali
     chosen = documents.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")
     known = statistics(chosen).join(F.broadcast(ids), "doc_id")
     known = known.withColumn("label", F.col("label").cast("double"))
-    known = saved(known.coalesce(8), "quality-sample")
+    # scanned by as many tasks as the corpus has splits; only the sampled rows are dealt anew
+    known = saved(known.repartition(8), "quality-sample")
     classes = sorted(r[0] for r in known.select("label").distinct().collect())
     if len(classes) < 2:
         return QualityModel({(): 0.0, (0.0,): -20.0, (1.0,): 20.0}[tuple(classes)], (), params)
@@ -136,10 +151,14 @@ def train(documents: DataFrame, labels: DataFrame, params: QualityParams = Quali
     return QualityModel(float(lasso.intercept), kept, params)
 
 
-def score_column(model: QualityModel) -> Column:
-    """The rules compiled into one expression over the statistics: a probability."""
-    total = reduce(lambda a, b: a + b, [holds(r) * F.lit(w) for r, w in model.rules], F.lit(model.bias))
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+def score_column(model: QualityModel, text: str = "text") -> Column:
+    """The rules compiled into one expression over the statistics of a text, which it computes once: a probability."""
+
+    def probability(row: Column) -> Column:
+        total = reduce(lambda a, b: a + b, [holds(r, row) * F.lit(w) for r, w in model.rules], F.lit(model.bias))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
+
+    return measured(text, probability)
 
 
 def score(documents: DataFrame, model: QualityModel, *keep: str) -> DataFrame:
@@ -150,7 +169,7 @@ def score(documents: DataFrame, model: QualityModel, *keep: str) -> DataFrame:
     than ``doc_id``, ``text`` and ``keep``, which comes with each row, are not read.
     """
     params = model.params
-    scored = statistics(documents, *keep).select("doc_id", *keep, score_column(model).alias("score"))
+    scored = documents.select("doc_id", *keep, score_column(model).alias("score"))
     return scored.select(
         "doc_id",
         *keep,

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platewise.llm.common import fold, labelled_sample, map_text, raw_text, record, slices
+from platewise.llm.common import fold, labelled_sample, map_text, raw_text, slices
 from platewise.llm.words import LOWER, Runs, hash_runs, mixed, ramp, runs
 
 #: bytes of words: ASCII letters and digits, apostrophe, and all beyond ASCII
@@ -28,16 +28,16 @@ Weights = dict[str, np.ndarray]
 @dataclass(frozen=True)
 class ToxicityParams:
     window: int = 32
-    stride: int = 24
+    #: half a window: a passage of up to 16 words lies whole in some window
+    stride: int = 16
     word_bits: int = 13
     char_bits: int = 13
     char_sizes: tuple[int, ...] = (3, 4)
     dim: int = 8
     hidden: int = 8
     attention: int = 8
-    #: labelled documents of each class that are learnt from, and windows of each, evenly spread
+    #: labelled documents of each class that are learnt from, each with all of its windows
     sample_rows: int = 1200
-    sample_windows: int = 32
     rounds: int = 6
     batch: int = 256
     #: steps of learning per round at least, whatever the size of the sample
@@ -345,48 +345,32 @@ def all_logits(vocab: Vocab, at: np.ndarray, w: Weights, rows: int = 2048) -> np
 def train(documents: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> ToxicityModel:
     """Fit on a bounded sample of labelled documents outside the held-out fold.
 
-    Tasks cut the sampled documents into windows; the driver receives at most
-    ``2 * sample_rows * sample_windows`` windows of words.
+    The driver receives the whole texts of at most ``2 * sample_rows`` labelled ids and
+    cuts them into all of their windows.
     """
     ids = labelled_sample(labels, "toxic", params.folds, params.held, params.sample_rows)
     # at most 2 * sample_rows ids: a bounded side
     sample = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter(F.col("text").isNotNull())
-    schema = "doc_id bigint, label int, words string"
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                data, bounds = raw_text(part.column("text"))
-                low = LOWER[data]
-                found = runs(_WORD[low], bounds)
-                text, first = windows_of(found.per_text, params)
-                n = np.bincount(text, minlength=len(bounds) - 1)
-                place, total = ramp(n), n[text]
-                # evenly spread over the document's windows
-                take = place * params.sample_windows // np.maximum(total, 1)
-                keep = (total <= params.sample_windows) | (place == 0)
-                keep[1:] |= take[1:] != take[:-1]
-                rows = []
-                for t, f in zip(text[keep].tolist(), first[keep].tolist(), strict=True):
-                    a = found.first[t] + f
-                    b = min(a + params.window, found.first[t + 1])
-                    rows.append(b" ".join(low[s:e].tobytes() for s, e in zip(found.starts[a:b], found.ends[a:b], strict=True)))
-                at = pa.array(text[keep])
-                values = {k: part.column(k).take(at) for k in ("doc_id", "label")}
-                yield record(schema, values | {"words": [r.decode() for r in rows]})
-
-    rows = sample.select("doc_id", "label", "text").mapInArrow(cut, schema).toPandas()
-    rows = rows.sort_values(["doc_id", "words"], kind="stable")
-    if rows["label"].nunique() < 2:
+    rows = sample.select("doc_id", "label", "text").toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()
+    if len(rows["label"].unique()) < 2:
         return ToxicityModel(None, params)
-    data, bounds = raw_text(pa.array(rows["words"], pa.large_string()))
+    found_docs, doc = np.unique(rows["doc_id"].to_numpy(), return_inverse=True)
+    label = np.zeros(len(found_docs), np.int64)
+    label[doc] = rows["label"].to_numpy()
+    data, bounds = raw_text(pa.concat_arrays(rows["text"].cast(pa.large_string()).chunks))
+    del rows
     vocab, which, found = read_words(data, bounds, params)
-    n = len(bounds) - 1
-    at = window_words(which, found, np.arange(n), np.zeros(n, np.int64), params)
-    docs, bag = np.unique(rows["doc_id"].to_numpy(), return_inverse=True)
-    label = np.zeros(len(docs), np.int64)
-    label[bag] = rows["label"].to_numpy()
-    return ToxicityModel(fit(vocab, at, bag, label, params), params)
+    del data
+    which = which.astype(np.int32)
+    text, first = windows_of(found.per_text, params)
+    at = [
+        window_words(which, found, text[k : k + 8192], first[k : k + 8192], params).astype(np.int32)
+        for k in range(0, len(text), 8192)
+    ]
+    if not at:
+        return ToxicityModel(None, params)
+    return ToxicityModel(fit(vocab, np.concatenate(at), doc[text], label, params), params)
 
 
 def _most_toxic(part: pa.RecordBatch, model: ToxicityModel) -> tuple[np.ndarray, np.ndarray]:

@@ -49,10 +49,23 @@ def ramp(lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) - np.repeat(first, lengths)
 
 
+#: runs hashed at once: what they take beside the result is bounded
+HASHED_AT_ONCE = 1 << 17
+
+
 def hash_runs(content: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each run of ``content``, which holds the runs one after another; none is empty."""
     if not len(lengths):
         return np.zeros(0, np.uint64)
+    if len(lengths) > HASHED_AT_ONCE:
+        cuts = np.arange(0, len(lengths), HASHED_AT_ONCE)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return np.concatenate(
+            [
+                hash_runs(content[ends[k] : ends[min(k + HASHED_AT_ONCE, len(lengths))]], lengths[k : k + HASHED_AT_ONCE])
+                for k in cuts.tolist()
+            ]
+        )
     with np.errstate(over="ignore"):
         values = BYTE_VALUES[content] * powers(int(lengths.max()))[ramp(lengths)]
         sums = np.add.reduceat(values, np.cumsum(lengths) - lengths)

@@ -21,6 +21,8 @@ from platewise.llm.graph import components
 
 SF_DIR = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, kept string"
 ODD = [
@@ -265,8 +267,8 @@ def test_differencing():
 
 
 def brute_spans(text):
-    out = [("email", *m.span()) for m in pii.EMAIL.finditer(text)]
-    out += [("ip", *m.span()) for m in pii.IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
     for kind, pattern, low, high in (("card", pii.CARD, 13, 19), ("phone", pii.PHONE, 9, 15)):
         for m in pattern.finditer(text):
             digits = [c for c in m[0] if c.isdigit()]
@@ -430,8 +432,89 @@ def test_what_reaches_the_driver_is_bounded():
 
     found = {}
     for path in Path(bpe.__file__).parent.glob("*.py"):
-        n = len(re.findall(r"\.(?:collect|toPandas|toLocalIterator)\(", path.read_text()))
+        n = len(re.findall(r"\.(?:collect|toPandas|toArrow|toLocalIterator)\(", path.read_text()))
         if n:
             found[path.name] = n
         assert not re.search(r"\.(localCheckpoint|crossJoin)\(", path.read_text())
     assert found == {"language.py": 1, "ngram_join.py": 2, "quality.py": 1, "toxicity.py": 1}
+
+
+# --- added spans, long runs ----------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("api_key=" + "a1" * 40, "a1" * 40),
+        ("token: eyJhbGci.eyJzdWIi.abc-123_x", "eyJhbGci.eyJzdWIi.abc-123_x"),
+        ("IBAN DE89 3704 0044 0532 0130 00 from me", "DE89 3704 0044 0532 0130 00"),
+        ("my iban: GB82WEST12345698765432.", "GB82WEST12345698765432"),
+        ("Customer ID: AB12CD34EF", "AB12CD34EF"),
+        ("Api_Key: abc12345", "abc12345"),
+        ("İ SSN 123 45 6789, so", "123 45 6789"),
+        ("account number 12", None),
+        ("the secret garden", None),
+        ("mytoken abc12345", None),
+    ],
+)
+def test_identifiers_after_cues(text, found):
+    assert [text[a:b] for kind, a, b in pii.spans(text) if kind == "account"] == ([found] if found else [])
+
+
+def test_spans_of_long_runs_take_linear_time():
+    import time
+
+    runs = ["a" * 1_000_000 + "@ ", "1" * 1_000_000, "a@" * 300_000, "1." * 500_000, "+1(" * 300_000, "token " * 200_000]
+    start = time.perf_counter()
+    found = [pii.spans(t) for t in [*runs, "a" * 500_000 + "@b.co"]]
+    assert time.perf_counter() - start < 20
+    assert [len(f) for f in found] == [0, 0, 0, 125_000, 0, 0, 1] and found[-1] == [("email", 0, 500_005)]
+
+
+def test_quality_statistics_are_computed_once(spark, docs):
+    """However many rules there are, and with a filter on the score, each pattern stands once in the plan."""
+    rule = lambda k: (((k % 10, k % 3 == 0, k / 7.0), ((k + 3) % 10, k % 2 == 0, k / 3.0)), 0.1 * (-1) ** k)
+    model = quality.QualityModel(0.9, tuple(rule(k) for k in range(60)), quality.QualityParams())
+    one = docs.filter(quality.score_column(model) >= 0.7)
+    two = quality.score(docs, model).filter("predicted = 1")
+    for frame in (one, two):
+        execution = frame._jdf.queryExecution()
+        text = execution.optimizedPlan().toString()
+        conditions = [line for line in text.splitlines() if "Filter" in line]
+        assert len(conditions) == 1 and conditions[0].count("regexp_replace") == 4 and conditions[0].count("split(") == 1
+    known = {r.doc_id for r in two.select("doc_id").collect()}
+    assert {r.doc_id for r in one.select("doc_id").collect()} == known and known
+
+
+def test_quality_score_equals_plain_rules(spark):
+    """Every rule by hand: a product of conditions over the ten statistics, weighed and squashed."""
+    import math
+
+    frame = odd(spark)
+    texts = [r[1] or "" for r in ODD]
+
+    def plain(text):
+        words = re.split(r"[\x20\x09-\x0D]+", text)
+        chars, n = max(len(text), 1), len(words)
+        count = lambda chars_in: sum(c in chars_in for c in text)
+        upper = sum(c.isupper() for c in text)
+        digits, marks = count("0123456789"), count(".,;:?")
+        return [
+            math.log1p(len(text)), len(text) / n, len(set(words)) / n, count("#*$%&|<>") / chars, upper / chars,
+            digits / chars, marks / n, count("!") / n, count("|") / n, count("\n") / n,
+        ]
+
+    rng = random.Random(4)
+    rules = tuple(
+        (tuple((rng.randrange(10), rng.random() < 0.5, rng.random() * 2) for _ in range(rng.randrange(1, 4))), rng.uniform(-1, 1))
+        for _ in range(40)
+    )
+    model = quality.QualityModel(0.1, rules, quality.QualityParams())
+    expected = []
+    for text in texts:
+        x = plain(text)
+        total = 0.1 + sum(w for rule, w in rules if all((x[k] > limit) == above for k, above, limit in rule))
+        expected.append(1 / (1 + math.exp(-total)))
+    found = sorted(r.score for r in quality.score(frame, model).collect())
+    assert found == pytest.approx(sorted(expected), abs=1e-12)
+    assert quality.score(frame.limit(0), model).collect() == []
