@@ -474,7 +474,7 @@ def test_spans_of_long_runs_take_linear_time():
 def test_quality_statistics_are_computed_once(spark, docs):
     """However many rules there are, and with a filter on the score, each pattern stands once in the plan."""
     rule = lambda k: (((k % 10, k % 3 == 0, k / 7.0), ((k + 3) % 10, k % 2 == 0, k / 3.0)), 0.1 * (-1) ** k)
-    model = quality.QualityModel(0.9, tuple(rule(k) for k in range(60)), quality.QualityParams())
+    model = quality.QualityModel(3.0, tuple(rule(k) for k in range(60)), quality.QualityParams())
     one = docs.filter(quality.score_column(model) >= 0.7)
     two = quality.score(docs, model).filter("predicted = 1")
     for frame in (one, two):
