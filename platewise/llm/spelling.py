@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.column import Column
 
 from platewise.llm.common import record, saved, slices
 
@@ -82,42 +83,51 @@ def count_words(documents: DataFrame, params: SpellingParams = SpellingParams())
     return sums.filter(F.col("n") >= params.least_count)
 
 
-def chunks(words: DataFrame) -> DataFrame:
-    """Two rows per word: its ``length``, which half it is (``place`` 0 or 1), and the ``gram``."""
+def _grams(length: Column) -> list[Column]:
+    """Structs (``length``, ``place``, ``gram``) of a word, as long as ``length`` or one longer, seen from words of ``length``.
+
+    The word's two halves, for a word of just ``length``: the first stands at the beginning
+    and the second at the end, so with one code point more that one is a place further. An
+    edit leaves one half whole and falls into the other, of which one half is whole again:
+    each gram is a half and a quarter, so frequent halves don't bring all their words together.
+    """
     size = F.length("word")
-    half = F.floor(size / 2).cast("int")
-    halves = F.array(
-        F.struct(F.lit(0).alias("place"), F.substring("word", 1, half).alias("gram")),
-        F.struct(F.lit(1).alias("place"), F.substring("word", half + 1, size - half).alias("gram")),
-    )
-    return words.select("word", "n", size.alias("length"), F.inline(halves))
+    half = F.floor(length / 2).cast("int")
+    tail = (length - half).cast("int")
+    parts = [
+        (F.substring("word", 1, half), F.substring("word", half + 1, size - half), tail),
+        (F.substring("word", size - tail + 1, tail), F.substring("word", 1, size - tail), half),
+    ]
+    found = []
+    for whole, rest, wanted in parts:
+        first = F.floor(wanted / 2).cast("int")
+        last = (wanted - first).cast("int")
+        found += [
+            F.concat(whole, F.lit(" "), F.substring(rest, 1, first)),
+            F.concat(whole, F.lit(" "), F.substring(rest, F.length(rest) - last + 1, last)),
+        ]
+    return [F.struct(length.alias("length"), F.lit(k).alias("place"), g.alias("gram")) for k, g in enumerate(found)]
+
+
+def chunks(words: DataFrame) -> DataFrame:
+    """A word's own two disjoint chunks, each with a half of what the other one covers."""
+    return words.select("word", "n", F.inline(F.array(*_grams(F.length("word")))))
 
 
 def grams(words: DataFrame) -> DataFrame:
-    """The positional grams of a word that a chunk of a word as long, or one shorter, can equal after one edit.
+    """The positional grams of a word that the chunks of a word as long, or one shorter, can equal after one edit.
 
-    A first half stands where it stood, as only what follows was edited. A second half ends
-    with its word, one place further if a code point was inserted before it. Grams at other
-    places meet no chunk within that shift, so they are not made.
+    Grams at other places meet no chunk within that shift, so they are not made.
     """
     size = F.length("word")
-
-    def for_length(length):
-        half = F.floor(length / 2).cast("int")
-        tail = (length - half).cast("int")
-        return [
-            F.struct(length.alias("length"), F.lit(0).alias("place"), F.substring("word", 1, half).alias("gram")),
-            F.struct(length.alias("length"), F.lit(1).alias("place"), F.substring("word", size - tail + 1, tail).alias("gram")),
-        ]
-
-    return words.select("word", "n", F.inline(F.array(*for_length(size), *for_length(size - 1))))
+    return words.select("word", "n", F.inline(F.array(*_grams(size), *_grams(size - 1))))
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """``word``, ``other`` and the other's count ``n`` for every two words one edit apart, both ways.
 
-    Words meet where length, half and gram agree, and are verified in the join, so what
-    merely shares a half is never written. Frequent grams are left to the skew handling of
+    Words meet where length, place and gram agree, and are verified in the join, so what
+    merely shares a gram is never written. Frequent grams are left to the skew handling of
     the sort-merge join.
     """
     one = chunks(words).alias("c")
