@@ -11,7 +11,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+import numpy as np
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ class QualityParams:
     depth: int = 3
     #: strength of the L1 penalty
     penalty: float = 0.001
+    #: steps of the fitting of the weights
+    steps: int = 600
     seed: int = 7
     #: folds of crc32(doc_id), and the one that is never learnt from
     folds: int = 4
@@ -117,11 +120,47 @@ def holds(rule: Rule, row: Column | None = None) -> Column:
     return F.when(reduce(lambda a, b: a & b, tests), F.lit(1.0)).otherwise(F.lit(0.0))
 
 
+def fired(rules: list[Rule], statistics: np.ndarray) -> np.ndarray:
+    """Which rules hold for each row of statistics, as 0 or 1."""
+    out = np.ones((len(statistics), len(rules)), np.float32)
+    for column, rule in enumerate(rules):
+        for k, above, limit in rule:
+            out[:, column] *= (statistics[:, k] > limit) == above
+    return out
+
+
+def lasso(holding: np.ndarray, label: np.ndarray, params: QualityParams) -> tuple[float, list[float]]:
+    """Bias and weights with the least mean logistic loss plus ``penalty`` times the weights' absolute sum.
+
+    Accelerated proximal gradient steps, their size the inverse of the loss's curvature at
+    most; the bias isn't penalised. The sample is bounded, so this is work for one machine.
+    """
+    x = np.column_stack([np.ones(len(label), np.float32), holding])
+    # the largest eigenvalue by repeated products, with room for what they miss
+    v = np.full(x.shape[1], x.shape[1] ** -0.5, np.float32)
+    for _ in range(30):
+        v = x.T @ (x @ v)
+        v /= np.linalg.norm(v)
+    step = 4 * len(label) / (1.05 * float(np.linalg.norm(x @ v)) ** 2)
+    w = ahead = np.zeros(x.shape[1])
+    speed = 1.0
+    for _ in range(params.steps):
+        z = x @ ahead.astype(np.float32)
+        p = 0.5 * np.tanh(0.5 * z) + 0.5
+        moved = ahead - step * (x.T @ (p - label).astype(np.float32)) / len(label)
+        after = np.sign(moved) * np.maximum(np.abs(moved) - step * params.penalty, 0)
+        after[0] = moved[0]
+        faster = (1 + (1 + 4 * speed * speed) ** 0.5) / 2
+        ahead = after + (speed - 1) / faster * (after - w)
+        w, speed = after, faster
+    return float(w[0]), w[1:].tolist()
+
+
 def train(documents: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> QualityModel:
     """Fit on a bounded sample of labelled documents outside the held-out fold.
 
     The sample's statistics are written to the work folder once; the fitting iterates over
-    these few rows. With labels of one class only every score is that class, without any
+    these few rows: the trees in Spark, the weights on the driver. With labels of one class only every score is that class, without any
     labels 0.5.
     """
     ids = labelled_sample(labels, "quality", params.folds, params.held, params.sample_rows)
@@ -142,13 +181,13 @@ def train(documents: DataFrame, labels: DataFrame, params: QualityParams = Quali
     if not rules:
         share = sum(classes) / len(classes)
         return QualityModel(0.0 if share == 0.5 else 20.0, (), params)
-    fired = known.select("label", array_to_vector(F.array(*[holds(r) for r in rules])).alias("features"))
-    lasso = LogisticRegression(
-        elasticNetParam=1.0, regParam=params.penalty, standardization=False, maxIter=60
-    ).fit(fired)
-    weights = lasso.coefficients.toArray().tolist()
+    # at most 2 * sample_rows rows of ten numbers and a label
+    sample = known.select("label", *[f"x{k}" for k in range(N_STATISTICS)]).toPandas().to_numpy(dtype=float)
+    # summed in one order, whatever the partitions
+    sample = sample[np.lexsort(sample.T)]
+    bias, weights = lasso(fired(rules, sample[:, 1:]), sample[:, 0], params)
     kept = tuple((r, w) for r, w in zip(rules, weights, strict=True) if abs(w) > 1e-6)
-    return QualityModel(float(lasso.intercept), kept, params)
+    return QualityModel(bias, kept, params)
 
 
 def score_column(model: QualityModel, text: str = "text") -> Column:

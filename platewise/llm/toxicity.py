@@ -24,6 +24,9 @@ _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), 0x27, *range(0x80, 256)]
 
 Weights = dict[str, np.ndarray]
 
+#: distinct words whose n-grams are worked on at once
+AT_ONCE = 1 << 14
+
 
 @dataclass(frozen=True)
 class ToxicityParams:
@@ -83,7 +86,15 @@ def read_words(data: np.ndarray, bounds: np.ndarray, params: ToxicityParams) ->
     hashes = hash_runs(low[inside], sizes)
     distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
     word = (distinct >> np.uint64(64 - params.word_bits)).astype(np.int32)
-    return Vocab(word, *_grams(low, found.starts[at], sizes[at], params)), which, found
+    starts, sizes, buckets, counts = found.starts[at], sizes[at], [], []
+    for k in range(0, len(at), AT_ONCE):
+        some, first = _grams(low, starts[k : k + AT_ONCE], sizes[k : k + AT_ONCE], params)
+        buckets.append(some)
+        counts.append(np.diff(first))
+    if not buckets:
+        return Vocab(word, np.zeros(0, np.int32), np.zeros(1, np.int64)), which, found
+    first = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+    return Vocab(word, np.concatenate(buckets), first), which, found
 
 
 def _grams(low: np.ndarray, starts: np.ndarray, sizes: np.ndarray, params: ToxicityParams):
@@ -163,12 +174,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def embed(vocab: Vocab, w: Weights) -> np.ndarray:
     """The input of every distinct word, and zeros for the place after a text's end."""
     x = np.zeros((len(vocab.word) + 1, w["word"].shape[1]), np.float32)
-    if len(vocab.word):
-        x[:-1] = w["word"][vocab.word]
-        some = np.flatnonzero(vocab.counts)
+    for k in range(0, len(vocab.word), AT_ONCE):
+        x[k : min(k + AT_ONCE, len(vocab.word))] = w["word"][vocab.word[k : k + AT_ONCE]]
+        first = vocab.first[k : k + AT_ONCE + 1]
+        some = np.flatnonzero(np.diff(first))
         if len(some):
-            sums = np.add.reduceat(w["char"][vocab.grams], vocab.first[some], axis=0)
-            x[some] += sums / vocab.counts[some, None].astype(np.float32)
+            sums = np.add.reduceat(w["char"][vocab.grams[first[0] : first[-1]]], first[some] - first[0], axis=0)
+            x[k + some] += sums / np.diff(first)[some, None].astype(np.float32)
     return x
 
 
@@ -335,7 +347,12 @@ def _learn(vocab: Vocab, at: np.ndarray, y: np.ndarray, w: Weights, adam: Adam)
 
 def all_logits(vocab: Vocab, at: np.ndarray, w: Weights, rows: int = 2048) -> np.ndarray:
     x = embed(vocab, w)
-    parts = [forward(x, at[k : k + rows], w) for k in range(0, len(at), rows)]
+    parts = []
+    for k in range(0, len(at), rows):
+        # gates are worked out for the words of these windows only; -1 stays the last row
+        used, own = np.unique(at[k : k + rows], return_inverse=True)
+        own = own.reshape(-1, at.shape[1]) - (used[0] == -1)
+        parts.append(forward(x[np.append(used[used >= 0], -1)], own, w))
     return np.concatenate(parts) if parts else np.zeros(0, np.float32)
 
 
@@ -360,6 +377,7 @@ def train(documents: DataFrame, labels: DataFrame, params: ToxicityParams = Toxi
     label[doc] = rows["label"].to_numpy()
     data, bounds = raw_text(pa.concat_arrays(rows["text"].cast(pa.large_string()).chunks))
     del rows
+    pa.default_memory_pool().release_unused()
     vocab, which, found = read_words(data, bounds, params)
     del data
     which = which.astype(np.int32)

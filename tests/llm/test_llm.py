@@ -436,7 +436,7 @@ def test_what_reaches_the_driver_is_bounded():
         if n:
             found[path.name] = n
         assert not re.search(r"\.(localCheckpoint|crossJoin)\(", path.read_text())
-    assert found == {"language.py": 1, "ngram_join.py": 2, "quality.py": 1, "toxicity.py": 1}
+    assert found == {"language.py": 1, "ngram_join.py": 2, "quality.py": 2, "toxicity.py": 1}
 
 
 # --- added spans, long runs ----------------------------------------------------------
@@ -518,3 +518,27 @@ def test_quality_score_equals_plain_rules(spark):
     found = sorted(r.score for r in quality.score(frame, model).collect())
     assert found == pytest.approx(sorted(expected), abs=1e-12)
     assert quality.score(frame.limit(0), model).collect() == []
+
+
+def test_lasso_reaches_the_least_loss():
+    """At the least penalised loss every weight's slope equals the penalty, or is within it where the weight is 0."""
+    rng = np.random.default_rng(1)
+    holding = (rng.random((800, 25)) < 0.4).astype(np.float32)
+    label = (rng.random(800) < 1 / (1 + np.exp(-(2 * holding[:, 0] - 3 * holding[:, 1] + 0.5)))).astype(float)
+    params = quality.QualityParams(penalty=0.01, steps=3000)
+    bias, weights = quality.lasso(holding, label, params)
+    w = np.array(weights)
+    slope = holding.T @ (1 / (1 + np.exp(-(holding @ w + bias))) - label) / len(label)
+    free = np.abs(w) > 1e-6
+    assert free[0] and free[1] and free.sum() < 15
+    assert np.allclose(slope[free], -0.01 * np.sign(w[free]), atol=1e-4) and (np.abs(slope[~free]) <= 0.0101).all()
+
+
+def test_toxic_class_on_held_out_rows(spark, docs):
+    """Most toxic rows are found, and few others: better than always answering 0."""
+    labels = {r.doc_id: r.toxic for r in table(spark, SF_DIR, "labels").collect()}
+    rows = [r for r in run(spark, "op3_toxicity_gru").collect() if r.held_out and labels.get(r.doc_id) is not None]
+    toxic = [r for r in rows if labels[r.doc_id] == 1]
+    clean = [r for r in rows if labels[r.doc_id] == 0]
+    assert sum(r.predicted for r in toxic) >= 0.5 * len(toxic) > 0
+    assert sum(r.predicted for r in clean) <= 0.1 * len(clean)
