@@ -534,11 +534,13 @@ def test_lasso_reaches_the_least_loss():
     assert np.allclose(slope[free], -0.01 * np.sign(w[free]), atol=1e-4) and (np.abs(slope[~free]) <= 0.0101).all()
 
 
-def test_toxic_class_on_held_out_rows(spark, docs):
+def test_toxic_class_on_held_out_rows(spark):
     """Most toxic rows are found, and few others: better than always answering 0."""
-    labels = {r.doc_id: r.toxic for r in table(spark, SF_DIR, "labels").collect()}
-    rows = [r for r in run(spark, "op3_toxicity_gru").collect() if r.held_out and labels.get(r.doc_id) is not None]
+    folder = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in table(spark, folder, "labels").collect()}
+    scored = entry_point.queries()["op3_toxicity_gru"](spark, folder)
+    rows = [r for r in scored.collect() if r.held_out and labels.get(r.doc_id) is not None]
     toxic = [r for r in rows if labels[r.doc_id] == 1]
     clean = [r for r in rows if labels[r.doc_id] == 0]
-    assert sum(r.predicted for r in toxic) >= 0.5 * len(toxic) > 0
-    assert sum(r.predicted for r in clean) <= 0.1 * len(clean)
+    assert sum(r.predicted for r in toxic) >= 0.75 * len(toxic) > 0
+    assert sum(r.predicted for r in clean) <= 0.05 * len(clean)
