@@ -863,6 +863,30 @@ SELECT user_id, place_id, rank,
        CAST(COUNT(*) OVER (PARTITION BY user_id) AS INT) AS n_positions
 FROM b_user_recs""",
 )
+oracle(
+    "als_errors",
+    """
+WITH rated AS (
+  SELECT concat('U', o_custkey) AS u, concat('P', l_partkey) AS p,
+         CAST(SUM(1 + CAST(l_quantity AS INT) % 5) AS DOUBLE) / COUNT(*) AS rating
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2),
+split AS (SELECT *, substring(md5(concat(u, '|', p)), 1, 2) < '20' AS held FROM rated),
+t AS (SELECT * FROM split WHERE NOT held),
+h AS (
+  SELECT rating, u IN (SELECT u FROM t) AND p IN (SELECT p FROM t) AS covered FROM split WHERE held)
+SELECT COUNT(*) AS held, COUNT(*) FILTER (covered) AS covered,
+       round(CAST(sqrt(AVG((rating - (SELECT AVG(rating) FROM t)) ** 2) FILTER (covered)) AS DECIMAL(18,8)), 6)::DOUBLE AS rmse_mean,
+       true AS near_mean
+FROM h""",
+)
+oracle(
+    "als_new_places",
+    """
+WITH rated AS (
+  SELECT DISTINCT concat('U', o_custkey) AS u, l_partkey AS p FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+n AS (SELECT u, least(10, (SELECT COUNT(DISTINCT p) FROM rated) - COUNT(*)) AS n FROM rated GROUP BY u)
+SELECT u AS user_id, n AS n_places, n AS n_distinct, CAST(n AS INT) AS last_position, 0::BIGINT AS n_known FROM n WHERE n > 0""",
+)
 oracle(
     "recommend_price_location",
     """

@@ -843,8 +843,8 @@ def recommend_for_users(spark, sf_dir):
     return out.drop("sentiment_summary")
 
 
-def ordered_lists(spark, sf_dir):
-    """Each customer's list, ordered by what customers with similar orders rate well."""
+def _order_ratings(spark, sf_dir):
+    """What customers think of the parts they ordered, as ratings from 1 to 5."""
     orders = b.table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("U"), "o_custkey").alias("user_id"))
     # lines are summed per order and place before the join, so a huge order stays small
     lines = (
@@ -852,17 +852,60 @@ def ordered_lists(spark, sf_dir):
         .groupBy(F.col("l_orderkey").alias("o_orderkey"), F.concat(F.lit("P"), "l_partkey").alias("place_id"))
         .agg(F.sum(1 + F.col("l_quantity").cast("int") % 5).alias("total"), F.count(F.lit(1)).alias("n"))
     )
-    rated = (
+    return (
         lines.join(orders, "o_orderkey")
         .groupBy("user_id", "place_id")
         .agg((F.sum("total") / F.sum("n")).alias("rating"))
     )
-    factors = collaborative.train_factors(rated, "user_id", "place_id", "rating")
+
+
+def ordered_lists(spark, sf_dir):
+    """Each customer's list, ordered by what customers with similar orders rate well."""
+    factors = collaborative.train_factors(_order_ratings(spark, sf_dir), "user_id", "place_id", "rating")
     lists = recommend.recommend_for_users(_analyses(spark, sf_dir), b.user_preferences(spark, sf_dir), PARAMS)
     ordered = collaborative.order_candidates(factors, lists)
     return ordered.select("user_id", "place_id", "rank", "predicted_rating", "position")
 
 
+def order_errors(spark, sf_dir):
+    """Errors on the held-out ratings, with the regularisation that suits them best."""
+    rated = _order_ratings(spark, sf_dir)
+    _, factors = collaborative.choose_factors(rated, "user_id", "place_id", "rating", (0.1, 2.0))
+    return collaborative.prediction_errors(factors, rated.filter(collaborative.held_out("user_id", "place_id")), "rating")
+
+
+@query
+def als_errors(spark, sf_dir):
+    """What any factors have to give: the pairs held out and covered, the mean's error, and a model that is not far off it.
+
+    Ratings follow from order quantities, which nobody's taste explains, so the mean is
+    about as good as any answer; a model that only learns noise is clearly worse.
+    """
+    errors = rounded(order_errors(spark, sf_dir), 6, "rmse_mean")
+    return errors.select("held", "covered", "rmse_mean", (F.col("rmse") < 1.05 * F.col("rmse_mean")).alias("near_mean"))
+
+
+def best_new_places(spark, sf_dir):
+    """Ten places for each customer, of all that anybody ordered, that they haven't ordered themselves."""
+    rated = _order_ratings(spark, sf_dir)
+    factors = collaborative.train_factors(rated, "user_id", "place_id", "rating")
+    return collaborative.top_places(factors, 10, seen=rated)
+
+
+@query
+def als_new_places(spark, sf_dir):
+    """What any factors have to give: each customer's number of new places, positions without gaps, none known already."""
+    found = best_new_places(spark, sf_dir)
+    known = _order_ratings(spark, sf_dir).select("user_id", "place_id", F.lit(1).alias("known"))
+    joined = found.join(known, ["user_id", "place_id"], "left")
+    return joined.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_places"),
+        F.count_distinct("place_id").alias("n_distinct"),
+        F.max("position").alias("last_position"),
+        F.count("known").alias("n_known"),
+    )
+
+
 @query
 def als_recommendations(spark, sf_dir):
     """What any factors have to give: all candidates, a rating for known users, and positions from 1 without gaps or ties."""

@@ -41,7 +41,7 @@ WITH_PYTHON = {
     "batch_summary",
     "clean_batch_counts",
 }
-RUNS_AT_ONCE = {"score_reviews_trained", "als_recommendations"}
+RUNS_AT_ONCE = {"score_reviews_trained", "als_recommendations", "als_errors", "als_new_places"}
 
 
 @pytest.mark.parametrize("name", sorted(set(q.REGISTRY) - RUNS_AT_ONCE))
