@@ -1047,7 +1047,7 @@ def stream_ingest(spark, sf_dir):
     streaming.ingest_reviews(
         _event_stream(spark, sf_dir), path, checkpoint, as_of=F.lit(AS_OF).cast("date")
     ).awaitTermination()
-    return streaming.read_stream_table(spark, path).select(
+    return streaming.read_stream_table(spark, path, "review_id").select(
         "review_id", "place_id", "author_name", "rating", "text_cleaned", "review_length", "word_count", "review_age_days"
     )
 
@@ -1056,6 +1056,6 @@ def stream_ingest(spark, sf_dir):
 def stream_counts(spark, sf_dir):
     table, checkpoint = new_work_path(spark, "stream-counts"), new_work_path(spark, "stream-state")
     counts = streaming.windowed_counts(_event_stream(spark, sf_dir), "place_id")
-    streaming.upsert_stream(counts, table, checkpoint, "window_key", [F.desc("review_count")]).awaitTermination()
-    out = streaming.read_stream_table(spark, table)
+    streaming.append_batches(counts, table, checkpoint).awaitTermination()
+    out = streaming.read_stream_table(spark, table, "window_key")
     return out.select(day("window_start").alias("window_day"), "place_id", "review_count")

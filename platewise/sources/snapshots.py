@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,43 +42,12 @@ def write_version(df: DataFrame, path: str, name: str | None = None, keep: int =
     return spark.read.schema(df.schema).parquet(folder)
 
 
-BUCKET = "bucket"
-
-
-def bucket_folders(spark: SparkSession, path: str, before: str | None = None) -> dict[str, list[str]]:
-    """The folders of each bucket in finished versions, oldest first; ``before`` leaves out versions of that name and later."""
-    found: dict[str, list[str]] = {}
-    for version in versions(spark, path):
-        if before is None or version.rsplit(VERSION, 1)[1] < before:
-            fs, folder = _file_system(spark, version)
-            for status in fs.listStatus(folder):
-                if status.isDirectory():
-                    found.setdefault(status.getPath().getName(), []).append(status.getPath().toString())
-    return found
-
-
-def read_buckets(spark: SparkSession, path: str, before: str | None = None) -> DataFrame | None:
-    """The newest state of every bucket, with its ``bucket``; None for a table without rows."""
-    newest = [folders[-1] for folders in bucket_folders(spark, path, before).values()]
-    if not newest:
-        return None
-    return spark.read.option("basePath", path).parquet(*sorted(newest)).drop(VERSION.rstrip("="))
-
-
-def write_buckets(df: DataFrame, path: str, name: str, keep: int = 2) -> None:
-    """Write the buckets that ``df`` holds as version ``name``; the other buckets stay where they are.
-
-    Of each bucket the last ``keep`` states stay, for readers that began before and for
-    a repeated batch; older ones are removed. Partitions are sized by Spark, which may
-    split a large bucket over several tasks.
-    """
-    spark = df.sparkSession
-    folder = f"{path.rstrip('/')}/{VERSION}{name}"
-    df.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
-    for folders in bucket_folders(spark, path).values():
-        for old in folders[:-keep]:
-            fs, gone = _file_system(spark, old)
-            fs.delete(gone, True)
+def remove(spark: SparkSession, pattern: str, which: Callable[[str], bool]) -> None:
+    """Delete the folders that match ``pattern`` and whose name passes ``which``."""
+    fs, glob = _file_system(spark, pattern)
+    for status in fs.globStatus(glob) or []:
+        if which(status.getPath().getName()):
+            fs.delete(status.getPath(), True)
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from platewise.operators.cleaning import clean_rows, engineer_features
-from platewise.operators.dedup import top_per_key
 from platewise.sources import snapshots
 
 
@@ -22,34 +21,35 @@ def file_stream(
     return reader.load(folder)
 
 
-def upsert_stream(
-    updates: DataFrame, table: str, checkpoint: str, key: str, order_by: list[Column], buckets: int = 64
-) -> StreamingQuery:
-    """Keep the first row of each key by ``order_by``, over all batches, in a table of key buckets.
-
-    The winner is chosen among stored and new rows alike, so an older copy that arrives
-    late doesn't replace a newer one, and no row is too late. Of rows that are equal in
-    the order the later batch wins. A batch rewrites only the buckets of its keys; it is
-    written as a version with its own name, so a repeat after a failure replaces itself
-    and starts from the versions before. ``buckets`` must stay the same for a table: take
-    more for larger ones, as a batch with many keys touches them all.
+BATCH = "batch"
+
+
+def latest_copies(rows: DataFrame, key: str, newest: list[str]) -> DataFrame:
+    """The newest row of each key over all batches, kept in Spark's state store.
+
+    The order is that of the columns ``newest`` and then of all others, so it doesn't
+    depend on how rows fall into batches: an older copy that arrives late replaces nothing,
+    and no row is too late. A batch gives the keys that it touches. Copies are reduced per
+    task before the shuffle, so a key with very many copies is no hot one. The state is as
+    large as the table: ``build_session`` keeps it in RocksDB, on disk and in checkpoints.
     """
+    rest = [c for c in rows.columns if c not in (key, *newest)]
+    best = rows.groupBy(key).agg(F.max(F.struct(*newest, *rest)).alias("_best"))
+    return best.select(*[F.col(c) if c == key else F.col(f"_best.{c}").alias(c) for c in rows.columns])
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        name = f"{batch_id:020d}"
-        place = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-        rows = batch.withColumns({snapshots.BUCKET: place, "_age": F.lit(0)})
-        stored = snapshots.read_buckets(spark, table, before=name)
-        if stored is not None:
-            touched = rows.select(snapshots.BUCKET).distinct()
-            same = stored.join(touched, snapshots.BUCKET, "left_semi").withColumn("_age", F.lit(1))
-            rows = rows.unionByName(same, allowMissingColumns=True)
-        best = top_per_key(rows, [key], [*order_by, F.col("_age")])
-        snapshots.write_buckets(best.drop("_age"), table, name)
+
+def append_batches(updates: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Write what each batch updates below ``table``, in a folder with the batch's number.
+
+    A repeat after a failure replaces its own folder. Nothing else is read, listed or
+    rewritten, however many batches there were.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batches/{BATCH}={batch_id}")
 
     return (
-        updates.writeStream.foreachBatch(merge)
+        updates.writeStream.foreachBatch(write)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -57,16 +57,46 @@ def upsert_stream(
     )
 
 
-def read_stream_table(spark: SparkSession, table: str) -> DataFrame:
-    """The rows of a table that ``upsert_stream`` keeps."""
-    found = snapshots.read_buckets(spark, table)
-    if found is None:
-        raise FileNotFoundError(f"no finished version below {table}")
-    return found.drop(snapshots.BUCKET)
+def _batches(spark: SparkSession, table: str) -> DataFrame:
+    folder = f"{table.rstrip('/')}/batches"
+    rows = spark.read.option("basePath", folder).parquet(f"{folder}/{BATCH}=*")
+    return rows.withColumn(BATCH, F.col(BATCH).cast("bigint"))
+
+
+def read_stream_table(spark: SparkSession, table: str, key: str) -> DataFrame:
+    """The current row of each key of a table that ``append_batches`` writes: that of its last batch.
+
+    Batches that the last compaction covers are not read.
+    """
+    rows = _batches(spark, table)
+    whole = snapshots.versions(spark, f"{table.rstrip('/')}/whole")
+    if whole:
+        covered = int(whole[-1].rsplit(snapshots.VERSION, 1)[1])
+        rows = rows.filter(F.col(BATCH) > covered)
+        rows = rows.unionByName(spark.read.parquet(whole[-1]).withColumn(BATCH, F.lit(covered).cast("bigint")))
+    names = [c for c in rows.columns if c not in (key, BATCH)]
+    best = rows.groupBy(key).agg(F.max_by(F.struct(*names), BATCH).alias("_row"))
+    return best.select(*[F.col(c) if c == key else F.col(f"_row.{c}").alias(c) for c in rows.columns if c != BATCH])
+
+
+def compact(spark: SparkSession, table: str, key: str) -> None:
+    """Rewrite the table's current rows as one version; to be run now and then, beside the stream.
+
+    The version is named by the last batch in it. Folders of batches that the version
+    before covers are removed: readers that began before this one don't need them.
+    """
+    root = f"{table.rstrip('/')}/whole"
+    before = snapshots.versions(spark, root)
+    last = _batches(spark, table).agg(F.max(BATCH)).first()[0]
+    current = read_stream_table(spark, table, key)
+    snapshots.write_version(current, root, f"{last:020d}")
+    if before:
+        covered = int(before[-1].rsplit(snapshots.VERSION, 1)[1])
+        snapshots.remove(spark, f"{table.rstrip('/')}/batches/{BATCH}=*", lambda name: int(name.split("=")[1]) <= covered)
 
 
 def ingest_reviews(
-    reviews: DataFrame, table: str, checkpoint: str, event_time: str = "event_time", as_of=None, buckets: int = 64
+    reviews: DataFrame, table: str, checkpoint: str, event_time: str = "event_time", as_of=None
 ) -> StreamingQuery:
     """Clean, add features, and keep the latest copy of each review.
 
@@ -74,7 +104,7 @@ def ingest_reviews(
     as any other, and an edited copy replaces the one it edits.
     """
     rows = engineer_features(clean_rows(reviews), as_of)
-    return upsert_stream(rows, table, checkpoint, "review_id", [F.col(event_time).desc_nulls_last()], buckets)
+    return append_batches(latest_copies(rows, "review_id", [event_time]), table, checkpoint)
 
 
 def windowed_counts(

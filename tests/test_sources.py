@@ -142,7 +142,7 @@ def test_stream_keeps_latest_of_each_id_and_resumes(spark, tmp_path):
     def run():
         source = streaming.file_stream(spark, str(folder / "*"), spark.createDataFrame([], schema).schema)
         streaming.ingest_reviews(source, out, state, as_of="2024-01-03").awaitTermination()
-        return sorted((r.review_id, r.text_cleaned, r.rating) for r in streaming.read_stream_table(spark, out).collect())
+        return sorted((r.review_id, r.text_cleaned, r.rating) for r in streaming.read_stream_table(spark, out, "review_id").collect())
 
     at = dt.datetime(2024, 1, 1, 12)
     a = ("a", "p", "x", 9.0, "<b>Great</b> place", 1704110400, at)
@@ -161,8 +161,56 @@ def test_stream_keeps_latest_of_each_id_and_resumes(spark, tmp_path):
     for n in range(4):
         put(f"again{n}", [edited])
         assert run() == expected
-    # states that no reader needs are gone
-    assert max(len(f) for f in snapshots.bucket_folders(spark, out).values()) == 2
+    # a compaction changes nothing, and the next one removes what the one before covers
+    for n in range(3):
+        streaming.compact(spark, out, "review_id")
+        put(f"more{n}", [("e", "p", "x", 3.0, f"Text number {n}", 1700000000 + n, at + dt.timedelta(hours=n))])
+        assert run() == [*expected, ("e", f"Text number {n}", 3.0)]
+    folders = {int(f.name.split("=")[1]) for f in (tmp_path / "out" / "batches").iterdir()}
+    covered = sorted(int(f.name.split("=")[1]) for f in (tmp_path / "out" / "whole").iterdir() if f.is_dir())
+    assert len(covered) == 2 and min(folders) == covered[0] + 1 and max(folders) > covered[1]
+
+
+def test_latest_copy_does_not_depend_on_batches(spark, tmp_path):
+    """Every split of the same rows into batches, with ties and nulls, leaves the same table."""
+    import random
+
+    rng = random.Random(3)
+    schema = "k string, at int, v string, w double"
+    rows = [(f"k{rng.randrange(12)}", rng.choice([None, 1, 2, 3]), rng.choice([None, "x", "y"]), rng.choice([None, 0.5, 2.0])) for _ in range(90)]
+
+    def newest(r):
+        return tuple((x is not None, x) for x in r[1:])
+
+    expected = {}
+    for r in rows:
+        expected[r[0]] = max(expected.get(r[0], r), r, key=newest)
+    for number, size in enumerate((90, 23)):
+        folder, out, state = (str(tmp_path / f"{name}{number}") for name in ("in", "out", "state"))
+        rng.shuffle(rows)
+        for start in range(0, len(rows), size):
+            spark.createDataFrame(rows[start : start + size], schema).write.mode("append").parquet(folder)
+            source = streaming.file_stream(spark, folder, spark.createDataFrame([], schema).schema)
+            streaming.append_batches(streaming.latest_copies(source, "k", ["at"]), out, state).awaitTermination()
+        found = {tuple(r) for r in streaming.read_stream_table(spark, out, "k").collect()}
+        assert found == set(expected.values())
+
+
+def test_a_batch_reads_no_earlier_batches(spark, tmp_path):
+    """What a batch writes is its own folder; the folders before stay as they were."""
+    folder, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    schema = "k int, at int"
+    seen = {}
+    for n in range(4):
+        spark.createDataFrame([(n % 2, n)], schema).coalesce(1).write.mode("append").parquet(folder)
+        source = streaming.file_stream(spark, folder, spark.createDataFrame([], schema).schema)
+        streaming.append_batches(streaming.latest_copies(source, "k", ["at"]), out, state).awaitTermination()
+        files = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "out").rglob("*.parquet")}
+        assert {f: files[f] for f in seen} == seen
+        new = {f for f in files if f not in seen}
+        assert new and all(f"batch={n}/" in f for f in new)
+        assert spark.read.parquet(*new).select("k", "at").collect() == [(n % 2, n)]
+        seen = files
 
 
 def test_stream_counts_equal_batch(spark, tmp_path):
@@ -175,8 +223,8 @@ def test_stream_counts_equal_batch(spark, tmp_path):
     def run():
         source = streaming.file_stream(spark, str(folder), spark.createDataFrame([], schema).schema)
         counts = streaming.windowed_counts(source, "place_id")
-        streaming.upsert_stream(counts, table, state, "window_key", [F.desc("review_count")]).awaitTermination()
-        got = streaming.read_stream_table(spark, table).collect()
+        streaming.append_batches(counts, table, state).awaitTermination()
+        got = streaming.read_stream_table(spark, table, "window_key").collect()
         return sorted((r.window_start.day, r.place_id, r.review_count) for r in got)
 
     put([("p", dt.datetime(2024, 1, 1, 1)), ("p", dt.datetime(2024, 1, 1, 2)), ("q", dt.datetime(2024, 1, 2, 1))])
