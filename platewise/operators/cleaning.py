@@ -69,12 +69,13 @@ def engineer_features(df: DataFrame, as_of=None, mode: str = "pipeline") -> Data
     )
 
 
-def clean_counts(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Rows before and after cleaning, as one row."""
-    before = raw.agg(F.count(F.lit(1)).alias("input_rows"))
-    after = cleaned.select(F.lit(1)).agg(F.count(F.lit(1)).alias("output_rows"))
-    return before.select("input_rows", after.scalar().alias("output_rows")).withColumn(
-        "removed_rows", F.col("input_rows") - F.col("output_rows")
+def clean_counts(raw: DataFrame, mode: str = "pipeline") -> DataFrame:
+    """Rows before and after cleaning, as one row, counted while one action cleans them."""
+    before, after = Observation(), Observation()
+    clean_reviews(raw, mode, observe=(before, after)).write.format("noop").mode("overwrite").save()
+    counts = before.get["rows"], after.get["rows"]
+    return raw.sparkSession.createDataFrame(
+        [(*counts, counts[0] - counts[1])], "input_rows bigint, output_rows bigint, removed_rows bigint"
     )
 
 

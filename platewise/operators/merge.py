@@ -133,15 +133,23 @@ def upsert_restaurants(target, updates, order_by=None, op_col=None) -> DataFrame
     return merge_by_key(target, updates, "place_id", None, order_by, keep_if_null=True, op_col=op_col)
 
 
-def upsert_preferences(target: DataFrame, submitted: DataFrame, order_by=None) -> DataFrame:
-    """Stored preferences per user, with the defaults of fields that were not sent."""
+def upsert_preferences(
+    target: DataFrame, submitted: DataFrame, order_by=None, updated_at: Column | None = None
+) -> DataFrame:
+    """Stored preferences per user, with the defaults of fields that were not sent, and when they were sent.
+
+    What a user sends replaces all their preferences: a price range that isn't sent is none.
+    """
     filled = submitted.withColumns(
         {
             "user_id": F.coalesce("user_id", F.lit("anonymous")),
             "cuisine_types": F.coalesce("cuisine_types", F.array().cast("array<string>")),
             "min_rating": F.coalesce("min_rating", F.lit(3.0)),
+            "updated_at": F.current_timestamp() if updated_at is None else updated_at,
         }
     )
+    if "price_range" not in filled.columns:
+        filled = filled.withColumn("price_range", F.lit(None).cast("array<int>"))
     return merge_by_key(target, filled, "user_id", None, order_by)
 
 

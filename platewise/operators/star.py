@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewise.functions import dates
-from platewise.functions.numbers import exact_mean, ratio, round_half_up
+from platewise.functions.numbers import exact_sum, ratio, round_half_up
 from platewise.functions.sentiment import NEGATIVE, POSITIVE, label_count
 from platewise.schemas import WAREHOUSE_TYPES
 
@@ -78,25 +78,58 @@ def prediction_rows(processed: DataFrame) -> DataFrame:
     return as_warehouse_table(rows, "fact_predictions")
 
 
-def sentiment_summary(restaurants: DataFrame, predictions: DataFrame) -> DataFrame:
-    """One row per place, also for places without predictions.
+#: decimals that scores and confidences have in the predictions table
+SCORE_SCALE, CONFIDENCE_SCALE = 2, 4
+SUMS = ["n", "score_n", "score_sum", "confidence_n", "confidence_sum", "positive", "negative", "neutral"]
 
-    Predictions are aggregated to place grain first, so the join moves one row per
-    place instead of one per prediction and a busy place cannot skew it.
+
+def summary_sums(predictions: DataFrame) -> DataFrame:
+    """Counts and exact sums per place, of which the summary is made.
+
+    Two such tables of different predictions add up to that of all of them, and the table
+    of predictions that were replaced may be taken off.
     """
-    per_place = predictions.groupBy("place_id").agg(
+    return predictions.groupBy("place_id").agg(
         F.count("review_id").alias("n"),
-        round_half_up(exact_mean(F.col("predicted_score"), 2), 2).alias("avg_nlp_score"),
-        round_half_up(exact_mean(F.col("confidence"), 4), 3).alias("avg_confidence"),
+        F.count("predicted_score").alias("score_n"),
+        exact_sum(F.col("predicted_score"), SCORE_SCALE).alias("score_sum"),
+        F.count("confidence").alias("confidence_n"),
+        exact_sum(F.col("confidence"), CONFIDENCE_SCALE).alias("confidence_sum"),
         label_count(F.col("sentiment_label"), POSITIVE).alias("positive"),
         label_count(F.col("sentiment_label"), NEGATIVE).alias("negative"),
         label_count(F.col("sentiment_label"), ["neutral"]).alias("neutral"),
     )
 
+
+def add_sums(stored: DataFrame, added: DataFrame, removed: DataFrame | None = None) -> DataFrame:
+    """The sums of ``stored`` and ``added`` without those of ``removed``; places left without predictions go."""
+    all_sums = stored.unionByName(added)
+    if removed is not None:
+        all_sums = all_sums.unionByName(removed.withColumns({c: -F.col(c) for c in SUMS}))
+    kinds = dict(stored.dtypes)
+    totals = [F.sum(c).cast(kinds[c]).alias(c) for c in SUMS]
+    return all_sums.groupBy("place_id").agg(*totals).filter(F.col("n") > 0)
+
+
+def sentiment_summary(restaurants: DataFrame, predictions: DataFrame) -> DataFrame:
+    """One row per place, also for places without predictions.
+
+    Predictions are aggregated to place grain first, so the join moves one row per
+    place instead of one per prediction and a busy place cannot skew it.
+    """
+    return summary_of_sums(restaurants, summary_sums(predictions))
+
+
+def summary_of_sums(restaurants: DataFrame, sums: DataFrame) -> DataFrame:
+    """The summary from the sums per place."""
+
+    def mean(total: str, n: str, digits: int):
+        return round_half_up(ratio(F.col(total), F.col(n)), digits)
+
     def zero(name: str):
         return F.coalesce(F.col(name), F.lit(0))
 
-    joined = restaurants.select(*PLACE_COLUMNS).join(per_place, "place_id", "left")
+    joined = restaurants.select(*PLACE_COLUMNS).join(sums, "place_id", "left")
     return joined.select(
         "place_id",
         "name",
@@ -105,8 +138,8 @@ def sentiment_summary(restaurants: DataFrame, predictions: DataFrame) -> DataFra
         "total_ratings",
         "price_level",
         zero("n").alias("nlp_review_count"),
-        "avg_nlp_score",
-        "avg_confidence",
+        mean("score_sum", "score_n", 2).alias("avg_nlp_score"),
+        mean("confidence_sum", "confidence_n", 3).alias("avg_confidence"),
         zero("positive").alias("positive_count"),
         zero("negative").alias("negative_count"),
         zero("neutral").alias("neutral_count"),

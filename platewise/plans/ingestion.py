@@ -15,13 +15,26 @@ from platewise.sources import documents, lake, snapshots
 
 
 def ingest(
-    places: DataFrame, as_of=None, ingested_at: Column | None = None, lake_path: str | None = None
+    places: DataFrame,
+    as_of=None,
+    ingested_at: Column | None = None,
+    lake_path: str | None = None,
+    location: Column | None = None,
 ) -> dict[str, DataFrame]:
-    """Place documents to raw, cleaned and star-schema tables, lazily."""
+    """Place documents to raw, cleaned and star-schema tables, lazily.
+
+    With ``lake_path`` the raw and the featured reviews are written to the raw and the
+    processed area of the lake, under the batch's ``location`` and the day of ingestion. A
+    rerun of the same batch on that day replaces what it wrote.
+    """
     raw = documents.flatten_reviews(places, ingested_at)
-    if lake_path:
-        lake.write_lake(raw, lake_path, F.col("place_id"))
     featured = cleaning.engineer_features(cleaning.clean_reviews(raw), as_of)
+    if lake_path:
+        if location is None:
+            raise ValueError("a batch goes to the lake under its location")
+        root = lake_path.rstrip("/")
+        lake.write_lake(raw, f"{root}/{lake.RAW_PREFIX}", location, ingested_at)
+        lake.write_lake(featured, f"{root}/{lake.PROCESSED_PREFIX}", location, ingested_at)
     return {
         "raw_reviews": raw,
         "restaurants": documents.restaurant_metadata(places, ingested_at),
@@ -137,3 +150,24 @@ def load_warehouse(
 def refresh_sentiment_summary(restaurants: DataFrame, predictions: DataFrame, path: str) -> DataFrame:
     """Recompute the summary into a new version and return it."""
     return snapshots.write_version(star.sentiment_summary(restaurants, predictions), path)
+
+
+def refresh_summary_by_batch(
+    restaurants: DataFrame, added: DataFrame, path: str, removed: DataFrame | None = None
+) -> DataFrame:
+    """Bring the summary below ``path`` up to date with a batch of predictions alone.
+
+    ``added`` are the batch's predictions, ``removed`` the rows they replaced, as they were.
+    The stored sums per place and the batch are all that is read; the fact table isn't.
+    Both the sums and the summary get a new version.
+    """
+    spark = restaurants.sparkSession
+    sums = star.summary_sums(added)
+    gone = None if removed is None else star.summary_sums(removed)
+    known = f"{path.rstrip('/')}/sums"
+    if snapshots.versions(spark, known):
+        sums = star.add_sums(snapshots.read_latest(spark, known), sums, gone)
+    elif gone is not None:
+        raise ValueError("nothing is stored that rows could be removed from")
+    sums = snapshots.write_version(sums, known)
+    return snapshots.write_version(star.summary_of_sums(restaurants, sums), f"{path.rstrip('/')}/summary")

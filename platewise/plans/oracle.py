@@ -369,6 +369,25 @@ SELECT CAST(substr(ingested_at, 1, 4) AS INT) AS year, CAST(substr(ingested_at,
        CAST(SUM(length(text)) AS BIGINT) AS text_chars
 FROM b_raw GROUP BY ALL""",
 )
+oracle(
+    "lake_rerun",
+    """
+SELECT CAST(substr(ingested_at, 1, 4) AS INT) AS year, 'area_2' AS location, COUNT(*) AS n,
+       CAST(SUM(time_epoch) AS BIGINT) AS epoch_sum
+FROM b_raw WHERE rating = 2 GROUP BY ALL""",
+)
+oracle(
+    "lake_processed",
+    """
+SELECT 'raw/reviews' AS area, 'phoenix_downtown' AS location, COUNT(*) AS n, CAST(SUM(length(text)) AS BIGINT) AS chars
+FROM b_raw WHERE rating IS NOT NULL
+UNION ALL
+SELECT 'processed/reviews', 'phoenix_downtown', COUNT(*), CAST(SUM(length(t)) AS BIGINT) FROM (
+  SELECT regexp_replace(trim(regexp_replace(text, '<[^>]+>', '', 'g')), '\\s+', ' ', 'g') AS t FROM b_raw
+  WHERE rating IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY place_id, author_name, time_epoch ORDER BY rating, text) = 1)
+WHERE length(t) > 5""",
+)
 oracle(
     "lake_files",
     """
@@ -514,14 +533,18 @@ oracle(
     """
 SELECT coalesce(k.user_id, u.user_id) AS user_id,
        CASE WHEN u.user_id IS NULL THEN 'old' ELSE array_to_string(u.cuisine_types, ',') END AS cuisine_types,
-       CASE WHEN u.user_id IS NULL THEN k.min_rating ELSE u.min_rating END AS min_rating
+       CASE WHEN u.user_id IS NULL THEN k.min_rating ELSE u.min_rating END AS min_rating,
+       CASE WHEN u.user_id IS NULL THEN '1,4' ELSE array_to_string(u.price_range, ',') END AS price_range,
+       CASE WHEN u.user_id IS NULL THEN '2023-12-31T00:00:00' ELSE '2024-01-01T00:00:00' END AS updated_at
 FROM (SELECT * FROM b_users WHERE c_nationkey < 15) k
 FULL JOIN (
   SELECT * FROM (
     SELECT CASE WHEN c_nationkey < 24 THEN user_id ELSE 'anonymous' END AS user_id,
-           coalesce(cuisine_types, CAST([] AS VARCHAR[])) AS cuisine_types, coalesce(min_rating, 3.0) AS min_rating
+           coalesce(cuisine_types, CAST([] AS VARCHAR[])) AS cuisine_types, coalesce(min_rating, 3.0) AS min_rating,
+           CASE WHEN c_nationkey % 3 = 0 THEN [1, 1 + c_nationkey % 4] END AS price_range
     FROM b_users WHERE c_nationkey >= 10)
-  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY min_rating DESC, array_to_string(cuisine_types, ',')) = 1) u
+  QUALIFY row_number() OVER (
+    PARTITION BY user_id ORDER BY min_rating DESC, array_to_string(cuisine_types, ','), price_range[2] NULLS FIRST) = 1) u
 ON k.user_id = u.user_id""",
 )
 
@@ -545,6 +568,7 @@ SELECT md5(author_name) AS user_id, author_name, CAST(MIN(review_date) AS DATE)
 FROM b_reviews GROUP BY author_name""",
 )
 oracle("mv_restaurant_sentiment", "SELECT * FROM b_summary")
+oracle("mv_refresh_by_batch", "SELECT * FROM b_summary")
 oracle(
     "top_restaurants_by_nlp",
     """
@@ -993,3 +1017,7 @@ oracle(
     "stream_counts",
     "SELECT CAST(ts AS DATE) AS window_day, event_type AS place_id, COUNT(*) AS review_count FROM events GROUP BY ALL",
 )
+
+# the same results by way of bucketed tables
+ORACLE["merge_bucketed"] = ORACLE["merge_fact_reviews"]
+ORACLE["backlog_bucketed"] = ORACLE["unprocessed_reviews"]

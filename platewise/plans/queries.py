@@ -8,7 +8,7 @@ from datetime import timedelta
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DecimalType, MapType, TimestampType
+from pyspark.sql.types import ArrayType, DecimalType, MapType, StringType, StructField, StructType, TimestampType
 
 from platewise import schemas
 from platewise.config import Preferences, RankingParams
@@ -30,7 +30,7 @@ from platewise.operators import (
 from platewise.plans import bindings as b
 from platewise.plans import ingestion
 from platewise.session import new_work_path
-from platewise.sources import documents, lake, snapshots
+from platewise.sources import bucketed, documents, lake, snapshots
 from platewise.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +163,43 @@ def read_lake_partition(spark, sf_dir):
     )
 
 
+@query
+def lake_rerun(spark, sf_dir):
+    """A location taken in, and again with more reviews: the day's second run replaces the first; read by location."""
+    path = new_work_path(spark, "lake-rerun")
+    raw = b.raw_reviews(spark, sf_dir)
+    year = F.trunc(F.to_date("ingested_at"), "YEAR")
+    for rows in (raw.filter("rating < 3"), raw.filter("rating < 5")):
+        lake.write_lake(rows, path, F.concat(F.lit("Area "), F.col("rating").cast("int")), year)
+    rows = lake.read_lake(spark, path, schemas.RAW_REVIEW, location="Area 2")
+    return rows.groupBy("year", "location").agg(F.count(F.lit(1)).alias("n"), F.sum("time_epoch").alias("epoch_sum"))
+
+
+@query
+def lake_processed(spark, sf_dir):
+    """Reviews of places, ingested into the raw and the processed area; rows and characters of each by location."""
+    path = new_work_path(spark, "lake-areas")
+    raw = b.raw_reviews(spark, sf_dir).filter("rating is not null")
+    raw = raw.withColumnsRenamed({"time_epoch": "time", "restaurant_name": "name"})
+    review = F.struct(*_as_schema(raw, schemas.PLACE_REVIEW))
+    places = raw.select("place_id", "name", F.array(review).alias("reviews"))
+    places = places.select(*_as_schema(places, schemas.PLACE_DETAILS))
+    ingestion.ingest(places, F.lit("2002-01-01").cast("date"), F.lit("2024-03-05"), path, F.lit("Phoenix Downtown"))
+    found = []
+    for area, column in ((lake.RAW_PREFIX, "text"), (lake.PROCESSED_PREFIX, "text_cleaned")):
+        rows = lake.read_lake(
+            spark, f"{path}/{area}", StructType([StructField(column, StringType())]), 2024, 3, 5, location="Phoenix Downtown"
+        )
+        counts = F.count(F.lit(1)).alias("n"), F.sum(F.length(column)).alias("chars")
+        found.append(rows.groupBy("location").agg(*counts).withColumn("area", F.lit(area)))
+    return found[0].unionByName(found[1])
+
+
+def _as_schema(df, schema):
+    """The columns of a schema, null where ``df`` lacks them."""
+    return [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+
+
 @query
 def lake_files(spark, sf_dir):
     files = lake.lake_files(spark, _lake(spark, sf_dir))
@@ -294,6 +331,29 @@ def merge_fact_reviews(spark, sf_dir):
     return merge.merge_fact_reviews(target, _fact_rows(winners, "2024-02-01"))
 
 
+@query
+def merge_bucketed(spark, sf_dir):
+    """The same merge of reviews into a table bucketed by their id."""
+    known, batch = _stored_and_arrived(spark, sf_dir)
+    table = bucketed.BucketedTable(new_work_path(spark, "bucketed"), "review_id", 16)
+    bucketed.write(_fact_rows(known, "2024-01-01").withColumnRenamed("text_cleaned", "review_text"), table)
+    winners = dedup.top_per_key(batch, ["review_id"], b.latest_first())
+    arrived = _fact_rows(winners, "2024-02-01")
+    arrived = arrived.withColumn("review_text", F.coalesce("text_cleaned", F.lit(""))).drop("text_cleaned")
+    return bucketed.merge_into(table, arrived, update_cols=merge.FACT_REVIEW_UPDATES)
+
+
+@query
+def backlog_bucketed(spark, sf_dir):
+    """The reviews without a stored prediction, of two tables bucketed by review id."""
+    path = new_work_path(spark, "bucketed")
+    reviews = b.reviews(spark, sf_dir)
+    done = bucketed.write(b.stored(reviews).select("review_id"), bucketed.BucketedTable(f"{path}/done", "review_id", 16))
+    known = reviews.select("review_id", "place_id", "rating", day("review_date").alias("review_date"))
+    known = bucketed.write(known, bucketed.BucketedTable(f"{path}/reviews", "review_id", 16))
+    return serving.unprocessed_reviews(known, done, None)
+
+
 @query
 def merge_dim_time(spark, sf_dir):
     known, batch = _stored_and_arrived(spark, sf_dir)
@@ -383,12 +443,20 @@ def load_warehouse(spark, sf_dir):
 def upsert_preferences(spark, sf_dir):
     users = b.user_preferences(spark, sf_dir)
     known = users.filter(F.col("c_nationkey") < 15).drop("c_nationkey")
-    known = known.withColumn("cuisine_types", F.array(F.lit("old")))
+    known = known.withColumns(
+        {
+            "cuisine_types": F.array(F.lit("old")),
+            "price_range": F.array(F.lit(1), F.lit(4)),
+            "updated_at": F.lit("2023-12-31T00:00:00"),
+        }
+    )
     sent = users.filter(F.col("c_nationkey") >= 10).withColumn(
         "user_id", F.when(F.col("c_nationkey") < 24, F.col("user_id"))
     )
-    order = [F.desc("min_rating"), F.array_join("cuisine_types", ",")]
-    return merge.upsert_preferences(known, sent.drop("c_nationkey"), order)
+    price = F.when(F.col("c_nationkey") % 3 == 0, F.array(F.lit(1), (1 + F.col("c_nationkey") % 4).cast("int")))
+    sent = sent.withColumn("price_range", price)
+    order = [F.desc("min_rating"), F.array_join("cuisine_types", ","), F.col("price_range")[1].asc_nulls_first()]
+    return merge.upsert_preferences(known, sent.drop("c_nationkey"), order, F.lit("2024-01-01T00:00:00"))
 
 
 # --- warehouse and business queries ----------------------------------------------------
@@ -426,6 +494,25 @@ def mv_restaurant_sentiment(spark, sf_dir):
     return snapshots.read_latest(spark, path)
 
 
+@query
+def mv_refresh_by_batch(spark, sf_dir):
+    """The summary after a first load with other scores of some reviews, and a batch that revises these and adds more."""
+    path = new_work_path(spark, "summary-by-batch")
+    places = b.restaurants(spark, sf_dir)
+    scored = b.with_prediction(b.reviews(spark, sf_dir))
+    early = b.stored(scored).select(*b.PREDICTION_COLUMNS, "review_date")
+    other = F.col("review_date") >= F.lit(b.ARRIVED_SINCE).cast("timestamp_ntz")
+    first = early.withColumns(
+        {
+            "predicted_score": F.when(other, F.lit(1).cast("decimal(3,2)")).otherwise(F.col("predicted_score")),
+            "sentiment_label": F.when(other, "neutral").otherwise(F.col("sentiment_label")),
+        }
+    )
+    ingestion.refresh_summary_by_batch(places, first, path)
+    # the rows as the merge of the batch found them
+    return ingestion.refresh_summary_by_batch(places, b.arrived(scored), path, first.filter(other))
+
+
 @query
 def top_restaurants_by_nlp(spark, sf_dir):
     path = new_work_path(spark, "sentiment-summary")
@@ -542,7 +629,7 @@ def clean_reviews_job(spark, sf_dir):
 @query
 def clean_counts(spark, sf_dir):
     raw = b.raw_reviews(spark, sf_dir)
-    return cleaning.clean_counts(raw, cleaning.clean_reviews(raw))
+    return cleaning.clean_counts(raw)
 
 
 @query

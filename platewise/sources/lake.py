@@ -10,6 +10,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 RAW_PREFIX = "raw/reviews"
 PROCESSED_PREFIX = "processed/reviews"
 PARTITIONS = ["year", "month", "day"]
+FOLDERS = [*PARTITIONS, "location"]
 MAX_ROWS_PER_FILE = 2_000_000
 
 
@@ -17,11 +18,15 @@ def location_key(location: Column) -> Column:
     return F.lower(F.replace(location, F.lit(" "), F.lit("_")))
 
 
-def write_lake(df: DataFrame, path: str, location: Column, ingested_on: Column | None = None) -> None:
-    """Append rows below ``year=/month=/day=`` of their ingestion day.
+def write_lake(
+    df: DataFrame, path: str, location: Column, ingested_on: Column | None = None, replace: bool = True
+) -> None:
+    """Write rows below ``year=/month=/day=/location=`` of their day of ingestion and their location.
 
-    The rebalance hint lets Spark split a day that holds most of the rows and merge
-    small ones, so neither one task nor very many small files result.
+    The rows of a day and location replace those written there before, so a rerun doesn't
+    double them; other days and locations stay. With ``replace=False`` rows are added. The
+    rebalance hint lets Spark split a day that holds most of the rows and merge small ones,
+    so neither one task nor very many small files result.
     """
     day = F.current_date() if ingested_on is None else F.to_date(ingested_on)
     rows = df.withColumns(
@@ -33,10 +38,11 @@ def write_lake(df: DataFrame, path: str, location: Column, ingested_on: Column |
         }
     )
     (
-        rows.hint("rebalance", *PARTITIONS)
-        .write.mode("append")
+        rows.hint("rebalance", *FOLDERS)
+        .write.mode("overwrite" if replace else "append")
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
-        .partitionBy(*PARTITIONS)
+        .partitionBy(*FOLDERS)
         .json(path)
     )
 
@@ -49,14 +55,18 @@ def read_lake(
     month: int | None = None,
     day: int | None = None,
     multi_line: bool = False,
+    location: str | None = None,
 ) -> DataFrame:
-    """Rows of the lake; a given year, month or day prunes the folders that are read.
+    """Rows of the lake; a given year, month, day or location prunes the folders that are read.
 
     ``multi_line`` is for files that hold one JSON array each; such files are not split.
     """
-    fields = [*schema.fields, StructField("location", StringType())]
+    fields = [f for f in schema.fields if f.name not in FOLDERS]
     fields += [StructField(p, IntegerType()) for p in PARTITIONS]
+    fields += [StructField("location", StringType())]
     df = spark.read.schema(StructType(fields)).option("multiLine", multi_line).json(path)
+    if location is not None:
+        df = df.filter(F.col("location") == location_key(F.lit(location)))
     return _pruned(df, year, month, day)
 
 

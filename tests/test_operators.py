@@ -55,7 +55,7 @@ def test_clean_and_features(spark):
         ("a", 7.0, "positive", 1970, 1),
         ("c", None, "neutral", 1970, 1),
     ]
-    assert rows(cleaning.clean_counts(df, cleaning.clean_reviews(df))) == [(4, 2, 2)]
+    assert rows(cleaning.clean_counts(df)) == [(4, 2, 2)]
 
 
 FEATURED = "place_id string, restaurant_name string, rating double, review_length int, word_count int, review_date timestamp"
@@ -149,7 +149,10 @@ def test_preferences_defaults(spark):
     schema = "user_id string, cuisine_types array<string>, min_rating double"
     known = spark.createDataFrame([("u", ["x"], 4.0)], schema)
     sent = spark.createDataFrame([("u", None, None), (None, ["y"], 2.0)], schema)
-    assert rows(merge.upsert_preferences(known, sent, [F.col("min_rating")])) == [("anonymous", ["y"], 2.0), ("u", [], 3.0)]
+    assert rows(merge.upsert_preferences(known, sent, [F.col("min_rating")]).drop("updated_at", "price_range")) == [
+        ("anonymous", ["y"], 2.0),
+        ("u", [], 3.0),
+    ]
 
 
 def test_scores_from_logits(spark):
@@ -416,3 +419,63 @@ def test_ids_are_dense_for_large_and_for_text_keys(spark):
     for found in (keys, keys.select(F.concat(F.lit("u"), "k").alias("k")), keys.filter("k < 0")):
         ids = collaborative.dense_ids(found.unionByName(found.limit(1).select(F.lit(None).cast(found.dtypes[0][1]).alias("k"))), "k", "n").collect()
         assert sorted(r.n for r in ids) == list(range(found.distinct().count())) and len({r.k for r in ids}) == len(ids)
+
+
+SCORES = "review_id string, place_id string, predicted_score decimal(3,2), sentiment_label string, confidence decimal(5,4)"
+
+
+def test_summary_by_batch_equals_a_recompute(spark):
+    """Batches that add, revise and take away predictions leave the summary of what is left."""
+    import random
+    from decimal import Decimal
+
+    from platewise.plans import ingestion
+    from platewise.session import new_work_path
+
+    rng = random.Random(5)
+    labels = ["positive", "very_positive", "negative", "neutral", None]
+
+    def prediction(k):
+        score = rng.choice([None, Decimal(rng.randrange(100, 501)) / 100])
+        return (f"r{k}", rng.choice([None, *"abcd"]), score, rng.choice(labels), Decimal(rng.randrange(10001)) / 10000)
+
+    places = spark.createDataFrame(
+        [(p, p.upper(), "", 4.0, 7, 1) for p in "abcde"],
+        "place_id string, name string, address string, rating double, total_ratings int, price_level int",
+    )
+    path, now = new_work_path(spark, "summary"), {}
+    for turn in range(4):
+        batch = [prediction(k) for k in (range(60) if turn == 0 else rng.sample(range(110), 30))]
+        gone = [now[r[0]] for r in batch if r[0] in now]
+        if turn == 3:  # place b loses all of its predictions
+            gone += [r for k, r in now.items() if r[1] == "b" and k not in {x[0] for x in batch}]
+            batch = [r for r in batch if r[1] != "b"]
+        for r in gone:
+            del now[r[0]]
+        now |= {r[0]: r for r in batch}
+        removed = None if turn == 0 else spark.createDataFrame(gone, SCORES)
+        found = ingestion.refresh_summary_by_batch(places, spark.createDataFrame(batch, SCORES), path, removed)
+        expected = star.sentiment_summary(places, spark.createDataFrame(list(now.values()), SCORES))
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    with pytest.raises(ValueError):
+        ingestion.refresh_summary_by_batch(places, found.limit(0), new_work_path(spark, "none"), spark.createDataFrame(gone, SCORES))
+
+
+def test_preferences_keep_range_and_time(spark):
+    stored = spark.createDataFrame(
+        [("u", ["old"], 2.0, [1, 2], "then"), ("v", [], 4.0, None, "then")],
+        "user_id string, cuisine_types array<string>, min_rating double, price_range array<int>, updated_at string",
+    )
+    sent = spark.createDataFrame(
+        [("u", None, None, None), (None, ["thai"], 1.0, [2, 3])],
+        "user_id string, cuisine_types array<string>, min_rating double, price_range array<int>",
+    )
+    now = F.lit("now")
+    found = {r[0]: tuple(r)[1:] for r in merge.upsert_preferences(stored, sent, updated_at=now).collect()}
+    assert found == {
+        "u": ([], 3.0, None, "now"),
+        "v": ([], 4.0, None, "then"),
+        "anonymous": (["thai"], 1.0, [2, 3], "now"),
+    }
+    without = merge.upsert_preferences(stored, sent.drop("price_range")).collect()
+    assert {r.user_id: r.price_range for r in without} == {"u": None, "v": None, "anonymous": None}

@@ -2,12 +2,14 @@ import datetime as dt
 import hashlib
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from platewise import schemas
+from platewise.operators import merge
 from platewise.plans import ingestion
 from platewise.session import new_work_path, work_root
-from platewise.sources import documents, lake, snapshots
+from platewise.sources import bucketed, documents, lake, snapshots
 from platewise.streaming import ingest as streaming
 
 PLACE = {
@@ -90,6 +92,42 @@ def test_lake(spark):
     assert lake.read_lake(spark, path, schemas.RAW_REVIEW).count() == 3
 
 
+def test_a_rerun_replaces_its_day_and_location(spark):
+    path = new_work_path(spark, "lake")
+    schema = schemas.RAW_REVIEW
+
+    def put(rows, location, day, **how):
+        lake.write_lake(documents.reviews_from_rows(spark, [{"review_id": r} for r in rows]), path, location, F.lit(day), **how)
+
+    put(["a", "b"], F.lit("Tempe"), "2024-03-05")
+    put(["c"], F.lit("Mesa"), "2024-03-05")
+    put(["d"], F.lit("Tempe"), "2024-03-06")
+    for _ in range(2):
+        put(["a", "x", "y"], F.lit("Tempe"), "2024-03-05")
+    found = lake.read_lake(spark, path, schema)
+    rows = sorted((r.review_id, r.location, r.day) for r in found.collect())
+    assert rows == [("a", "tempe", 5), ("c", "mesa", 5), ("d", "tempe", 6), ("x", "tempe", 5), ("y", "tempe", 5)]
+    put(["z"], F.lit("Mesa"), "2024-03-05", replace=False)
+    mesa = lake.read_lake(spark, path, schema, 2024, location="Mesa")
+    assert sorted(r.review_id for r in mesa.collect()) == ["c", "z"]
+    plan = mesa._jdf.queryExecution().executedPlan().toString()
+    assert "location#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_both_areas_of_the_lake(spark):
+    path = new_work_path(spark, "areas")
+    places = documents.from_rows(spark, [PLACE], schemas.PLACE_DETAILS)
+    for _ in range(2):
+        out = ingestion.ingest(places, "2023-12-01", F.lit("2023-11-20"), path, F.lit("New Town"))
+    raw = lake.read_lake(spark, f"{path}/{lake.RAW_PREFIX}", schemas.RAW_REVIEW, 2023, 11, 20)
+    assert {r.location for r in raw.collect()} == {"new_town"} and raw.count() == out["raw_reviews"].count()
+    done = lake.read_lake(spark, f"{path}/{lake.PROCESSED_PREFIX}", out["reviews"].schema, location="new town")
+    names = ["review_id", "text_cleaned", "word_count", "review_age_days"]
+    assert sorted(done.select(*names).collect()) == sorted(out["reviews"].select(*names).collect())
+    with pytest.raises(ValueError):
+        ingestion.ingest(places, "2023-12-01", F.lit("2023-11-20"), path)
+
+
 def test_files_with_one_array(spark, tmp_path):
     (tmp_path / "tempe_1.json").write_text(json.dumps([{"review_id": "a", "rating": 2}, {"review_id": "b"}], indent=2))
     df = documents.read_reviews_json(spark, str(tmp_path), multi_line=True)
@@ -231,3 +269,59 @@ def test_stream_counts_equal_batch(spark, tmp_path):
     assert run() == [(1, "p", 2), (2, "q", 1)]
     put([("p", dt.datetime(2024, 1, 1, 5)), ("q", dt.datetime(2024, 1, 3)), ("q", dt.datetime(2020, 1, 9))])
     assert run() == [(1, "p", 3), (2, "q", 1), (3, "q", 1), (9, "q", 1)]
+
+
+# --- bucketed tables -----------------------------------------------------------------
+
+
+def _below_exchanges(df):
+    """The lines of the plan that lie below a shuffle."""
+    lines = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if any(c.isalpha() for c in x)]
+    depth = [next(k for k, c in enumerate(x) if c.isalpha()) for x in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if "Exchange " in line:
+            for k in range(i + 1, len(lines)):
+                if depth[k] <= depth[i]:
+                    break
+                found.append(lines[k])
+    return found
+
+
+def test_bucketed_merge_leaves_the_target_in_place(spark):
+    table = bucketed.BucketedTable(new_work_path(spark, "bucketed"), "k", 8)
+    target = spark.range(2000).selectExpr("concat('k', id) k", "id v", "id % 7 w")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bucketed.write(target, table)
+        for turn in range(3):
+            batch = spark.range(1500 + turn * 600, 2200 + turn * 600).selectExpr("concat('k', id) k", f"id * 10 + {turn} v")
+            batch = batch.unionByName(batch.limit(50))
+            plan = bucketed.merged(table, batch, update_cols=["v"])
+            below = _below_exchanges(plan)
+            assert below and not any("Scan parquet" in line for line in below)
+            assert "Bucketed: true" in plan._jdf.queryExecution().executedPlan().toString()
+            expected = merge.merge_by_key(target, batch, "k", ["v"])
+            target = bucketed.merge_into(table, batch, update_cols=["v"])
+            assert sorted(map(tuple, target.collect())) == sorted(map(tuple, expected.collect()))
+            files = target.inputFiles()
+            assert len(files) <= 8
+            target = spark.createDataFrame(target.collect(), target.schema)
+        assert len(snapshots.versions(spark, table.path)) == 2
+        todo = bucketed.read(spark, table).join(bucketed.read(spark, table).select("k"), "k", "left_anti")
+        assert not _below_exchanges(todo) and todo.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_table_of_another_session(spark):
+    table = bucketed.BucketedTable(new_work_path(spark, "bucketed"), "k", 4)
+    with pytest.raises(FileNotFoundError):
+        bucketed.read(spark, table)
+    rows = [("a", 1, ["x"]), (None, 2, None), ("b", None, [])]
+    first = bucketed.merge_into(table, spark.createDataFrame(rows, "k string, v int, t array<string>"))
+    assert sorted(map(tuple, first.collect()), key=repr) == sorted(rows, key=repr)
+    # the catalog forgets it, as a new session's would
+    spark.sql(f"DROP TABLE {bucketed._name(table, snapshots.versions(spark, table.path)[-1])}")
+    again = bucketed.read(spark, table)
+    assert again.filter("k = 'a'").first().v == 1 and again.count() == 3
