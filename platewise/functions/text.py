@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -110,20 +112,29 @@ def nfkd(text: Column) -> Column:
     return F.coalesce(decompose(beyond_ascii), text)
 
 
-def expand_contractions(text: Column) -> Column:
-    """Replace contractions in their fixed order; texts without an apostrophe skip it.
+def where_found(text: Column, marks: Sequence[str], change: Callable[[Column], Column]) -> Column:
+    """``change`` of the texts that hold one of the marks; the others are passed on unread by it.
 
     The one-element transform evaluates ``text`` once although the branches name it
     several times.
     """
 
+    def changed(t: Column) -> Column:
+        found = reduce(lambda a, b: a | b, [F.contains(t, F.lit(m)) for m in marks])
+        return F.when(found, change(t)).otherwise(t)
+
+    return F.transform(F.array(text), changed)[0]
+
+
+def expand_contractions(text: Column) -> Column:
+    """Replace contractions in their fixed order; texts without an apostrophe skip it."""
+
     def expand(t: Column) -> Column:
-        expanded = t
         for short, full in CONTRACTIONS:
-            expanded = F.replace(expanded, F.lit(short), F.lit(full))
-        return F.when(F.contains(t, F.lit("'")), expanded).otherwise(t)
+            t = F.replace(t, F.lit(short), F.lit(full))
+        return t
 
-    return F.transform(F.array(text), expand)[0]
+    return where_found(text, ["'"], expand)
 
 
 def truncate_words(text: Column, max_words: int = 512) -> Column:
@@ -139,8 +150,9 @@ def normalize_text(text: Column) -> Column:
     kept; a model that reads only so many words cuts its input itself.
     """
     out = nfkd(F.coalesce(text, F.lit("")))
-    out = F.regexp_replace(out, TAG, " ")
-    out = F.regexp_replace(out, URL, " ")
+    # what each pattern can't do without is looked for first: most texts have none of it
+    out = where_found(out, ["<"], lambda t: F.regexp_replace(t, TAG, " "))
+    out = where_found(out, ["http", "www."], lambda t: F.regexp_replace(t, URL, " "))
     out = expand_contractions(out)
     return F.trim(F.regexp_replace(out, DROPPED, " "))
 
