@@ -8,13 +8,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewise.llm.common import fold, map_text, record, slices
+from platewise.operators.dedup import top_per_key
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+# also numbers that aren't decimal digits, as superscripts
+_PERHAPS_LETTER = re.compile(r"[^\W\d_]")
 #: between texts and in place of white space: no n-gram counts across texts
 _GAP = "\x00"
 
@@ -43,6 +45,10 @@ class LanguageModel:
     params: LanguageParams
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in _PERHAPS_LETTER.finditer(text))
+
+
 def _grams(texts: list[str], params: LanguageParams) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each n-gram size the buckets of all n-grams, and the bounds of each text among them."""
     low = [" ".join(t.lower().split()) for t in texts]
@@ -77,8 +83,8 @@ def train(documents: DataFrame, params: LanguageParams = LanguageParams()) -> La
     known = documents.select("doc_id", "lang").filter(
         (F.trim("lang") != "") & (fold("doc_id", params.folds) != params.held)
     )
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("rn", F.row_number().over(by_hash)).filter(F.col("rn") <= params.sample_rows)
+    # a language may hold most of the rows: its first rows are taken per part of the input before they meet
+    chosen = top_per_key(known, ["lang"], [F.xxhash64("doc_id"), F.col("doc_id")], params.sample_rows)
     # at most sample_rows ids of each language: a bounded side
     ids = F.broadcast(chosen.select("doc_id").distinct())
     sample = documents.select("doc_id", "lang", "text").filter(F.trim("lang") != "").join(ids, "doc_id", "left_semi")
@@ -141,7 +147,9 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
 
     A null text, or one without a letter, is ``und`` with score 0, and so is every text
     if nothing could be learnt. Ties go to the first language by name. A null id has a
-    null fold and counts as not held out. The model has a fixed size and is broadcast.
+    null fold and counts as not held out. Repeated rows are looked at each by itself, an
+    empty table gives no rows, columns other than ``doc_id`` and ``text`` are not read. The
+    model has a fixed size per language and is broadcast.
     """
     params = model.params
     shared = documents.sparkSession.sparkContext.broadcast(model)
@@ -149,7 +157,7 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
     def work(part: pa.RecordBatch) -> dict[str, object]:
         own = shared.value
         texts = part.column("text").to_pylist()
-        known = [k for k, t in enumerate(texts) if own.languages and _LETTER.search(t)]
+        known = [k for k, t in enumerate(texts) if own.languages and has_letter(t)]
         names, sure = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if known:
             total = scores([texts[k] for k in known], own)

@@ -68,17 +68,16 @@ def chunk_table(pages: DataFrame, params: ArchiveParams = ArchiveParams()) -> Da
     known = known.withColumn("refers_to", F.when(F.col("page_id") > F.col("first_id"), F.col("first_id")))
     stored = F.when(F.col("refers_to").isNull(), F.col("n")).otherwise(F.lit(0))
     last = F.greatest(F.ceil(stored / params.chunk_bytes) - 1, F.lit(0)).cast("int")
-    rows = known.withColumn("chunk_no", F.explode(F.sequence(F.lit(0), last)))
-    chunk = F.expr(f"substring(payload, chunk_no * {params.chunk_bytes} + 1, {params.chunk_bytes})")
-    return rows.select(
-        "page_id",
-        "url",
-        "digest",
-        "n",
-        "refers_to",
-        "chunk_no",
-        F.when(F.col("refers_to").isNull(), chunk).alias("chunk"),
+    size = params.chunk_bytes
+    chunk = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda k: F.struct(
+            k.alias("chunk_no"),
+            F.when(F.col("refers_to").isNull(), F.substring(F.col("payload"), k * size + 1, F.lit(size))).alias("chunk"),
+        ),
     )
+    # the chunks alone go on: a row doesn't carry the payload besides
+    return known.select("page_id", "url", "digest", "n", "refers_to", F.inline(chunk))
 
 
 def _record_id(page_id: int | None, digest: str, where: str) -> str:
@@ -192,9 +191,11 @@ def read_archives(manifest: DataFrame, params: ArchiveParams = ArchiveParams(),
     ``bytes_so_far`` and ``digest_so_far`` (base32 SHA-1) cover the payload up to the end
     of the row's chunk; the row marked ``last`` has those of the full payload. A revisit is
     one row, with the digest and length it states. A payload whose digest isn't the one
-    stated raises an error. ``payloads`` False leaves ``chunk`` null.
+    stated raises an error. ``payloads`` False leaves ``chunk`` null. A task reads several
+    entries of a long manifest, one after another.
     """
-    parts = max(1, manifest.count())
+    most = 4 * int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(most, manifest.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []

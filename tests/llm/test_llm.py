@@ -544,3 +544,50 @@ def test_toxic_class_on_held_out_rows(spark):
     clean = [r for r in rows if labels[r.doc_id] == 0]
     assert sum(r.predicted for r in toxic) >= 0.75 * len(toxic) > 0
     assert sum(r.predicted for r in clean) <= 0.05 * len(clean)
+
+
+@pytest.mark.parametrize(("text", "letter"), [("²³ ½ 12 _", False), ("²x", True), ("é", True), ("日", True), ("", False), ("٣ 🙂", False)])
+def test_letters(text, letter):
+    assert language.has_letter(text) is letter is any(c.isalpha() for c in text)
+
+
+def test_language_model_equals_plain_counts(spark, docs):
+    """Naive Bayes by hand, with a counter per language over the same n-grams."""
+    import math
+
+    params = language.LanguageParams(bits=12, sample_rows=10**6)
+    model = language.train(docs, params)
+    known = [r for r in docs.collect() if r.lang and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    counts, n_docs = defaultdict(Counter), Counter(r.lang for r in known)
+
+    def buckets(text):
+        return [b for found, _ in language._grams([text], params) for b in found.tolist()]
+
+    for r in known:
+        counts[r.lang].update(buckets(r.text or ""))
+    assert model.languages == tuple(sorted(n_docs))
+    tests = [r for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 == 2][:40]
+    found = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    for r in tests:
+        total = {}
+        for lang in model.languages:
+            mass = sum(counts[lang].values()) + params.smoothing * (1 << params.bits)
+            total[lang] = math.log(n_docs[lang] / len(known)) + sum(
+                math.log((counts[lang][b] + params.smoothing) / mass) for b in buckets(r.text)
+            )
+        best = max(total, key=total.get)
+        assert found[r.doc_id].lang_pred == best
+        share = 1 / sum(math.exp(x - total[best]) for x in total.values())
+        assert found[r.doc_id].score == pytest.approx(share, abs=1e-3)
+
+
+def test_chunks_travel_without_their_payload(spark):
+    """What is exploded is a list of chunks; the payload isn't among the columns that go with each."""
+    pages = spark.createDataFrame([(1, "u", "ab" * 100_000, 5)], "page_id bigint, url string, html string, n bigint")
+    rows = warc.chunk_table(pages)
+    generate = next(x for x in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Generate" in x)
+    # positions of the input that are dropped after the generator
+    assert re.search(r"inline\(.*\), \[\d+\]|inline\(.*\), \[\d+, ", generate), generate
+    found = sorted((r.chunk_no, bytes(r.chunk)) for r in rows.collect())
+    assert b"".join(c for _, c in found) == b"ab" * 100_000 and [k for k, _ in found] == list(range(len(found)))
+    assert warc.chunk_table(pages.limit(0)).collect() == []
