@@ -29,6 +29,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def saved_and_freed(df: DataFrame, name: str) -> DataFrame:
+    """``saved``, for steps of a long job: the shuffle files of finished steps go at once.
+
+    Spark removes them when the driver's garbage is collected, which a driver with little
+    to do may not see for the rest of the job; disk would then hold all steps together.
+    """
+    out = saved(df, name)
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, wherever filters and projections are moved.
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platewise.llm.common import map_text, raw_text, record, saved, slices
+from platewise.llm.common import map_text, raw_text, record, saved_and_freed, slices
 from platewise.llm.graph import components
 from platewise.llm.words import LOWER, PLACES, hash_runs, mixed, ramp, windows, words
 
@@ -201,12 +201,12 @@ def link(documents: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
     """
     documents = documents.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
     bits = frequent_slots(documents, params)
-    sets = saved(_signed(documents, bits, params), "signatures")
+    sets = saved_and_freed(_signed(documents, bits, params), "signatures")
     nodes = sets.filter("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n"), F.first("parities").alias("parities")
     )
-    nodes = saved(nodes, "nodes")
-    groups = saved(_possible(nodes, _candidates(sets), params), "candidates")
+    nodes = saved_and_freed(nodes, "nodes")
+    groups = saved_and_freed(_possible(nodes, _candidates(sets), params), "candidates")
     linked = components(_verified(documents, nodes, groups, params))
     named = nodes.join(linked, nodes["class_id"] == linked["node"], "left").select(
         nodes["node"], "class_id", F.coalesce("component", "class_id").alias("component_id")
@@ -269,7 +269,7 @@ def _candidates(sets: DataFrame) -> DataFrame:
     """
     rows = sets.select(F.explode("signatures").alias("signature"), "node")
     ends = rows.groupBy("signature").agg(F.min("node").alias("head"), F.max("node").alias("top"))
-    heads = saved(ends.filter("head < top").select("signature", "head"), "heads")
+    heads = saved_and_freed(ends.filter("head < top").select("signature", "head"), "heads")
     return rows.join(heads, "signature").select("head", "node").distinct()
 
 

@@ -431,8 +431,10 @@ def drop_toxic(documents: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [_most_toxic(part, shared.value)[0] for part in slices(batch)]
-            if scores:
-                yield batch.filter(pa.array(np.concatenate(scores) < shared.value.params.threshold))
+            at = 0
+            for part in slices(batch):
+                stays = _most_toxic(part, shared.value)[0] < shared.value.params.threshold
+                yield batch.slice(at, part.num_rows).filter(pa.array(stays))
+                at += part.num_rows
 
     return documents.mapInArrow(run, documents.schema)
