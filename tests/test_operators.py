@@ -458,7 +458,7 @@ def test_summary_by_batch_equals_a_recompute(spark):
         expected = star.sentiment_summary(places, spark.createDataFrame(list(now.values()), SCORES))
         assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
     with pytest.raises(ValueError):
-        ingestion.refresh_summary_by_batch(places, found.limit(0), new_work_path(spark, "none"), spark.createDataFrame(gone, SCORES))
+        ingestion.refresh_summary_by_batch(places, spark.createDataFrame([], SCORES), new_work_path(spark, "none"), removed)
 
 
 def test_preferences_keep_range_and_time(spark):
