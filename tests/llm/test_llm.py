@@ -591,3 +591,18 @@ def test_chunks_travel_without_their_payload(spark):
     found = sorted((r.chunk_no, bytes(r.chunk)) for r in rows.collect())
     assert b"".join(c for _, c in found) == b"ab" * 100_000 and [k for k, _ in found] == list(range(len(found)))
     assert warc.chunk_table(pages.limit(0)).collect() == []
+
+
+def test_stages_on_empty_tables_and_clashing_names(spark, docs):
+    """No documents give no rows at every stage; a column named like the row number stays as it is."""
+    import corpus_pipeline
+
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, empty, SF_DIR)
+        assert found.collect() == []
+        assert name == "packing" or found.columns == docs.columns
+    text = " ".join(f"w{k}" for k in range(40))
+    frame = spark.createDataFrame([(1, text, 7), (2, text, 8)], "doc_id bigint, text string, _row int")
+    found = corpus_pipeline.drop_near_duplicates(spark, frame, SF_DIR)
+    assert [tuple(r) for r in found.collect()] == [(1, text, 7)] and found.columns == frame.columns
