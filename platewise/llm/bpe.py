@@ -4,21 +4,24 @@ A batch is cut into words on its bytes, equal words are encoded once. For a word
 between its boundaries and the ranks of adjacent parts lie in two contiguous arrays. The
 least rank is looked up by a scan, the boundary at it is deleted, and the two ranks beside
 it are computed anew, until no adjacent pair has a rank. Many words of similar length go
-through these steps together, one row of a matrix each.
+through these steps together, one row of a matrix each. Longer words, for which a scan per
+merge would be quadratic, keep their pairs on a heap.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import regex
 
 from platewise.llm.words import LEADS, hash_runs, ramp
 
-#: words of more bytes are merged one by one, all places of the least rank in a pass
+#: words of more bytes are merged one by one, by a heap of their pairs
 SHORT_BYTES = 32
 NO_RANK = np.int32(2**31 - 1)
 _SLOT_BITS = 18
@@ -90,6 +93,11 @@ class Vocabulary:
     #: words met so far
     known: Known = field(init=False)
 
+    @cached_property
+    def pair_ranks(self) -> dict[int, int]:
+        """The rank of each key, for single look-ups; made where the first long word is met."""
+        return {key: rank for rank, key in enumerate(self.keys.tolist())}
+
     def __post_init__(self) -> None:
         self.known = Known()
         self.slots = np.full(1 << _SLOT_BITS, NO_RANK, np.int32)
@@ -180,23 +188,45 @@ def merge_rows(parts: np.ndarray, sizes: np.ndarray, vocab: Vocabulary) -> None:
 
 
 def merge_long(parts: np.ndarray, vocab: Vocabulary) -> np.ndarray:
-    """Merge one long word. A pass merges all places of the least rank, from the left.
+    """Merge one long word by a heap of its adjacent pairs, least rank first, then from the left.
 
-    As a merge can only make pairs of higher rank, this equals merging one place at a time.
+    The parts are linked to their neighbours. A merge puts the two pairs it makes on the heap;
+    entries of pairs that are gone are known by their rank. So the steps grow with the length
+    of the word, but for the heap's logarithm.
     """
-    while len(parts) > 1:
-        ranks = _rank(parts[:-1], parts[1:], vocab)
-        least = ranks.min()
-        if least == NO_RANK:
-            break
-        at = np.flatnonzero(ranks == least)
-        # of places that overlap, as in aaa, every second one counts from where their run begins
-        run = np.cumsum(np.concatenate([[True], np.diff(at) > 1])) - 1
-        at = at[(at - at[np.searchsorted(run, run)]) % 2 == 0]
-        parts = parts.copy()
-        parts[at] = vocab.merged[least]
-        parts = np.delete(parts, at + 1)
-    return parts
+    n = len(parts)
+    if n < 2:
+        return parts
+    merged, known = vocab.merged.tolist(), vocab.pair_ranks
+    own = parts.tolist()
+    first = _rank(parts[:-1], parts[1:], vocab)
+    # the rank of the pair that starts at each part; -1 where there is none
+    rank = np.append(np.where(first == NO_RANK, -1, first), -1).tolist()
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    at = np.flatnonzero(first != NO_RANK)
+    # rank and place in one number
+    heap = (first[at].astype(np.int64) << 32 | at).tolist()
+    heapq.heapify(heap)
+    while heap:
+        least = heapq.heappop(heap)
+        i = least & 0xFFFFFFFF
+        if rank[i] != least >> 32:
+            continue
+        own[i] = merged[rank[i]]
+        gone = after[i]
+        own[gone], rank[gone] = -1, -1
+        after[i] = after[gone]
+        if after[i] < n:
+            before[after[i]] = i
+        for left in (before[i], i):
+            if left < 0:
+                continue
+            right = after[left]
+            rank[left] = known.get(own[left] << 32 | own[right], -1) if right < n else -1
+            if rank[left] >= 0:
+                heapq.heappush(heap, rank[left] << 32 | left)
+    out = np.array(own, np.int32)
+    return out[out >= 0]
 
 
 def cut(data: np.ndarray, bounds: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:

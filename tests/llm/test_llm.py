@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -227,6 +228,20 @@ def test_bpe_equals_library(spark, rows, vocab):
         assert found[doc].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_long_words_take_time_in_proportion(vocab):
+    """Words of hundreds of kilobytes, as unspaced text or encoded files have them, against the library."""
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    random.seed(11)
+    marks = ["ab", "abcdefghij", "aeioustrnl", "é漢ö", "ABCxyz"]
+    words = ["".join(random.choice(random.choice(marks)) for _ in range(random.randint(20, 300))) for _ in range(300)]
+    words += ["".join(random.choices(marks[-1] + marks[1], k=400_000)), "a" * 300_001, "é" * 100_000]
+    begin = time.monotonic()
+    ids, bounds = bpe.encode(*raw_text(pa.array(words, pa.large_string())), vocab)
+    assert time.monotonic() - begin < 20
+    for k, encoded in enumerate(library.encode_batch(words, add_special_tokens=False)):
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == encoded.ids, words[k][:300]
+
+
 def test_packing_is_gapless_and_whole(spark, rows):
     found = run(spark, "op9_packing_differencing").collect()
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
