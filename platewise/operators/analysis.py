@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platewise.config import RankingParams
+from platewise.functions.dates import as_day
 from platewise.functions.numbers import exact_sum, ratio, round_half_up
 from platewise.functions.sentiment import POSITIVE
 
@@ -75,9 +76,12 @@ def place_scores(scored: DataFrame, params: RankingParams = RankingParams()) ->
     rows inside each task before any shuffle, so a place with very many reviews sends a
     handful of rows per task.
     """
+    return _scores(_per_label(scored.filter(F.col("predicted_score").isNotNull()), params), params)
+
+
+def _scores(per_label: DataFrame, params: RankingParams) -> DataFrame:
     totals = (
-        _per_label(scored.filter(F.col("predicted_score").isNotNull()), params)
-        .groupBy("place_id")
+        per_label.groupBy("place_id")
         .agg(
             F.sum("n").alias("n"),
             F.sum("score_sum").cast("double").alias("score_sum"),
@@ -104,6 +108,83 @@ def place_scores(scored: DataFrame, params: RankingParams = RankingParams()) ->
     )
 
 
+EXACT_SUMS = ["n", "score_sum", "confidence_sum", "undated_n", "undated_score_sum"]
+DECAYED_SUMS = ["weighted_sum", "weight_sum"]
+
+
+def decayed_sums(scored: DataFrame, as_of, params: RankingParams = RankingParams()) -> DataFrame:
+    """Sums per place and label of which all scores are made, with the day that the weights refer to.
+
+    A weight falls by the same share every day, so sums of weights need not be computed anew
+    as time passes: ``add_decayed`` moves them to another day by one factor. Reviews without a
+    date (``review_date``) keep the weight of the default age and are counted apart. Reviews
+    without a score count nowhere. Reviews after the reference day weigh more than one.
+    """
+    today, written = as_day(as_of), F.to_date("review_date")
+    weight = F.when(written.isNotNull(), recency_weight(F.datediff(today, written), params)).otherwise(0.0)
+    score = F.col("predicted_score")
+    return (
+        scored.filter(score.isNotNull())
+        .withColumns({"_weight": weight, "_undated": written.isNull()})
+        .groupBy("place_id", "sentiment_label")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            exact_sum(score, 3).alias("score_sum"),
+            exact_sum(F.col("confidence"), 4).alias("confidence_sum"),
+            F.count_if("_undated").alias("undated_n"),
+            F.coalesce(exact_sum(F.when(F.col("_undated"), score), 3), F.lit(0).cast("decimal(18,3)")).alias(
+                "undated_score_sum"
+            ),
+            F.sum(score.cast("double") * F.col("_weight")).alias("weighted_sum"),
+            F.sum("_weight").alias("weight_sum"),
+        )
+        .withColumn("reference_day", today)
+    )
+
+
+def add_decayed(
+    stored: DataFrame,
+    added: DataFrame,
+    as_of,
+    removed: DataFrame | None = None,
+    params: RankingParams = RankingParams(),
+) -> DataFrame:
+    """The sums of ``stored`` and ``added`` without those of ``removed``, as of a day.
+
+    Counts and plain sums stay exact. Weighted ones are doubles: what is taken off leaves the
+    rounding of its own weight behind. Places and labels left without reviews go.
+    """
+    today = as_day(as_of)
+    parts = stored.unionByName(added)
+    if removed is not None:
+        parts = parts.unionByName(removed.withColumns({c: -F.col(c) for c in EXACT_SUMS + DECAYED_SUMS}))
+    kinds = dict(stored.dtypes)
+    passed = recency_weight(F.datediff(today, F.col("reference_day")), params)
+    return (
+        parts.withColumn("_passed", passed)
+        .groupBy("place_id", "sentiment_label")
+        .agg(
+            *[F.sum(c).cast(kinds[c]).alias(c) for c in EXACT_SUMS],
+            *[F.sum(F.col(c) * F.col("_passed")).alias(c) for c in DECAYED_SUMS],
+        )
+        .filter(F.col("n") > 0)
+        .withColumn("reference_day", today)
+    )
+
+
+def scores_of_sums(sums: DataFrame, as_of, params: RankingParams = RankingParams()) -> DataFrame:
+    """What ``place_scores`` gives for the reviews behind the sums on that day, without reading them."""
+    passed = recency_weight(F.datediff(as_day(as_of), F.col("reference_day")), params)
+    undated = recency_weight(F.lit(None).cast("int"), params)
+    per_label = sums.withColumns(
+        {
+            "weighted_sum": F.col("weighted_sum") * passed + F.col("undated_score_sum").cast("double") * undated,
+            "weight_sum": F.col("weight_sum") * passed + F.col("undated_n") * undated,
+        }
+    )
+    return _scores(per_label, params)
+
+
 def analyze_restaurants(
     scored: DataFrame,
     restaurants: DataFrame | None = None,

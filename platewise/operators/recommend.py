@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platewise.config import Preferences, RankingParams
+from platewise.functions.geo import cells_of, cells_within, distance_km
+from platewise.operators.dedup import top_per_key
 
 RECOMMENDATION_COLUMNS = [
     "rank",
@@ -39,17 +41,6 @@ def _any_type_equals(wanted) -> Column:
     return F.arrays_overlap(lowered, F.array(*[F.lit(w.lower()) for w in wanted]).cast("array<string>"))
 
 
-def distance_km(lat: Column, lng: Column, near: tuple[float | Column, float | Column]) -> Column:
-    """Great-circle distance to a point."""
-    lat0, lng0 = (F.lit(x).cast("double") for x in near)
-    half_lat = F.sin(F.radians(lat.cast("double") - lat0) / 2)
-    half_lng = F.sin(F.radians(lng.cast("double") - lng0) / 2)
-    h = half_lat * half_lat + F.cos(F.radians(lat.cast("double"))) * F.cos(
-        F.radians(lat0)
-    ) * half_lng * half_lng
-    return F.asin(F.sqrt(h)) * (2 * 6371.0)
-
-
 def apply_preferences(ranked: DataFrame, prefs: Preferences) -> DataFrame:
     """Keep ranked places a user would accept; ranks stay global and may have gaps."""
     out = ranked
@@ -80,6 +71,8 @@ def recommend(
 
 
 ANY_TYPE = "*"
+#: the cell every place has, for users who look anywhere
+ANYWHERE = -1
 
 
 def recommend_for_users(
@@ -91,7 +84,9 @@ def recommend_for_users(
     (lowest and highest level), near (latitude and longitude) and max_km, which need the
     places' price and coordinates. A null list accepts any type (matched through one extra
     type every place has); an empty list accepts none. Other nulls are no filter.
-    Whether the ranked places are broadcast is left to Spark's check of their size.
+    Users with a place to be near to meet the ranked places of the cells around it only, by
+    the same join; the distance itself is tested on these. Whether the ranked places are
+    broadcast is left to Spark's check of their size.
     """
     ranked = rank_restaurants(analyses, params)
     lowered = F.transform(F.coalesce("types", F.array().cast("array<string>")), F.lower)
@@ -110,16 +105,71 @@ def recommend_for_users(
     users = preferences.select(
         "user_id", "min_rating", *wishes, F.explode(F.array_distinct(wanted)).alias("type")
     )
-    hits = users.join(by_type, "type").filter(
+    keys = ["type"]
+    if "near" in wishes:
+        keys = ["type", "_cell"]
+        by_type = by_type.withColumn("_cell", F.explode(_place_cells()))
+        users = users.withColumn("_cell", F.explode(_user_cells()))
+    hits = users.join(by_type, keys).filter(
         F.col("min_rating").isNull() | (F.col("avg_predicted_score") >= F.col("min_rating"))
     )
     if "price_range" in wishes:
         low, high = F.col("price_range")[0], F.col("price_range")[1]
         hits = hits.filter(F.col("price_range").isNull() | F.col("price_level").between(low, high))
     if "near" in wishes:
-        away = distance_km(F.col("latitude"), F.col("longitude"), (F.col("near")[0], F.col("near")[1]))
-        hits = hits.filter(F.col("near").isNull() | F.col("max_km").isNull() | (away <= F.col("max_km")))
-    return hits.drop("type", "min_rating", *wishes, *facts).dropDuplicates(["user_id", "rank"])
+        hits = hits.filter(_in_reach())
+    return hits.drop(*keys, "min_rating", *wishes, *facts).dropDuplicates(["user_id", "rank"])
+
+
+def _place_cells() -> Column:
+    cells = cells_of(F.col("latitude"), F.col("longitude"))
+    return F.concat(cells, F.array(F.lit(ANYWHERE).cast("bigint")))
+
+
+def _user_cells() -> Column:
+    anywhere = F.col("near").isNull() | F.col("max_km").isNull()
+    cells = cells_within(F.col("near")[0], F.col("near")[1], F.col("max_km"))
+    return F.when(anywhere, F.array(F.lit(ANYWHERE).cast("bigint"))).otherwise(cells)
+
+
+def _in_reach() -> Column:
+    away = distance_km(F.col("latitude"), F.col("longitude"), (F.col("near")[0], F.col("near")[1]))
+    return F.col("near").isNull() | F.col("max_km").isNull() | (away <= F.col("max_km"))
+
+
+def recommend_nearby(
+    analyses: DataFrame, preferences: DataFrame, params: RankingParams = RankingParams(), n: int = 10
+) -> DataFrame:
+    """The best ``n`` places within reach of each user, of all places with enough reviews.
+
+    Unlike the other lists this one isn't cut to the places that are best anywhere, so a
+    user far from these has a list too. ``preferences`` holds user_id, near and max_km, and
+    may hold min_rating; users without near or max_km are in no list, they have the global
+    one. One equi-join by cell, of a user with the places around; the first ``n`` are taken
+    per task before they are brought together. Ties of the rounded score go by place id.
+    """
+    eligible = analyses.filter(F.col("review_count") >= params.min_reviews)
+    places = eligible.select(
+        "place_id",
+        "restaurant_name",
+        "recommendation_score",
+        "avg_predicted_score",
+        "review_count",
+        "latitude",
+        "longitude",
+        F.explode(cells_of(F.col("latitude"), F.col("longitude"))).alias("_cell"),
+    )
+    floor = F.col("min_rating") if "min_rating" in preferences.columns else F.lit(None).cast("double")
+    users = preferences.filter(F.col("near").isNotNull() & F.col("max_km").isNotNull()).select(
+        "user_id", "near", "max_km", floor.alias("_floor"), F.explode(_user_cells()).alias("_cell")
+    )
+    hits = users.join(places, "_cell").filter(
+        _in_reach() & (F.col("_floor").isNull() | (F.col("avg_predicted_score") >= F.col("_floor")))
+    )
+    order = [F.desc("recommendation_score"), F.col("place_id")]
+    best = top_per_key(hits.drop("_cell", "_floor", "near", "max_km", "latitude", "longitude"), ["user_id"], order, n)
+    position = F.row_number().over(Window.partitionBy("user_id").orderBy(*order))
+    return best.withColumn("position", position)
 
 
 def recommendation_docs(recommendations: DataFrame, generated_at: Column | None = None) -> DataFrame:

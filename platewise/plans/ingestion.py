@@ -171,3 +171,25 @@ def refresh_summary_by_batch(
         raise ValueError("nothing is stored that rows could be removed from")
     sums = snapshots.write_version(sums, known)
     return snapshots.write_version(star.summary_of_sums(restaurants, sums), f"{path.rstrip('/')}/summary")
+
+
+def refresh_scores_by_batch(
+    added: DataFrame,
+    path: str,
+    as_of: Column | str | None = None,
+    removed: DataFrame | None = None,
+    params: RankingParams = RankingParams(),
+) -> DataFrame:
+    """All scores per place on a day, from the sums stored below ``path`` and a batch of scored reviews alone.
+
+    ``removed`` are rows that the batch replaces, as they were. The sums get a new version;
+    an empty batch on a later day gives the scores of that day.
+    """
+    spark = added.sparkSession
+    sums = analysis.decayed_sums(added, as_of, params)
+    gone = None if removed is None else analysis.decayed_sums(removed, as_of, params)
+    if snapshots.versions(spark, path):
+        sums = analysis.add_decayed(snapshots.read_latest(spark, path), sums, as_of, gone, params)
+    elif gone is not None:
+        raise ValueError("nothing is stored that rows could be removed from")
+    return analysis.scores_of_sums(snapshots.write_version(sums, path), as_of, params)

@@ -857,6 +857,7 @@ FROM b_places_and_empty r LEFT JOIN b_analyses a USING (place_id) LEFT JOIN b_di
 )
 oracle("sentiment_distribution", "SELECT place_id, sentiment_distribution FROM b_distribution")
 oracle("bayesian_score", "SELECT place_id, review_count, bayesian_score FROM b_analyses")
+oracle("place_scores_by_batch", "SELECT * FROM b_analyses")
 oracle("recency_score", "SELECT place_id, recency_weighted_score FROM b_analyses")
 oracle(
     "places_with_reviews",
@@ -920,6 +921,24 @@ SELECT rank, place_id, recommendation_score, price_level FROM (
 WHERE price_level BETWEEN 2 AND 4
   AND 2 * 6371.0 * asin(sqrt(sin(dlat) * sin(dlat) + cos(radians(33.4255)) * cos(radians(CAST(latitude AS DOUBLE))) * sin(dlng) * sin(dlng))) <= 60""",
 )
+oracle(
+    "recommend_nearby",
+    """
+SELECT * FROM (WITH near AS (
+  SELECT user_id, min_rating, 33 + CAST(substr(user_id, 2) AS INT) % 97 / 97.0::DOUBLE AS lat,
+         -112 + CAST(substr(user_id, 2) AS INT) % 67 / 97.0::DOUBLE AS lng, CAST(2 + c_nationkey % 10 AS DOUBLE) AS max_km
+  FROM b_users WHERE c_nationkey <> 3),
+pairs AS (
+  SELECT n.*, a.place_id, r.name AS restaurant_name, recommendation_score, avg_predicted_score, review_count,
+         radians(CAST(latitude AS DOUBLE) - lat) / 2 AS dlat, radians(CAST(longitude AS DOUBLE) - lng) / 2 AS dlng,
+         cos(radians(lat)) * cos(radians(CAST(latitude AS DOUBLE))) AS c
+  FROM near n JOIN b_analyses a ON min_rating IS NULL OR avg_predicted_score >= min_rating
+  JOIN b_restaurants r ON r.place_id = a.place_id WHERE review_count >= 20)
+SELECT user_id, place_id, restaurant_name, recommendation_score, avg_predicted_score, review_count,
+       CAST(row_number() OVER (PARTITION BY user_id ORDER BY recommendation_score DESC, place_id) AS INT) AS position
+FROM pairs WHERE 2 * 6371.0 * asin(sqrt(sin(dlat) * sin(dlat) + c * sin(dlng) * sin(dlng))) <= max_km
+QUALIFY position <= 5)""",
+)
 oracle(
     "recommendation_docs",
     """

@@ -899,6 +899,23 @@ def recency_score(spark, sf_dir):
     return analysis.place_scores(_aged(spark, sf_dir)).select("place_id", "recency_weighted_score")
 
 
+@query
+def place_scores_by_batch(spark, sf_dir):
+    """Scores after a first load, a batch two years later that revises and adds, and a day without reviews."""
+    path = new_work_path(spark, "scores-by-batch")
+    scored = b.processed(spark, sf_dir)
+    other = F.col("review_date") >= F.lit(b.ARRIVED_SINCE).cast("timestamp_ntz")
+    revised = {
+        "predicted_score": F.when(other, F.lit(1).cast("decimal(3,2)")).otherwise(F.col("predicted_score")),
+        "sentiment_label": F.when(other, "neutral").otherwise(F.col("sentiment_label")),
+    }
+    first = b.stored(scored).withColumns(revised)
+    ingestion.refresh_scores_by_batch(first, path, b.ARRIVED_SINCE, params=PARAMS)
+    ingestion.refresh_scores_by_batch(b.arrived(scored), path, b.STORED_BEFORE, first.filter(other), PARAMS)
+    last = F.lit(b.as_of(spark, sf_dir))
+    return ingestion.refresh_scores_by_batch(scored.limit(0), path, last, params=PARAMS).drop("sentiment_distribution")
+
+
 @query
 def places_with_reviews(spark, sf_dir):
     joined = analysis.places_with_reviews(
@@ -1015,6 +1032,18 @@ def recommend_price_location(spark, sf_dir):
     return recommend.apply_preferences(ranked, prefs).select("rank", "place_id", "recommendation_score", "price_level")
 
 
+@query
+def recommend_nearby(spark, sf_dir):
+    """Each customer's five best places within 2 to 11 km."""
+    users = b.user_preferences(spark, sf_dir).select(
+        "user_id",
+        "min_rating",
+        F.array(33 + F.substring("user_id", 2, 20).cast("int") % 97 / 97, -112 + F.substring("user_id", 2, 20).cast("int") % 67 / 97).alias("near"),
+        F.when(F.col("c_nationkey") != 3, (2 + F.col("c_nationkey") % 10).cast("double")).alias("max_km"),
+    )
+    return recommend.recommend_nearby(_analyses(spark, sf_dir), users, PARAMS, n=5)
+
+
 @query
 def recommendation_docs(spark, sf_dir):
     recs = recommend.recommend_for_users(_analyses(spark, sf_dir), b.user_preferences(spark, sf_dir), PARAMS)
