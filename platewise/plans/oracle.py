@@ -323,6 +323,7 @@ RAW_COLUMNS = (
 # --- sources
 
 oracle("scan_reviews_json", f"SELECT {RAW_COLUMNS} FROM b_raw")
+oracle("scan_review_arrays", f"SELECT {RAW_COLUMNS} FROM b_raw")
 oracle("batch_reviews", f"SELECT {RAW_COLUMNS} FROM b_raw")
 oracle(
     "scan_restaurants_json",
@@ -402,6 +403,12 @@ oracle(
     "place_reviews",
     f"SELECT {PREDICTION} FROM b_scored WHERE place_id IN (SELECT place_id FROM b_restaurants WHERE price_level = 4)",
 )
+oracle(
+    "lookup_scored_reviews",
+    f"""
+SELECT {PREDICTION}, 'place' AS asked FROM b_scored WHERE place_id = 'P7'
+UNION ALL SELECT {PREDICTION}, 'review' FROM b_scored WHERE review_id = '1-1'""",
+)
 PLACE = (
     "place_id, name, address, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, "
     "CAST(rating AS DOUBLE) AS rating, total_ratings, price_level, array_to_string(types, ',') AS types"

@@ -30,7 +30,7 @@ from platewise.operators import (
 from platewise.plans import bindings as b
 from platewise.plans import ingestion
 from platewise.session import new_work_path
-from platewise.sources import bucketed, documents, lake, snapshots
+from platewise.sources import bucketed, documents, json_arrays, lake, lookup, snapshots
 from platewise.streaming import ingest as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,15 @@ def scan_reviews_json(spark, sf_dir):
     return documents.require_key(documents.read_reviews_json(spark, path), "review_id")
 
 
+@query
+def scan_review_arrays(spark, sf_dir):
+    """Files of one array each, read in parts."""
+    path = new_work_path(spark, "review-arrays")
+    raw = b.raw_reviews(spark, sf_dir)
+    json_arrays.write_arrays(raw.select(F.to_json(F.struct(*raw.columns)).alias("document")), "document", path)
+    return documents.require_key(json_arrays.read_reviews_arrays(spark, path), "review_id")
+
+
 @query
 def scan_restaurants_json(spark, sf_dir):
     places = b.restaurants(spark, sf_dir).withColumn("extracted_at", F.lit("2024-01-01"))
@@ -225,6 +234,16 @@ def lookup_restaurant(spark, sf_dir):
     return serving.lookup(b.restaurants(spark, sf_dir), "place_id", "P7")
 
 
+@query
+def lookup_scored_reviews(spark, sf_dir):
+    """Predictions of one place, and one by its id, from a table laid out for both."""
+    path = new_work_path(spark, "lookup")
+    lookup.write_lookup(b.predictions(spark, sf_dir), path, ["place_id", "review_id"], ["review_id"])
+    table = spark.read.parquet(path)
+    by_id = serving.lookup(table, "review_id", "1-1").withColumn("asked", F.lit("review"))
+    return serving.lookup(table, "place_id", "P7").withColumn("asked", F.lit("place")).unionByName(by_id)
+
+
 @query
 def all_restaurants(spark, sf_dir):
     return b.restaurants(spark, sf_dir)
