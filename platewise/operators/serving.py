@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from platewise.functions.numbers import exact_mean, ratio, round_half_up
 from platewise.functions.sentiment import NEGATIVE, POSITIVE, label_count
+from platewise.operators import postings as trigrams
 from platewise.operators.dedup import top_per_key
 from platewise.operators.recommend import numbered
 
@@ -64,13 +65,21 @@ def search_restaurants(
     min_nlp: float | None = None,
     cuisine: str = "",
     limit: int = PAGE_SIZE,
+    postings: DataFrame | None = None,
 ) -> DataFrame:
     """Places by name and tag pattern, best rated first, with live review statistics.
 
     ``min_nlp`` is applied after the limit. A filter of 0 or ``''`` is no filter. Only
-    the reviews of the listed places are aggregated.
+    the reviews of the listed places are aggregated. With ``postings`` of these places
+    (``trigram_postings``) a pattern is tried only on places that hold its trigrams; one
+    without trigrams is tried on all. Places need an id then.
     """
     found = restaurants
+    if postings is not None:
+        for field, pattern in ((trigrams.NAME, q.strip()), (trigrams.TAG, cuisine.strip())):
+            may_match = trigrams.candidates(postings, field, pattern)
+            if may_match is not None:
+                found = found.join(may_match, "place_id", "left_semi")
     if q.strip():
         found = found.filter(F.col("name").rlike(f"(?i){q.strip()}"))
     if min_rating:

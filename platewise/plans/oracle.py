@@ -1004,6 +1004,16 @@ SELECT * FROM (
   LEFT JOIN b_live USING (place_id))
 WHERE avg_nlp_score >= 2.9""",
 )
+oracle(
+    "search_by_postings",
+    f"""
+SELECT f.*, coalesce({rnd('m', 2)}, 0) AS avg_nlp_score, coalesce({rnd('CAST(pos AS DOUBLE) / n', 3)}, 0) AS positive_ratio,
+       coalesce(n, 0) AS nlp_review_count
+FROM (SELECT {PLACE} FROM b_restaurants
+      WHERE regexp_matches(lower(name), 'bolt|gear') AND len(list_filter(types, lambda t: contains(lower(t), 'small'))) > 0
+      ORDER BY b_restaurants.rating DESC, place_id LIMIT 100) f
+LEFT JOIN b_live USING (place_id)""",
+)
 oracle("list_restaurants", f"SELECT {PLACE} FROM b_restaurants ORDER BY b_restaurants.rating DESC, place_id LIMIT 100")
 oracle(
     "unprocessed_reviews",

@@ -21,6 +21,7 @@ from platewise.operators import (
     collaborative,
     dedup,
     merge,
+    postings,
     recommend,
     scoring,
     serving,
@@ -1141,6 +1142,16 @@ def search_restaurants(spark, sf_dir):
     )
 
 
+@query
+def search_by_postings(spark, sf_dir):
+    places = b.restaurants(spark, sf_dir)
+    path = new_work_path(spark, "postings")
+    lookup.write_lookup(postings.trigram_postings(places), path, ["field", "gram", "place_id"])
+    return serving.search_restaurants(
+        places, b.predictions(spark, sf_dir), q="BOLT|gear", cuisine="Small", limit=100, postings=spark.read.parquet(path)
+    )
+
+
 @query
 def list_restaurants(spark, sf_dir):
     return serving.list_restaurants(b.restaurants(spark, sf_dir))
