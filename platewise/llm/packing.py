@@ -6,6 +6,8 @@ import heapq
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ class PackingParams:
     piece: int = 128
     #: pieces that are spread over windows together; bounds the work of one differencing
     group: int = 1600
-    #: bytes of text that are tokenized and packed together
+    #: bytes of text that are tokenized together
     batch_bytes: int = 2 << 20
 
 
@@ -74,6 +76,16 @@ def near_equal_windows(sizes: list[int], capacity: int) -> list[list[int]]:
     return []
 
 
+class Piece(NamedTuple):
+    """Ids of a document from ``start`` on; ``content`` holds them as little-endian 32-bit numbers."""
+
+    doc_id: int | None
+    start: int
+    length: int
+    doc_tokens: int
+    content: bytes
+
+
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     "sequence_id bigint, offset bigint"
@@ -87,41 +99,34 @@ def pack(
 
     Each document is its ids and ``end_id`` (a null or empty text is ``end_id`` alone). Its
     full windows are sequences of their own, the rest is cut and packed with the rest of
-    other documents of the same batch; so every task packs what it has read, without a
-    shuffle, and a repeated task packs the same. A sequence's number joins the number of
-    its partition and its own there. Repeated rows and ids are packed each by itself; other
+    other documents of the same partition; so every task packs what it has read, without
+    a shuffle, and a repeated task packs the same. Pieces wait until a group of them is
+    full, so only the last group of a partition can leave a window half empty. A
+    sequence's number joins the number of its partition and its own there. Repeated rows and ids are packed each by itself; other
     columns are not read. ``with_ids`` adds the ids of each piece.
     """
     shared = documents.sparkSession.sparkContext.broadcast(vocab)
-    schema = SCHEMA + ", ids array<bigint>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sequence = TaskContext.get().partitionId() << 40
+        first = TaskContext.get().partitionId() << 40
+        waiting: list[Piece] = []
         for batch in batches:
             for part in slices(batch, limit=params.batch_bytes):
                 ids, bounds = bpe.encode(*raw_text(part.column("text")), shared.value)
-                ids, bounds = with_end(ids, bounds, params.end_id)
-                rows, n = placed(np.diff(bounds), params)
-                doc, start, length = rows[:, 0], rows[:, 1], rows[:, 2]
-                content = ids.astype("<u4")
-                pieces = [
-                    content[b : b + n_] for b, n_ in zip((bounds[doc] + start).tolist(), length.tolist(), strict=True)
-                ]
-                out = {
-                    "doc_id": part.column("doc_id").take(pa.array(doc)),
-                    "start": start,
-                    "length": length,
-                    "ids_crc32": [zlib.crc32(p) for p in pieces],
-                    "doc_tokens": np.diff(bounds)[doc],
-                    "sequence_id": rows[:, 3] + sequence,
-                    "offset": rows[:, 4],
-                }
-                if with_ids:
-                    out["ids"] = [p.tolist() for p in pieces]
-                sequence += n
-                yield record(schema, out)
-
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+                full, rest = cut(part.column("doc_id").to_pylist(), *with_end(ids, bounds, params.end_id), params)
+                waiting += rest
+                ready = len(waiting) - len(waiting) % params.group
+                sequences = [[piece] for piece in full] + spread(waiting[:ready], params)
+                waiting = waiting[ready:]
+                yield placed(sequences, first, with_ids)
+                first += len(sequences)
+        yield placed(spread(waiting, params), first, with_ids)
+
+    return documents.select("doc_id", "text").mapInArrow(run, _schema(with_ids))
+
+
+def _schema(with_ids: bool) -> str:
+    return SCHEMA + ", ids array<bigint>" * with_ids
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,24 +134,49 @@ def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarr
     return np.insert(ids, bounds[1:], end_id), bounds + np.arange(len(bounds))
 
 
-def placed(tokens: np.ndarray, params: PackingParams) -> tuple[np.ndarray, int]:
-    """Rows of (document, start, length, sequence, offset), and the number of sequences."""
-    rows: list[tuple[int, int, int, int, int]] = []
-    rest: list[tuple[int, int, int]] = []
-    sequence = 0
-    for doc, n in enumerate(tokens.tolist()):
-        full = n - n % params.window
-        for start in range(0, full, params.window):
-            rows.append((doc, start, params.window, sequence, 0))
-            sequence += 1
-        rest += [(doc, at, min(params.piece, n - at)) for at in range(full, n, params.piece)]
-    for first in range(0, len(rest), params.group):
-        own = rest[first : first + params.group]
-        for items in near_equal_windows([size for _, _, size in own], params.window):
-            offset = 0
-            for k in items:
-                doc, start, size = own[k]
-                rows.append((doc, start, size, sequence, offset))
-                offset += size
-            sequence += 1
-    return np.array(rows, np.int64).reshape(-1, 5), sequence
+def cut(
+    docs: list[int | None], ids: np.ndarray, bounds: np.ndarray, params: PackingParams
+) -> tuple[list[Piece], list[Piece]]:
+    """The full windows of all documents, and the pieces of what is left of each."""
+    # pieces that wait must not hold the batch they come from: each has its own bytes
+    content = memoryview(ids.astype("<u4").tobytes())
+    full: list[Piece] = []
+    rest: list[Piece] = []
+    for doc, base, n in zip(docs, bounds[:-1].tolist(), np.diff(bounds).tolist(), strict=True):
+        over = n - n % params.window
+        for size, begin, end, out in ((params.window, 0, over, full), (params.piece, over, n, rest)):
+            for start in range(begin, end, size):
+                at = base + start
+                length = min(size, end - start)
+                out.append(Piece(doc, start, length, n, bytes(content[4 * at : 4 * (at + length)])))
+    return full, rest
+
+
+def spread(pieces: list[Piece], params: PackingParams) -> list[list[Piece]]:
+    """Sequences of the pieces, group by group."""
+    out = []
+    for first in range(0, len(pieces), params.group):
+        own = pieces[first : first + params.group]
+        out += [[own[k] for k in items] for items in near_equal_windows([p.length for p in own], params.window)]
+    return out
+
+
+def placed(sequences: list[list[Piece]], first: int, with_ids: bool) -> pa.RecordBatch:
+    """The rows of sequences that are numbered from ``first``."""
+    rows = [
+        (piece, number, end - piece.length)
+        for number, own in enumerate(sequences, first)
+        for piece, end in zip(own, accumulate(p.length for p in own), strict=True)
+    ]
+    out: dict[str, object] = {
+        "doc_id": [p.doc_id for p, _, _ in rows],
+        "start": [p.start for p, _, _ in rows],
+        "length": [p.length for p, _, _ in rows],
+        "ids_crc32": [zlib.crc32(p.content) for p, _, _ in rows],
+        "doc_tokens": [p.doc_tokens for p, _, _ in rows],
+        "sequence_id": [number for _, number, _ in rows],
+        "offset": [offset for _, _, offset in rows],
+    }
+    if with_ids:
+        out["ids"] = [np.frombuffer(p.content, "<u4").tolist() for p, _, _ in rows]
+    return record(_schema(with_ids), out)
