@@ -22,7 +22,7 @@ in it.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,9 @@ from platewise.llm.common import map_text, raw_text, record, saved_and_freed, sl
 from platewise.llm.graph import components
 from platewise.llm.words import LOWER, PLACES, hash_runs, mixed, ramp, windows, words
 
+#: a block's bits are sent to the driver as a row, which should not be much smaller than its other fields
+LEAST_BLOCK_BITS = 10
+
 
 @dataclass(frozen=True)
 class JoinParams:
@@ -41,7 +44,7 @@ class JoinParams:
     percent: int = 75
     #: tokens are counted in ``2 ** slot_bits`` slots; raise it with the corpus
     slot_bits: int = 27
-    #: slots are summed in blocks of ``2 ** block_bits``
+    #: slots are summed in blocks of at most ``2 ** block_bits``, and at least as many blocks as the session's shuffle partitions
     block_bits: int = 20
     #: a token is frequent if its slot counts so many documents, and four times as many as the block's mean
     frequent: int = 16
@@ -49,6 +52,12 @@ class JoinParams:
     task_tokens: int = 1 << 20
 
 
+def with_blocks(params: JoinParams, partitions: int) -> JoinParams:
+    """The parameters with blocks so small that each of the partitions has one to sum."""
+    most = params.slot_bits - (max(partitions, 1) - 1).bit_length()
+    return replace(params, block_bits=max(LEAST_BLOCK_BITS, min(params.block_bits, most)))
+
+
 def missing(n: int, percent: int) -> int:
     """How many of a set's ``n`` tokens a similar set may lack."""
     return n + (-percent * n) // 100
@@ -199,6 +208,7 @@ def link(documents: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
     Rows that share an id are one document to the links. Rows with a null id are left out,
     as they can't name a component. Other columns are not read.
     """
+    params = with_blocks(params, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     documents = documents.select("doc_id", "text").filter(F.col("doc_id").isNotNull())
     bits = frequent_slots(documents, params)
     sets = saved_and_freed(_signed(documents, bits, params), "signatures")
