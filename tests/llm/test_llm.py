@@ -150,6 +150,21 @@ def test_join_of_chains_and_frequent_tokens(spark):
     assert found == brute_links(data)
 
 
+def test_blocks_of_counts_follow_the_session(spark, docs):
+    """As many tasks sum the counts as the session has shuffle partitions; results don't depend on it."""
+    given = ngram_join.JoinParams()
+    for partitions, bits in ((1, 20), (128, 20), (129, 19), (1000, 17), (1 << 30, ngram_join.LEAST_BLOCK_BITS)):
+        assert ngram_join.with_blocks(given, partitions).block_bits == bits
+    expected = {tuple(r) for r in ngram_join.link(docs).collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "300")
+        small = ngram_join.JoinParams(slot_bits=18)
+        assert {tuple(r) for r in ngram_join.link(docs, small).collect()} == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_candidates_of_a_large_group_need_no_window(spark):
     random.seed(6)
     data = [([1, 2, k], k % 9) for k in range(10, 400)] + [([random.randrange(1000, 1200)], 100 + k) for k in range(300)] + [([5000], 7), ([], 8)]
@@ -270,6 +285,27 @@ def test_packing_is_gapless_and_whole(spark, rows):
     assert padding < 0.01 * total
 
 
+def test_pieces_wait_for_the_next_batch(spark, vocab):
+    """Small batches of one partition fill windows together: only the end of the partition is left half empty."""
+    data = [(k, "word " * (250 + 13 * k)) for k in range(60)] + [(None, "no id"), (3, None), (3, "")]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string").coalesce(1)
+    for params in (packing.PackingParams(batch_bytes=1), packing.PackingParams(batch_bytes=3000, group=90), packing.PackingParams()):
+        found = packing.pack(frame, vocab, params, with_ids=True).collect()
+        filled = Counter()
+        for r in found:
+            filled[r.sequence_id] += r.length
+            assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and len(r.ids) == r.length
+        assert max(filled.values()) <= 1024
+        assert len(filled) <= sum(filled.values()) / 1024 / 0.97 + 2
+        ends = [r for r in found if r.start + r.length == r.doc_tokens]
+        assert Counter(r.doc_id for r in ends) == Counter(d for d, _ in data)
+        assert sorted(packing_rows(found)) == sorted(packing_rows(packing.pack(frame, vocab, params, with_ids=True).collect()))
+
+
+def packing_rows(found):
+    return [(r.sequence_id, r.offset, r.doc_id or -1, r.start, r.length) for r in found]
+
+
 def test_differencing():
     random.seed(1)
     for windows in (1, 2, 7, 40):
@@ -327,6 +363,92 @@ def test_line_rules_equal_plain_counts(spark, rows):
         assert not (failed and r.kept)
 
 
+def plain_verdict(text, rules=line_rules.LineRules()):
+    """Removed lines, removed characters and the verdict, line by line."""
+    lines = text.split("\n")
+    holds = [k for k, line in enumerate(lines) if WORD.search(line)]
+    times, seen, failed = Counter(lines[k] for k in holds), set(), set()
+    unmarked = {k for k in holds if not re.search(r"[.!?;:]", lines[k])}
+    menu = []
+    for k in [*holds, None]:
+        if k in unmarked and len(WORD.findall(lines[k])) <= rules.max_menu_words:
+            menu.append(k)
+            continue
+        if len(menu) >= rules.min_menu_lines:
+            failed |= set(menu)
+        menu = []
+    for k in holds:
+        line = lines[k]
+        low = line.translate(LOW)
+        words = WORD.findall(line)
+        n, chars = len(words), sum(map(len, words))
+        bars = sum(line.count(c) for c in line_rules.BARS) - sum(line.count(c) for c in line_rules.OPENING)
+        letters, upper = len(re.findall("[A-Za-z]", line)), len(re.findall("[A-Z]", line))
+        links = sum(w.translate(LOW).startswith(("http://", "https://", "www.")) for w in words)
+        tests = [
+            line in seen,
+            k in unmarked and n > rules.max_words_unmarked,
+            n >= rules.min_line_words and bars > rules.max_bar_share * n,
+            links > rules.max_link_share * n,
+            times[line] >= rules.min_short_copies and n <= rules.max_short_words,
+            n >= rules.min_line_words and sum(w[-1] == "!" for w in words) > rules.max_shout_share * n,
+            n >= rules.min_line_words and upper > rules.max_upper_share * max(letters, 1),
+            n >= rules.min_line_words and len(re.findall(r"[#*$%&|<>]", line)) > rules.max_symbol_share * max(chars, 1),
+            any(p.decode() in low for p in line_rules.BOILERPLATE),
+        ]
+        if any(tests):
+            failed.add(k)
+        seen.add(line)
+    total = sum(map(len, WORD.findall(text)))
+    removed = sum(len(w) for k in failed for w in WORD.findall(lines[k]))
+    return len(holds), len(failed), removed, removed <= rules.max_lost_share * total
+
+
+LINES = [
+    "A plain line of a text that ends as it should.",
+    "This one goes on and on and never has any mark to part what it says at all",
+    "Home | About | Contact",
+    "Home » Shop › Boots",
+    "Il a dit « oui » puis « non » hier.",
+    "https://a.example/x www.b.example",
+    "See HTTPS://a.example for more of it.",
+    "Home",
+    "About us",
+    "Our big shop",
+    "Read more",
+    "Share this now",
+    "",
+    " \t ",
+    "STOP! NOW! HERE!",
+    "THE WHOLE LINE IS LOUD.",
+    "# * $ a b",
+    "Tous droits réservés.",
+    "Alle Rechte vorbehalten, 2020.",
+    "é ü 🙂 · • → .",
+]
+
+
+def test_verdict_equals_plain_rules(spark, rows):
+    random.seed(10)
+    texts = ["\n".join(random.choices(LINES, k=random.randint(0, 14))) for _ in range(1500)]
+    data = [(10**6 + k, t) for k, t in enumerate(texts)] + [(d, t) for d, t in rows]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string").repartition(3)
+    found = {r.doc_id: r for r in line_rules.clean_lines(frame).collect()}
+    assert len(found) == len(data)
+    for doc, text in data:
+        r = found[doc]
+        n, failed, removed, kept = plain_verdict(text)
+        assert (r.n_lines, r.n_removed_lines, r.removed_chars) == (n, failed, removed), text
+        assert r.kept == (kept and not r.base_failed)
+
+
+def test_clean_documents_keep_their_lines(spark, docs):
+    """Documents of good quality lose hardly any of their text."""
+    labels = table(spark, SF_DIR, "labels").filter("quality = 1").select("doc_id")
+    found = line_rules.clean_lines(docs, with_text=False).join(labels, "doc_id", "left_semi").filter("not base_failed").collect()
+    assert sum(r.kept for r in found) >= 0.97 * len(found)
+
+
 def test_clean_text_loses_whole_lines(spark):
     text = "A first line that stays here.\nhome | about | contact | more\nA first line that stays here.\nLast one stays.\n"
     frame = spark.createDataFrame([(1, text), (2, "HOME | A | B"), (3, "ok."), (4, None)], "doc_id bigint, text string")
