@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.column import Column
 
 from platewise.llm.common import map_text, raw_text, record, saved_and_freed, slices
 from platewise.llm.graph import components
@@ -283,43 +284,85 @@ def _candidates(sets: DataFrame) -> DataFrame:
     return rows.join(heads, "signature").select("head", "node").distinct()
 
 
-def _dealt(groups: DataFrame, nodes: DataFrame, tokens: int) -> DataFrame:
-    """Tasks (``head``, ``i``, ``j``) with their nodes.
+def _sized(groups: DataFrame, nodes: DataFrame, tokens: int) -> DataFrame:
+    """The groups with ``n``, a set's size, and ``large``: whether a group's sets have more than ``tokens`` tokens."""
+    members = groups.join(nodes.select("node", "n"), "node")
+    large = members.groupBy("head").agg((F.sum("n") > tokens).alias("large"))
+    return members.join(large, "head")
+
 
-    A group is one task if its sets have up to ``tokens`` tokens. A larger one is dealt to
-    blocks, and every two blocks make a task.
+def _dealt(members: DataFrame, near: DataFrame, tokens: int) -> DataFrame:
+    """Tasks (``head``, ``i``, ``j``) with their nodes, so that every two of a group meet that need to.
+
+    ``near`` lists the nodes of large groups that were compared with their head and are
+    near it. Two of these needn't meet. So the others are dealt to blocks of about
+    ``tokens`` tokens, and so are the near ones; every two blocks make a task, but no two
+    of near ones. A small group is one task.
     """
-    members = groups.join(nodes.select("node", "n"), "node")
-    blocks = members.groupBy("head").agg(F.ceil(F.sum("n") / F.lit(float(tokens))).cast("int").alias("blocks"))
-    dealt = members.join(blocks, "head").select(
+    marked = members.join(near.select("head", "node", F.lit(True).alias("near")), ["head", "node"], "left")
+    marked = marked.withColumn("near", F.coalesce("near", F.lit(False)))
+
+    def blocks(chosen: Column) -> Column:
+        return F.ceil(F.coalesce(F.sum(F.when(chosen, F.col("n"))), F.lit(0)) / F.lit(float(tokens))).cast("int")
+
+    counted = marked.groupBy("head").agg(blocks(~F.col("near")).alias("others"), blocks(F.col("near")).alias("nears"))
+    deal = F.xxhash64("node", F.lit(1))
+    dealt = marked.join(counted.filter("others > 0"), "head").select(
         "head",
         "node",
-        F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int").alias("own"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
-    )
-    return dealt.select(
-        "head", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node"
+        F.when(F.col("near"), F.col("others") + F.pmod(deal, F.col("nears")))
+        .otherwise(F.pmod(deal, F.col("others")))
+        .cast("int")
+        .alias("own"),
+        F.explode(
+            F.sequence(F.lit(0), F.col("others") - 1 + F.when(F.col("near"), F.lit(0)).otherwise(F.col("nears")))
+        ).alias("other"),
     )
+    return dealt.select("head", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
 
 
 def _possible(nodes: DataFrame, groups: DataFrame, params: JoinParams) -> DataFrame:
     """The groups without what the parities rule out: (``head``, ``node``), parts of groups that can hang together.
 
     Bits of parity are a sixty-fourth of a set, so this moves little; after it few sets
-    have to be moved that aren't similar to any.
+    have to be moved that aren't similar to any. What may be similar to the head of a large
+    group is such a part.
     """
     schema = "head bigint, node bigint"
+    percent = params.percent
 
     def sift(table: pa.Table) -> pa.Table:
         ids = np.array(table.column("node").to_pylist(), np.int64)
-        heads = hang_together(ids, table.column("n").to_numpy(), table.column("parities").to_pylist(), params.percent)
+        heads = hang_together(ids, table.column("n").to_numpy(), table.column("parities").to_pylist(), percent)
         keep = np.flatnonzero(np.isin(heads, heads[heads != ids]))
         return pa.Table.from_batches([record(schema, {"head": heads[keep], "node": ids[keep]})])
 
+    def near_head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = zip(*(batch.column(c).to_pylist() for c in ("n", "parities", "head_n", "head_parities")), strict=True)
+            hit = pa.array([may_be_similar(*pair, percent) for pair in own], pa.bool_())
+            yield batch.select(["head", "node"]).filter(hit)
+
     # parities are small: larger groups fit in a task
-    tasks = _dealt(groups, nodes, 16 * params.task_tokens)
-    rows = tasks.join(nodes.select("node", "n", "parities"), "node")
-    return rows.groupBy("head", "i", "j").applyInArrow(sift, schema).distinct()
+    tokens = 16 * params.task_tokens
+    members = _sized(groups, nodes, tokens)
+    known = nodes.select("node", "n", "parities")
+    of_heads = known.toDF("head", "head_n", "head_parities")
+    large = members.filter("large").select("head", "node").join(known, "node").join(of_heads, "head")
+    near = saved_and_freed(large.mapInArrow(near_head, schema), "near_heads")
+    rows = _dealt(members, near, tokens).join(known, "node")
+    return rows.groupBy("head", "i", "j").applyInArrow(sift, schema).unionByName(near).distinct()
+
+
+def may_be_similar(n: int, own: bytes, m: int, other: bytes, percent: int) -> bool:
+    """Whether sizes and parities let two sets be similar."""
+    if 100 * n < percent * m or 100 * m < percent * n:
+        return False
+    bits = [np.frombuffer(x, np.uint64) for x in (own, other)]
+    both = min(len(x) for x in bits)
+    apart = int(np.bitwise_count(_folded(bits[0], both) ^ _folded(bits[1], both)).sum(dtype=np.int64))
+    shared = (n + m - apart) // 2
+    return 100 * shared >= percent * (n + m - shared)
 
 
 def parities(tokens: np.ndarray) -> bytes:
@@ -402,11 +445,11 @@ def _verified(documents: DataFrame, nodes: DataFrame, groups: DataFrame, params:
     """Links ``a``, ``b`` (class ids) that join what is similar among the sets of each group.
 
     The sets are made again from the texts, of the documents whose ids are in a group; the
-    bits that say so let a few others through, which find no task in the join.
+    bits that say so let a few others through, which find no task in the join. A large
+    group is linked to its head first.
     """
     wanted = groups.select("node").distinct().join(nodes, "node").select("class_id")
     shared = documents.sparkSession.sparkContext.broadcast(_wanted(wanted, params))
-    schema = "node bigint, class_id bigint, tokens binary"
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(shared.value, np.uint8)
@@ -414,18 +457,10 @@ def _verified(documents: DataFrame, nodes: DataFrame, groups: DataFrame, params:
             slot = batch.column("slot").to_numpy()
             hit = (table[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 > 0
             for part in slices(batch.filter(pa.array(hit))):
-                found = shingles(*raw_text(part.column("text")), params.shingle)
-                yield record(
-                    schema,
-                    {
-                        "node": [fingerprint(own) for own in found],
-                        "class_id": part.column("doc_id"),
-                        "tokens": [own.tobytes() for own in found],
-                    },
-                )
+                yield _sets(part, params)
 
     texts = documents.select("doc_id", "text", _id_slot("doc_id", params).alias("slot"))
-    sets = texts.mapInArrow(tokens, schema)
+    sets = texts.mapInArrow(tokens, SETS)
     links = "a bigint, b bigint"
 
     def verify(table: pa.Table) -> pa.Table:
@@ -435,8 +470,63 @@ def _verified(documents: DataFrame, nodes: DataFrame, groups: DataFrame, params:
         a, b = similar(ids.tolist(), own, params.percent)
         return pa.Table.from_batches([record(links, {"a": a, "b": b})])
 
-    named = _dealt(groups, nodes, params.task_tokens).join(nodes.select("node", "class_id"), "node")
-    return named.join(sets, ["node", "class_id"]).groupBy("head", "i", "j").applyInArrow(verify, links)
+    named = nodes.select("node", "class_id")
+    members = _sized(groups, nodes, params.task_tokens)
+    near = saved_and_freed(_near_heads(documents, named, members.filter("large").select("head", "node"), params), "near")
+    tasks = _dealt(members, near, params.task_tokens).join(named, "node")
+    rows = tasks.join(sets, ["node", "class_id"])
+    found = rows.groupBy("head", "i", "j").applyInArrow(verify, links)
+    return found.unionByName(near.filter("a != b").select("a", "b"))
+
+
+SETS = "node bigint, class_id bigint, tokens binary"
+
+
+def _sets(part: pa.RecordBatch, params: JoinParams) -> pa.RecordBatch:
+    """The sets of texts, with their numbers and the documents' ids."""
+    found = shingles(*raw_text(part.column("text")), params.shingle)
+    out = {
+        "node": [fingerprint(own) for own in found],
+        "class_id": part.column("doc_id"),
+        "tokens": [own.tobytes() for own in found],
+    }
+    return record(SETS, out)
+
+
+def _near_heads(documents: DataFrame, named: DataFrame, large: DataFrame, params: JoinParams) -> DataFrame:
+    """(``head``, ``node``, ``a``, ``b``): the nodes of large groups that are similar to their head, and both class ids.
+
+    A head's set travels with each of its nodes, which doubles what the group moves; no
+    other two sets of the group meet here.
+    """
+    schema = "head bigint, node bigint, a bigint, b bigint"
+    large = saved_and_freed(large, "large_groups")
+    ids = large.select(F.explode(F.array("head", "node")).alias("node")).distinct().join(named, "node")
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                yield _sets(part, params)
+
+    texts = documents.join(ids.select(F.col("class_id").alias("doc_id")), "doc_id", "left_semi")
+    sets = texts.select("doc_id", "text").mapInArrow(tokens, SETS).join(ids, ["node", "class_id"], "left_semi")
+    sets = saved_and_freed(sets.dropDuplicates(["node", "class_id"]), "large_sets")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, heads = (batch.column(c).to_pylist() for c in ("tokens", "head_tokens"))
+            hit = [_similar_pair(x, y, params.percent) for x, y in zip(own, heads, strict=True)]
+            yield batch.select(["head", "node", "a", "b"]).filter(pa.array(hit, pa.bool_()))
+
+    of_heads = sets.toDF("head", "a", "head_tokens")
+    pairs = large.join(sets.withColumnRenamed("class_id", "b"), "node").join(of_heads, "head")
+    return pairs.mapInArrow(compare, schema)
+
+
+def _similar_pair(own: bytes, other: bytes, percent: int) -> bool:
+    a, b = np.frombuffer(own, np.uint64), np.frombuffer(other, np.uint64)
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
 def similar(ids: list[int], sets: list[np.ndarray], percent: int) -> tuple[list[int], list[int]]:
