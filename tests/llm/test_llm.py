@@ -150,6 +150,42 @@ def test_join_of_chains_and_frequent_tokens(spark):
     assert found == brute_links(data)
 
 
+def test_large_groups_are_linked_to_their_head_first(spark):
+    """Hot groups of near copies, some of which are near each other but not the head; tasks of a few sets each."""
+    random.seed(5)
+    words = [f"w{k}" for k in range(400)]
+    data, number = [], 0
+    for size in (150, 40):
+        base = [random.choice(words) for _ in range(100)]
+        for k in range(size):
+            own = list(base)
+            for _ in range(random.choice([0, 1, 2, 3, 5])):
+                own[random.randrange(100)] = random.choice(words)
+            data.append((number := number + 1, " ".join(own)))
+    data += [(1000 + k, data[k % 150][1]) for k in range(60)] + [data[3], data[4]]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string").repartition(5)
+    expected = brute_links(data)
+    for task_tokens in (300, 1 << 20):
+        params = ngram_join.JoinParams(task_tokens=task_tokens, slot_bits=20)
+        found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link(frame, params).collect()}
+        assert found == expected
+
+
+def test_near_ones_do_not_meet_each_other(spark):
+    """Every two of a group share a task, but for two that are near its head; without others there is no task."""
+    members = spark.createDataFrame([(h, h + k, 10) for h in (100, 200, 300) for k in range(30)], "head bigint, node bigint, n bigint")
+    near = spark.createDataFrame([(100, 100 + k) for k in range(25)] + [(200, 200 + k) for k in range(30)], "head bigint, node bigint")
+    tasks = defaultdict(set)
+    for r in ngram_join._dealt(members, near, 50).collect():
+        tasks[r.head, r.i, r.j].add(r.node)
+    met = {(a, b) for nodes in tasks.values() for a in nodes for b in nodes}
+    for head, others in ((100, range(25, 30)), (300, range(30))):
+        assert {(head + a, head + b) for a in others for b in range(30)} <= met
+    assert not any(h == 200 for h, _, _ in tasks)
+    # 25 near ones of 10 tokens make 5 blocks, 5 others one: 6 tasks, where 6 blocks would make 21
+    assert sum(h == 100 for h, _, _ in tasks) <= 6
+
+
 def test_blocks_of_counts_follow_the_session(spark, docs):
     """As many tasks sum the counts as the session has shuffle partitions; results don't depend on it."""
     given = ngram_join.JoinParams()
