@@ -17,17 +17,19 @@ from platewise.sources import documents, lake, snapshots
 def ingest(
     places: DataFrame,
     as_of=None,
-    ingested_at: Column | None = None,
+    ingested_at: Column | str | None = None,
     lake_path: str | None = None,
-    location: Column | None = None,
+    location: Column | str | None = None,
 ) -> dict[str, DataFrame]:
     """Place documents to raw, cleaned and star-schema tables, lazily.
 
     With ``lake_path`` the raw and the featured reviews are written to the raw and the
     processed area of the lake, under the batch's ``location`` and the day of ingestion. A
-    rerun of the same batch on that day replaces what it wrote.
+    rerun of the same batch on that day replaces what it wrote. A location and a day given
+    as plain text hold for all rows, which spares the lake a shuffle.
     """
-    raw = documents.flatten_reviews(places, ingested_at)
+    at = F.lit(ingested_at) if isinstance(ingested_at, str) else ingested_at
+    raw = documents.flatten_reviews(places, at)
     featured = cleaning.engineer_features(cleaning.clean_reviews(raw), as_of)
     if lake_path:
         if location is None:
@@ -37,7 +39,7 @@ def ingest(
         lake.write_lake(featured, f"{root}/{lake.PROCESSED_PREFIX}", location, ingested_at)
     return {
         "raw_reviews": raw,
-        "restaurants": documents.restaurant_metadata(places, ingested_at),
+        "restaurants": documents.restaurant_metadata(places, at),
         "reviews": featured,
         "restaurant_stats": stats.restaurant_stats(featured),
         **star.star_schema(featured),

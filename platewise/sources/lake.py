@@ -12,6 +12,8 @@ PROCESSED_PREFIX = "processed/reviews"
 PARTITIONS = ["year", "month", "day"]
 FOLDERS = [*PARTITIONS, "location"]
 MAX_ROWS_PER_FILE = 2_000_000
+# JSON of reviews shrinks to about a tenth; such a file isn't split, so its rows are bounded
+COMPRESSION = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def location_key(location: Column) -> Column:
@@ -19,16 +21,22 @@ def location_key(location: Column) -> Column:
 
 
 def write_lake(
-    df: DataFrame, path: str, location: Column, ingested_on: Column | None = None, replace: bool = True
+    df: DataFrame, path: str, location: Column | str, ingested_on: Column | str | None = None, replace: bool = True
 ) -> None:
     """Write rows below ``year=/month=/day=/location=`` of their day of ingestion and their location.
 
     The rows of a day and location replace those written there before, so a rerun doesn't
     double them; other days and locations stay. With ``replace=False`` rows are added. The
     rebalance hint lets Spark split a day that holds most of the rows and merge small ones,
-    so neither one task nor very many small files result.
+    so neither one task nor very many small files result. A batch of one day and location,
+    which are given as plain text then, goes to one folder anyway: its tasks write what
+    they hold, and nothing is shuffled. Files are compressed.
     """
-    day = F.current_date() if ingested_on is None else F.to_date(ingested_on)
+    one_folder = not isinstance(location, Column) and not isinstance(ingested_on, Column)
+    location = location if isinstance(location, Column) else F.lit(location)
+    day = F.current_date() if ingested_on is None else F.to_date(
+        ingested_on if isinstance(ingested_on, Column) else F.lit(ingested_on)
+    )
     rows = df.withColumns(
         {
             "location": location_key(location),
@@ -38,10 +46,11 @@ def write_lake(
         }
     )
     (
-        rows.hint("rebalance", *FOLDERS)
+        (rows if one_folder else rows.hint("rebalance", *FOLDERS))
         .write.mode("overwrite" if replace else "append")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
+        .options(**COMPRESSION)
         .partitionBy(*FOLDERS)
         .json(path)
     )

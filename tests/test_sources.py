@@ -128,6 +128,27 @@ def test_both_areas_of_the_lake(spark):
         ingestion.ingest(places, "2023-12-01", F.lit("2023-11-20"), path)
 
 
+def test_a_batch_of_one_folder_is_compressed_and_not_shuffled(spark):
+    path = new_work_path(spark, "lake")
+    df = documents.reviews_from_rows(spark, [{"review_id": str(i), "text": "same text " * 40} for i in range(50)])
+    lake.write_lake(df.repartition(3), path, "Phoenix Downtown", "2024-03-05")
+    files = [r.file_path for r in lake.lake_files(spark, path).collect()]
+    assert len(files) == 3 and all(f.endswith(".json.gz") and "/location=phoenix_downtown/" in f for f in files)
+    assert lake.read_lake(spark, path, schemas.RAW_REVIEW, 2024, 3, 5, location="Phoenix Downtown").count() == 50
+    # days and places that differ by row still come together before they are written
+    lake.write_lake(df.repartition(3), path, F.lit("Tempe"), F.lit("2024-03-05"))
+    assert len([r for r in lake.lake_files(spark, path).collect() if "location=tempe" in r.file_path]) == 1
+
+
+def test_stored_reviews_are_compressed(spark):
+    path = new_work_path(spark, "json")
+    df = documents.reviews_from_rows(spark, [{"review_id": str(i), "text": "ä\n" * i} for i in range(20)])
+    documents.write_reviews_json(df, path)
+    assert spark.read.format("binaryFile").load(path).filter("path NOT LIKE '%.json.gz'").count() == 0
+    assert documents.read_reviews_json(spark, path).exceptAll(df).count() == 0
+    assert documents.read_reviews_json(spark, path).count() == 20
+
+
 def test_files_with_one_array(spark, tmp_path):
     (tmp_path / "tempe_1.json").write_text(json.dumps([{"review_id": "a", "rating": 2}, {"review_id": "b"}], indent=2))
     df = documents.read_reviews_json(spark, str(tmp_path), multi_line=True)
