@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from platewise.config import Preferences, RankingParams
 from platewise.functions.geo import cells_of, cells_within, distance_km
 from platewise.operators.dedup import top_per_key
+from platewise.session import new_work_path
 
 RECOMMENDATION_COLUMNS = [
     "rank",
@@ -87,8 +88,15 @@ def recommend_for_users(
     Users with a place to be near to meet the ranked places of the cells around it only, by
     the same join; the distance itself is tested on these. Whether the ranked places are
     broadcast is left to Spark's check of their size.
+
+    The ranked places are stored first, so they are found once. Users are dealt to tasks
+    before the join multiplies them, and until a list is free of copies it holds ranks only.
     """
-    ranked = rank_restaurants(analyses, params)
+    spark = preferences.sparkSession
+    path = new_work_path(spark, "ranked")
+    found = rank_restaurants(analyses, params)
+    found.write.parquet(path)
+    ranked = spark.read.schema(found.schema).parquet(path)
     lowered = F.transform(F.coalesce("types", F.array().cast("array<string>")), F.lower)
     tests = {
         "price_range": ("price_level",),
@@ -96,15 +104,16 @@ def recommend_for_users(
     }
     facts = [c for wish, needed in tests.items() if wish in preferences.columns for c in needed]
     by_type = ranked.select(
-        *RECOMMENDATION_COLUMNS,
+        "rank",
+        "avg_predicted_score",
         *facts,
         F.explode(F.array_distinct(F.concat(lowered, F.array(F.lit(ANY_TYPE))))).alias("type"),
-    ).withColumnRenamed("sentiment_distribution", "sentiment_summary")
+    )
     wanted = F.coalesce(F.transform("cuisine_types", F.lower), F.array(F.lit(ANY_TYPE)))
     wishes = [c for c in ("price_range", "near", "max_km") if c in preferences.columns]
-    users = preferences.select(
-        "user_id", "min_rating", *wishes, F.explode(F.array_distinct(wanted)).alias("type")
-    )
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
+    users = preferences.select("user_id", "cuisine_types", "min_rating", *wishes).repartition(parts, "user_id")
+    users = users.select("user_id", "min_rating", *wishes, F.explode(F.array_distinct(wanted)).alias("type"))
     keys = ["type"]
     if "near" in wishes:
         keys = ["type", "_cell"]
@@ -118,7 +127,9 @@ def recommend_for_users(
         hits = hits.filter(F.col("price_range").isNull() | F.col("price_level").between(low, high))
     if "near" in wishes:
         hits = hits.filter(_in_reach())
-    return hits.drop(*keys, "min_rating", *wishes, *facts).dropDuplicates(["user_id", "rank"])
+    whole = ranked.select(*RECOMMENDATION_COLUMNS).withColumnRenamed("sentiment_distribution", "sentiment_summary")
+    listed = hits.select("user_id", "rank").distinct().join(whole, "rank")
+    return listed.select("user_id", *whole.columns)
 
 
 def _place_cells() -> Column:

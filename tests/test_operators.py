@@ -301,6 +301,15 @@ def test_price_and_place_preferences(spark, analyses):
         assert [r.place_id for r in recommend.recommend_for_users(known, prefs).orderBy("rank").collect()] == places
 
 
+def test_lists_of_users_are_freed_of_copies_as_ranks_only(spark, analyses):
+    rows = [("u", ["Thai", "bar"], None), ("u", None, None), ("u", ["thai"], 1.0)]
+    prefs = spark.createDataFrame(rows, "user_id string, cuisine_types array<string>, min_rating double")
+    recs = recommend.recommend_for_users(analyses, prefs, RankingParams(min_reviews=0))
+    ranks = [r["rank"] for r in recs.collect()]
+    assert ranks and len(ranks) == len(set(ranks)) == recommend.rank_restaurants(analyses, RankingParams(min_reviews=0)).count()
+    assert "SortAggregate" not in recs._jdf.queryExecution().executedPlan().toString()
+
+
 def test_recommend_for_users_equals_one_user_at_a_time(spark, analyses):
     cases = {"all": (None, None), "none": ([], None), "bars": (["Bar", "SPA"], 3.5), "high": (None, 4.5), "twice": (["bar", "BAR"], None)}
     prefs = spark.createDataFrame(
