@@ -6,7 +6,7 @@ import unicodedata
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -104,9 +104,18 @@ def nfkd(text: Column) -> Column:
     """
 
     # a nested function travels by value, so executors need no copy of this package
-    @F.pandas_udf(StringType())
-    def decompose(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: unicodedata.normalize("NFKD", t), na_action="ignore")
+    @F.arrow_udf(StringType())
+    def decompose(texts: pa.Array) -> pa.Array:
+        # a few texts at a time are Python objects, whatever the size of the batch
+        parts = []
+        for start in range(0, len(texts), 64):
+            some = texts.slice(start, 64)
+            if some.null_count == len(some):
+                parts.append(pa.nulls(len(some), pa.string()))
+            else:
+                plain = [None if t is None else unicodedata.normalize("NFKD", t) for t in some.to_pylist()]
+                parts.append(pa.array(plain, pa.string()))
+        return pa.concat_arrays(parts) if parts else pa.nulls(0, pa.string())
 
     beyond_ascii = F.when(text.rlike(BEYOND_ASCII), text)
     return F.coalesce(decompose(beyond_ascii), text)
