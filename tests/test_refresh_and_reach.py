@@ -4,6 +4,8 @@ import math
 import random
 from datetime import date, timedelta
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,3 +174,26 @@ def test_users_with_a_place_meet_the_cells_around_it_only(spark):
     assert sorted(found.select("user_id", "rank", "place_id").collect()) == sorted(expected.collect())
     assert {r.user_id for r in found.collect()} == {w[0] for w in wishes}
     assert "_cell" not in found.columns
+
+
+def test_nearby_pairs_do_not_leave_their_task(spark):
+    rng = np.random.default_rng(3)
+    at = lambda n: pa.array(rng.uniform(0, 0.2, n))
+    users = pa.table({"user_id": [str(i) for i in range(400)], "_lat": at(400), "_lng": at(400), "max_km": pa.array(rng.uniform(1, 9, 400)), "_floor": pa.array([None if i % 3 else 2.5 for i in range(400)], pa.float64())})
+    places = pa.table({"place_id": [str(i % 4000) for i in range(5000)], "recommendation_score": pa.array(rng.integers(0, 50, 5000) / 10), "avg_predicted_score": pa.array(rng.uniform(1, 5, 5000)), "latitude": at(5000), "longitude": at(5000)})
+    row, column, ordered = recommend._first_in_reach(users, places, 3)
+    assert len(row) == 1200
+    found = {(u, p) for u, p in zip(row.tolist(), column.tolist())}
+    ranked = ordered.to_pylist()
+    assert [(-r["recommendation_score"], r["place_id"]) for r in ranked] == sorted((-r["recommendation_score"], r["place_id"]) for r in ranked)
+    for u, user in enumerate(users.to_pylist()):
+        fits = []
+        for p, r in enumerate(ranked):
+            a, b = math.radians(user["_lat"]), math.radians(r["latitude"])
+            h = math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin(math.radians(r["longitude"] - user["_lng"]) / 2) ** 2
+            near = 2 * 6371 * math.asin(math.sqrt(h)) <= user["max_km"]
+            if near and (user["_floor"] is None or r["avg_predicted_score"] >= user["_floor"]):
+                fits.append((u, p))
+            if len(fits) == 3:
+                break
+        assert set(fits) <= found
