@@ -5,6 +5,10 @@ Every hand-over is a DataFrame or a written table; nothing passes through the dr
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,6 +121,23 @@ def _current(like: DataFrame, path: str) -> DataFrame:
     return snapshots.read_latest(spark, path) if snapshots.versions(spark, path) else like.filter(F.lit(False))
 
 
+@contextmanager
+def held_on_disk(df: DataFrame) -> Iterator[DataFrame]:
+    """Rows that several writes read, made once, on the executors' disks; a part that is lost is made again.
+
+    They stay dealt as they are, so a merge by the key they were dealt by shuffles them no
+    further. What the caller holds already is left as it is.
+    """
+    if df.storageLevel != StorageLevel.NONE:
+        yield df
+        return
+    df.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def load_warehouse(
     path: str, places: DataFrame, reviews: DataFrame, predictions: DataFrame
 ) -> dict[str, DataFrame]:
@@ -130,20 +151,22 @@ def load_warehouse(
         return snapshots.write_version(merged, f"{path}/{table}")
 
     place_rows = star.as_warehouse_table(places, "dim_restaurants")
-    days = star.dim_time(reviews)
-    review_rows = star.as_warehouse_table(reviews, "fact_reviews")
-    review_table = review_rows.withColumnRenamed("text_cleaned", "review_text")
-    scores = star.as_warehouse_table(predictions, "fact_predictions")
     loaded = {
         "dim_restaurants": stored(
             "dim_restaurants",
             merge.merge_dim_restaurants(_current(place_rows, f"{path}/dim_restaurants"), place_rows),
-        ),
-        "dim_time": stored("dim_time", merge.insert_if_absent(_current(days, f"{path}/dim_time"), days, "full_date")),
-        "fact_reviews": stored(
-            "fact_reviews", merge.merge_fact_reviews(_current(review_table, f"{path}/fact_reviews"), review_rows)
-        ),
+        )
     }
+    with held_on_disk(star.as_warehouse_table(reviews, "fact_reviews")) as review_rows:
+        days = star.dim_time(review_rows)
+        review_table = review_rows.withColumnRenamed("text_cleaned", "review_text")
+        loaded["dim_time"] = stored(
+            "dim_time", merge.insert_if_absent(_current(days, f"{path}/dim_time"), days, "full_date")
+        )
+        loaded["fact_reviews"] = stored(
+            "fact_reviews", merge.merge_fact_reviews(_current(review_table, f"{path}/fact_reviews"), review_rows)
+        )
+    scores = star.as_warehouse_table(predictions, "fact_predictions")
     known = _current(scores, f"{path}/fact_predictions")
     merged = merge.merge_fact_predictions(known, scores, loaded["fact_reviews"])
     return loaded | {"fact_predictions": stored("fact_predictions", merged)}

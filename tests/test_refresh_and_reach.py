@@ -7,6 +7,7 @@ from datetime import date, timedelta
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from platewise.config import RankingParams
@@ -197,3 +198,45 @@ def test_nearby_pairs_do_not_leave_their_task(spark):
             if len(fits) == 3:
                 break
         assert set(fits) <= found
+
+
+def test_a_load_makes_its_reviews_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    columns = "review_id string, place_id string, author_name string, rating int, text_cleaned string, review_length int"
+    kind = f"{columns}, word_count int, review_date date, review_age_days int, loaded_at string"
+    places = spark.createDataFrame([("p", "n", 1)], "place_id string, name string, total_ratings int")
+    scores = spark.createDataFrame(
+        [("a", "p", 4.0), ("c", "p", 2.0), ("x", "p", 1.0)], "review_id string, place_id string, predicted_score double"
+    )
+
+    def batch(*rows):
+        filled = [(k, "p", "w", rating, None, 1, 1, date.fromisoformat(day), 1, at) for k, rating, day, at in rows]
+        return spark.createDataFrame(filled, kind).mapInArrow(counted, kind)
+
+    path = str(tmp_path / "warehouse")
+    first = batch(("a", 1, "2020-01-01", "1"), ("b", 2, "2020-01-02", "1"), ("b", 3, "2020-01-05", "1"), (None, 4, "2020-01-09", "1"))
+    ingestion.load_warehouse(path, places, first, scores)
+    assert made.value == 4 and first.storageLevel == StorageLevel.NONE
+    later = batch(("a", 5, "2020-02-01", "2"), ("c", 3, "2020-01-02", "2"))
+    with ingestion.held_on_disk(later):
+        tables = ingestion.load_warehouse(path, places, later, scores)
+        assert made.value == 6 and later.storageLevel != StorageLevel.NONE
+    assert later.storageLevel == StorageLevel.NONE
+    facts = {(r.review_id, float(r.rating), r.review_date.isoformat(), r.loaded_at) for r in tables["fact_reviews"].collect()}
+    assert facts == {
+        ("a", 5.0, "2020-01-01", "2"),
+        ("b", 2.0, "2020-01-02", "1"),
+        ("c", 3.0, "2020-01-02", "2"),
+        (None, 4.0, "2020-01-09", "1"),
+    }
+    # also the days of copies and of later news of a known review
+    days = {r.full_date.isoformat() for r in tables["dim_time"].collect()}
+    assert days == {"2020-01-01", "2020-01-02", "2020-01-05", "2020-01-09", "2020-02-01"}
+    found = {(r.review_id, float(r.predicted_score)) for r in tables["fact_predictions"].collect()}
+    assert found == {("a", 4.0), ("c", 2.0)}
