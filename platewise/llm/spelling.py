@@ -128,7 +128,8 @@ def near_words(words: DataFrame) -> DataFrame:
 
     Words meet where length, place and gram agree, and are verified in the join, so what
     merely shares a gram is never written. Frequent grams are left to the skew handling of
-    the sort-merge join.
+    the sort-merge join. Spark sizes the chunks as their words' compressed file, so without
+    a hint it would send them through the driver.
     """
     one = chunks(words).alias("c")
     two = grams(words).alias("g")
@@ -136,7 +137,7 @@ def near_words(words: DataFrame) -> DataFrame:
     # of two words of one length the smaller is cut
     once_each = (F.length("g.word") > F.col("c.length")) | (F.col("c.word") < F.col("g.word"))
     verified = F.levenshtein("c.word", "g.word", 1) == 1
-    met = one.join(two, [*same, once_each, verified])
+    met = one.join(two.hint("merge"), [*same, once_each, verified])
     pairs = met.select(
         F.col("c.word").alias("a"), F.col("c.n").alias("n_a"), F.col("g.word").alias("b"), F.col("g.n").alias("n_b")
     ).distinct()
@@ -151,13 +152,14 @@ def roots(forms: DataFrame, largest: int) -> DataFrame:
     """``word`` and ``root``, the last of the forms that follow from it, for rows of ``word`` and ``form``.
 
     A form is at least twice as frequent, so a chain has no more steps than ``largest``, the
-    highest count, has halvings. Every round doubles the steps taken and is written.
+    highest count, has halvings. Every round doubles the steps taken and is written. No side
+    of a join goes through the driver, however small its files are.
     """
     found = saved(forms.select("word", F.col("form").alias("root")), "roots")
     for _ in range(math.ceil(math.log2(max(2.0, math.log2(max(2, largest)))))):
         further = found.select(F.col("word").alias("root"), F.col("root").alias("_further"))
         found = saved(
-            found.join(further, "root", "left").select("word", F.coalesce("_further", "root").alias("root")), "roots"
+            found.join(further.hint("merge"), "root", "left").select("word", F.coalesce("_further", "root").alias("root")), "roots"
         )
     return found
 
@@ -173,7 +175,7 @@ def spelling_variants(documents: DataFrame, params: SpellingParams = SpellingPar
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("n")).alias("less"), "other")).alias("best")
     )
     better = -F.col("best.less") >= params.ratio * F.col("n")
-    found = words.join(near, "word", "left").select(
+    found = words.join(near.hint("merge"), "word", "left").select(
         "word",
         "n",
         F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"),
@@ -184,6 +186,6 @@ def spelling_variants(documents: DataFrame, params: SpellingParams = SpellingPar
     # one number: the highest count
     largest = words.agg(F.max("n")).first()[0] or 0
     last = roots(found.filter("form IS NOT NULL"), largest)
-    return found.join(last, "word", "left").select(
+    return found.join(last.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )

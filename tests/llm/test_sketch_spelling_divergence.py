@@ -203,6 +203,21 @@ def test_long_chains_of_forms(spark):
     assert spelling.roots(forms.limit(0), 0).collect() == []
 
 
+def test_no_join_of_words_goes_through_the_driver(spark, monkeypatch):
+    """Files of words are small beside the chunks made of them, so their size must not decide."""
+    plans, write = [], spelling.saved
+
+    def saved(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(spelling, "saved", saved)
+    found = spelling.spelling_variants(odd(spark))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum(p.count("Join") for p in plans) >= 4
+    assert not any("Broadcast" in p for p in plans)
+
+
 # --- source divergence ---------------------------------------------------------------
 
 
